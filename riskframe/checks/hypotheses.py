@@ -94,12 +94,16 @@ _CHI_AB = result(
 
 def _welch(values):
     """Members v and w of a WITH clause: w is one row with t and the degrees of freedom."""
-    return f""", v AS ({values}), g AS (SELECT count(v) FILTER (Gender = 'Female') AS na, count(v) FILTER (Gender = 'Male') AS nb,
+    return f""", v AS ({values})""" + _welch_row("v")
+
+
+def _welch_row(v):
+    return f""", wg AS (SELECT count(v) FILTER (Gender = 'Female') AS na, count(v) FILTER (Gender = 'Male') AS nb,
   avg(v) FILTER (Gender = 'Female') AS ma, avg(v) FILTER (Gender = 'Male') AS mb,
   var_samp(v) FILTER (Gender = 'Female') AS va, var_samp(v) FILTER (Gender = 'Male') AS vb,
-  count(*) FILTER (Gender = 'Female') AS sa, count(*) FILTER (Gender = 'Male') AS sb FROM v),
+  count(*) FILTER (Gender = 'Female') AS sa, count(*) FILTER (Gender = 'Male') AS sb FROM {v}),
   w AS (SELECT *, (ma - mb) / sqrt(va / na + vb / nb) AS t, power(va / na + vb / nb, 2)
-  / (power(va / na, 2) / (na - 1) + power(vb / nb, 2) / (nb - 1)) AS df FROM g)"""
+  / (power(va / na, 2) / (na - 1) + power(vb / nb, 2) / (nb - 1)) AS df FROM wg)"""
 
 
 def _u(banded):
@@ -124,9 +128,9 @@ def _chi_k(rows, prefix=""):
     p = prefix
     return f""", {p}g AS (SELECT k, count(*) FILTER (TotalClaims > 0) AS c, count(*) FILTER (TotalClaims = 0) AS z,
   count(*) AS n FROM {rows} GROUP BY k),
-  {p}tot AS (SELECT sum(c) AS tc, sum(z) AS tz, sum(n) AS tn, count(*) AS k FROM {p}g),
+  {p}tot AS (SELECT sum(c) AS tc, sum(z) AS tz, sum(n) AS tn, count(*) AS groups FROM {p}g),
   {p}chi AS (SELECT sum(power(c - (c + z) * tc / (tc + tz), 2) / ((c + z) * tc / (tc + tz))
-    + power(z - (c + z) * tz / (tc + tz), 2) / ((c + z) * tz / (tc + tz))) AS x, max(k) AS k,
+    + power(z - (c + z) * tz / (tc + tz), 2) / ((c + z) * tz / (tc + tz))) AS x, max(groups) AS k,
     max(tc + tz) AS n, max(tn - tc - tz) AS dropped FROM {p}g, {p}tot)"""
 
 
@@ -177,15 +181,20 @@ def _postal_sql(k):
         "postal_risk", [("frequency", _chi_result("z_")), ("severity", _kruskal_result("z_"))], _VALID))
 
 
-# The severity branch of the fixture data: claims are not normal, so U below 5000 rows.
-_SEVERITY_NAME = "'Mann-Whitney U test for claim severity'"
-_SEVERITY = result("u", _SEVERITY_NAME, "u", "CAST(NULL AS DOUBLE)", chi2_tail("z * z", "1"), "2", "na + nb", "0")
+# The severity branch: claims of the view are not normal, so U up to 5000 claims, else Welch.
+_LARGE = "(SELECT greatest(na, nb) > 5000 FROM u)"
+_SEVERITY_ROWS = _u(False) + _welch_row("v")
+_SEVERITY = (
+    "SELECT * FROM (" + result("u", "'Mann-Whitney U test for claim severity'", "u", "CAST(NULL AS DOUBLE)",
+                               chi2_tail("z * z", "1"), "2", "na + nb", "0") + f") WHERE NOT {_LARGE} UNION ALL SELECT * FROM ("
+    + result("w", "'Welch''s t-test for claim severity'", "t", "df", t_tail("t", "df"), "2", "na + nb", "0")
+    + f") WHERE {_LARGE}")
 _PLAIN = "test_name, statistic, dof, p_value, alpha, reject_null, conclusion, n_groups, n_rows, n_dropped, status"
 _GENDER = [("frequency", f"SELECT {_PLAIN} FROM ({_CHI_AB}) f"), ("severity", _SEVERITY)]
-_SEVERITY_AB = over_policies(_u(False) + ", m AS (SELECT avg(v) FILTER (Gender = 'Female') AS ma, avg(v) FILTER (Gender = 'Male') AS mb FROM v)"
+_SEVERITY_AB = over_policies(_SEVERITY_ROWS + ", m AS (SELECT avg(v) FILTER (Gender = 'Female') AS ma, avg(v) FILTER (Gender = 'Male') AS mb FROM v)"
     + f" SELECT q.*, round(ma, 4) AS group_a_severity, round(mb, 4) AS group_b_severity, round(mb - ma, 4) AS severity_difference,"
       " round((mb - ma) / ma * 100, 6) AS severity_difference_pct, CAST(na AS BIGINT) AS group_a_size,"
-      f" CAST(nb AS BIGINT) AS group_b_size, false AS use_parametric FROM ({_SEVERITY}) q, m, u")
+      f" CAST(nb AS BIGINT) AS group_b_size, {_LARGE} AS use_parametric FROM ({_SEVERITY}) q, m, u")
 
 SQL = {
     "average_rank": _rank_sql(False),
@@ -214,11 +223,11 @@ SQL = {
     "postal_risk_all": _postal_sql("ALL"),
     "postal_margin_test": over_policies(_ZIPS.format(k=20) + _kruskal_members("zm", "m_") + _report(
         "postal_margin", [("margin", _kruskal_result("m_"))], _VALID)),
-    "gender_risk": over_policies(_TABLE + _u(False) + _report("gender_risk", _GENDER)),
+    "gender_risk": over_policies(_TABLE + _SEVERITY_ROWS + _report("gender_risk", _GENDER)),
 }
 
 # All four reports at once; the tables of the reports do not share names.
-_ALL = _PROVINCE_RISK + _postal(20) + _kruskal_members("zm", "m_") + _TABLE + _u(False)
+_ALL = _PROVINCE_RISK + _postal(20) + _kruskal_members("zm", "m_") + _TABLE + _SEVERITY_ROWS
 
 
 def _p(query):

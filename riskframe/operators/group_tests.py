@@ -27,24 +27,25 @@ def chi2_frequency_k(
     """
     claim = F.col(claims)
     groups = keyed(df, key).groupBy(key).agg(
-        F.count_if(claim > 0).cast("double").alias("c"),
-        F.count_if(claim == 0).cast("double").alias("z"),
-        F.count(F.lit(1)).alias("rows"),
+        F.count_if(claim > 0).cast("double").alias("_hit"),
+        F.count_if(claim == 0).cast("double").alias("_none"),
+        F.count(F.lit(1)).alias("_rows"),
     )
     totals = groups.agg(
-        F.sum("c").alias("C"), F.sum("z").alias("Z"), F.count(F.lit(1)).alias("k")
+        F.sum("_hit").alias("_hits"), F.sum("_none").alias("_nones"), F.count(F.lit(1)).alias("_k")
+    )
+    size, n = F.col("_hit") + F.col("_none"), F.col("_hits") + F.col("_nones")
+    gap = F.abs(F.col("_hit") - F.try_divide(size * F.col("_hits"), n))
+    gap = F.when(F.col("_k") == 2, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
+    part = F.try_divide(gap * gap * n, size * F.col("_hits")) + F.try_divide(
+        gap * gap * n, size * F.col("_nones")
     )
-    size = F.col("c") + F.col("z")
-    n = F.col("C") + F.col("Z")
-    gap = F.abs(F.col("c") - F.try_divide(size * F.col("C"), n))
-    gap = F.when(F.col("k") == 2, gap - F.least(F.lit(0.5), gap)).otherwise(gap)
-    part = F.try_divide(gap * gap * n, size * F.col("C")) + F.try_divide(gap * gap * n, size * F.col("Z"))
     summed = groups.crossJoin(F.broadcast(totals)).agg(
         F.sum(part).alias("x"),
         F.count_if(part.isNull()).alias("empty"),
         F.count(F.lit(1)).alias("n_groups"),
         F.coalesce(F.sum(size), F.lit(0e0)).alias("n_rows"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("all_rows"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("all_rows"),
     )
     valid = (F.col("n_groups") >= 2) & (F.col("empty") == 0)
     tested = summed.select(
