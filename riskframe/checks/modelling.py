@@ -1,2 +1,150 @@
-QUERIES = {}
-SQL = {}
+"""Model metrics, per-group regression, fits and attribution."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskframe.checks.common import AS_OF_YEAR, over_policies, policies, rounded, staged
+from riskframe.functions import has_claim
+from riskframe.operators import attribution, evaluation, models, zip_regression
+from riskframe.operators.features import hash_split
+from riskframe.plans import training
+from riskframe.sources import stage
+
+ID = "UnderwrittenCoverID"
+LINEAR = ["TotalPremium", "SumInsured"]
+TREES = ["TotalPremium", "SumInsured", "CalculatedPremiumPerTerm"]
+SMALL_ERRORS = {"rmse": 3, "mae": 3}
+TASK_INPUTS = [
+    ID, "PolicyID", "Province", "Gender", "CoverType", "VehicleType", "RegistrationYear", "SumInsured",
+    "CustomValueEstimate", "CalculatedPremiumPerTerm", "TotalPremium", "TotalClaims",
+]
+
+
+def _predicted(s, sf):
+    return policies(s, sf).select(
+        (F.col("SumInsured") / 120).alias("label"), (F.col("TotalPremium") / 12).alias("prediction"))
+
+
+def _classified(s, sf):
+    return policies(s, sf).select(
+        has_claim().alias("label"),
+        F.when(F.col("RegistrationYear") < 1975, 1).otherwise(0).alias("prediction"))
+
+
+def _scored(s, sf):
+    return staged(s, sf, "TotalClaims", "CustomValueEstimate").select(
+        has_claim().alias("label"), F.col("CustomValueEstimate").alias("score"))
+
+
+def _split(s, sf, nums, target="TotalClaims"):
+    table = stage(hash_split(models.numeric_vectors(policies(s, sf), nums, target, [ID]), [ID]))
+    return table.where(~F.col("is_test")), table.where("is_test")
+
+
+def _zips(s, sf, features):
+    fits = zip_regression.zip_regression(
+        staged(s, sf, "PostalCode", "TotalClaims", *zip_regression.FEATURES), features=features)
+    return fits.select(
+        "PostalCode", "SampleSize", "n_used", "RMSE", "R2", "Intercept",
+        *[F.col("Coefficients")[i].alias(f"b{i + 1}") for i in range(len(features or zip_regression.FEATURES))])
+
+
+def _linear_attribution(s, sf):
+    train, _ = _split(s, sf, LINEAR)
+    model = models.LinearRegression(regParam=0.0).fit(train)
+    return rounded(attribution.attribution(model, train), mean_abs_shap=3)
+
+
+def _linear_importance(s, sf):
+    train, test = _split(s, sf, LINEAR)
+    return rounded(models.feature_importance(train, models.fit_linear(train, test).model))
+
+
+def _tree_attribution(s, sf):
+    train, test = _split(s, sf, TREES)
+    model = models.fit_boosted(train, test, n=10, depth=4).model
+    return attribution.attribution(model, test)
+
+
+def _task(run, **options):
+    return lambda s, sf: run(
+        staged(s, sf, *TASK_INPUTS), AS_OF_YEAR, n=20, forest_depth=5, boosted_depth=4, **options).comparison
+
+
+QUERIES = {
+    "regression_metrics": lambda s, sf: rounded(evaluation.regression_metrics(_predicted(s, sf)), **SMALL_ERRORS),
+    "classification_metrics": lambda s, sf: rounded(evaluation.classification_metrics(_classified(s, sf))),
+    "roc_auc": lambda s, sf: rounded(evaluation.roc_auc(_scored(s, sf))),
+    "zip_regression": lambda s, sf: rounded(_zips(s, sf, LINEAR), RMSE=3, Intercept=3),
+    "zip_regression_three": lambda s, sf: _zips(s, sf, None),
+    "zip_regression_summary": lambda s, sf: rounded(zip_regression.zip_regression_summary(_zips(s, sf, LINEAR))),
+    "fit_linear": lambda s, sf: rounded(models.fit_linear(*_split(s, sf, LINEAR)).metrics, **SMALL_ERRORS),
+    "fit_forest": lambda s, sf: models.fit_forest(*_split(s, sf, TREES), depth=5).metrics,
+    "fit_boosted": lambda s, sf: models.fit_boosted(*_split(s, sf, TREES), n=20, depth=4).metrics,
+    "feature_importance": _linear_importance,
+    "attribution_linear": _linear_attribution,
+    "attribution_tree": _tree_attribution,
+    "severity_pipeline": _task(training.severity_pipeline),
+    "premium_pipeline": _task(training.premium_pipeline, exclude=["TotalPremium", "PremiumCategory"]),
+    "claim_probability_pipeline": _task(training.claim_probability_pipeline),
+}
+
+# Two-feature least squares by Cramer's rule over one-row moments.
+_B1 = "(s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12)"
+_B2 = "(s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12)"
+
+
+def _moments(x1, x2, y):
+    return (f"covar_pop({x1}, {x1}) AS s11, covar_pop({x1}, {x2}) AS s12, covar_pop({x2}, {x2}) AS s22,"
+            f" covar_pop({x1}, {y}) AS s1y, covar_pop({x2}, {y}) AS s2y, covar_pop({y}, {y}) AS syy,"
+            f" avg({x1}) AS m1, avg({x2}) AS m2, avg({y}) AS my, count(*) AS n")
+
+
+_FIT = f""", t AS (SELECT TotalPremium AS x1, SumInsured AS x2, TotalClaims AS y,
+    CAST('0x' || substr(md5(concat(CAST({ID} AS VARCHAR), '|42')), 1, 8) AS BIGINT) / 4294967296.0 < 0.2 AS is_test
+    FROM policies WHERE TotalPremium IS NOT NULL AND SumInsured IS NOT NULL AND TotalClaims IS NOT NULL),
+  s AS (SELECT {_moments('x1', 'x2', 'y')} FROM t WHERE NOT is_test),
+  b AS (SELECT {_B1} AS b1, {_B2} AS b2, my - {_B1} * m1 - {_B2} * m2 AS b0, m1, m2 FROM s)"""
+
+_ZIP = f""", z AS (SELECT PostalCode, count(*) AS size FROM policies WHERE PostalCode IS NOT NULL GROUP BY 1
+    HAVING count(*) >= 50 ORDER BY size DESC, PostalCode LIMIT 20),
+  t AS (SELECT PostalCode, size, TotalPremium AS x1, SumInsured AS x2, TotalClaims AS y FROM policies JOIN z USING (PostalCode)),
+  s AS (SELECT PostalCode, size, {_moments('x1', 'x2', 'y')} FROM t
+        WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2),
+  b AS (SELECT *, {_B1} AS b1, {_B2} AS b2 FROM s),
+  fits AS (SELECT PostalCode, size AS SampleSize, n AS n_used, sqrt(greatest(0, syy - b1 * s1y - b2 * s2y)) AS RMSE,
+        1 - greatest(0, syy - b1 * s1y - b2 * s2y) / nullif(syy, 0) AS R2, my - b1 * m1 - b2 * m2 AS Intercept, b1, b2 FROM b)"""
+
+SQL = {
+    "regression_metrics": over_policies("""SELECT count(*) AS n, round(sqrt(avg(power(y - p, 2))), 3) AS rmse,
+  round(1 - avg(power(y - p, 2)) / var_pop(y), 6) AS r2, round(avg(abs(y - p)), 3) AS mae
+  FROM (SELECT SumInsured / 120 AS y, TotalPremium / 12 AS p FROM policies) WHERE y IS NOT NULL AND p IS NOT NULL"""),
+    "classification_metrics": over_policies(""", t AS (SELECT CASE WHEN TotalClaims > 0 THEN 1 ELSE 0 END AS y,
+    CASE WHEN RegistrationYear < 1975 THEN 1 ELSE 0 END AS p FROM policies),
+  c AS (SELECT k, count(*) FILTER (y = k) AS s, count(*) FILTER (p = k) AS q, count(*) FILTER (y = k AND p = k) AS h
+        FROM t, (VALUES (0), (1)) v(k) GROUP BY k)
+  SELECT CAST(sum(s) AS BIGINT) AS n, round(sum(h) / sum(s), 6) AS accuracy,
+  round(sum(s * coalesce(h / nullif(q, 0), 0)) / sum(s), 6) AS precision,
+  round(sum(s * coalesce(h / nullif(s, 0), 0)) / sum(s), 6) AS recall,
+  round(sum(s * coalesce(2 * h / nullif(s + q, 0), 0)) / sum(s), 6) AS f1 FROM c"""),
+    "roc_auc": over_policies(""", t AS (SELECT CASE WHEN TotalClaims > 0 THEN 1 ELSE 0 END AS y, CustomValueEstimate AS v
+    FROM policies WHERE CustomValueEstimate IS NOT NULL),
+  r AS (SELECT y, rank() OVER (ORDER BY v) + (count(*) OVER (PARTITION BY v) - 1) / 2e0 AS r FROM t)
+  SELECT round((sum(r) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2)
+    / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)), 6) AS roc_auc,
+  count(*) FILTER (y = 1) AS n_positive, count(*) FILTER (y = 0) AS n_negative FROM r"""),
+    "zip_regression": over_policies(_ZIP + """ SELECT PostalCode, SampleSize, n_used, round(RMSE, 3) AS RMSE,
+  round(R2, 6) AS R2, round(Intercept, 3) AS Intercept, round(b1, 6) AS b1, round(b2, 6) AS b2 FROM fits"""),
+    "zip_regression_summary": over_policies(
+        _ZIP + " SELECT round(avg(R2), 6) AS mean_r2, count(*) AS n_groups FROM fits"),
+    "fit_linear": over_policies(_FIT + """, e AS (SELECT is_test, y, b0 + b1 * x1 + b2 * x2 AS p FROM t, b)
+  SELECT 'Linear Regression' AS model, CASE WHEN is_test THEN 'test' ELSE 'train' END AS side, count(*) AS n,
+  round(sqrt(avg(power(y - p, 2))), 3) AS rmse, round(1 - avg(power(y - p, 2)) / var_pop(y), 6) AS r2,
+  round(avg(abs(y - p)), 3) AS mae FROM e GROUP BY is_test"""),
+    "feature_importance": over_policies(_FIT + """ SELECT 'TotalPremium' AS feature, round(abs(b1), 6) AS importance FROM b
+  UNION ALL SELECT 'SumInsured', round(abs(b2), 6) FROM b"""),
+    "attribution_linear": over_policies(_FIT + """ SELECT 'TotalPremium' AS feature,
+  round(avg(abs(b1 * (x1 - m1))), 3) AS mean_abs_shap FROM t, b WHERE NOT is_test
+  UNION ALL SELECT 'SumInsured', round(avg(abs(b2 * (x2 - m2))), 3) FROM t, b WHERE NOT is_test"""),
+}
