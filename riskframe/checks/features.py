@@ -43,7 +43,7 @@ QUERIES = {
     "label_encode": lambda s, sf: f.label_encode(
         staged(s, sf, ID, "Gender", "VehicleType", "PostalCode"), ["Gender", "VehicleType", "PostalCode"]),
     "impute": lambda s, sf: rounded(
-        f.impute(staged(s, sf, ID, *FILLED)), CustomValueEstimate=4, TotalPremium=4),
+        f.impute(staged(s, sf, ID, *FILLED))),
     "hash_split": lambda s, sf: f.hash_split(policies(s, sf).select(ID), [ID]),
     "stratified_split": lambda s, sf: f.stratified_split(
         staged(s, sf, ID, "TotalClaims").select(ID, has_claim().alias("HasClaim")), "HasClaim", [ID]),
@@ -123,7 +123,7 @@ SQL = {
         f"SELECT {ID}, " + ", ".join(_code(c) for c in ("Gender", "VehicleType", "PostalCode")) + " FROM policies p"),
     "impute": over_policies(f""", q AS (SELECT quantile_cont(CustomValueEstimate, 0.5) AS v,
   quantile_cont(TotalPremium, 0.5) AS t FROM policies)
-  SELECT {ID}, round(coalesce(CustomValueEstimate, v), 4) AS CustomValueEstimate, round(coalesce(TotalPremium, t), 4)
+  SELECT {ID}, round(coalesce(CustomValueEstimate, v), 6) AS CustomValueEstimate, round(coalesce(TotalPremium, t), 6)
   AS TotalPremium, coalesce(Gender, {_mode('Gender')}) AS Gender, coalesce(VehicleType, {_mode('VehicleType')})
   AS VehicleType FROM policies, q"""),
     "hash_split": over_policies(

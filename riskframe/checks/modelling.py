@@ -77,7 +77,7 @@ QUERIES = {
     "classification_metrics": lambda s, sf: rounded(evaluation.classification_metrics(_classified(s, sf))),
     "roc_auc": lambda s, sf: rounded(evaluation.roc_auc(_scored(s, sf))),
     "zip_regression": lambda s, sf: rounded(_zips(s, sf, LINEAR), RMSE=3, Intercept=3),
-    "zip_regression_three": lambda s, sf: _zips(s, sf, None),
+    "zip_regression_three": lambda s, sf: rounded(_zips(s, sf, None), RMSE=3, Intercept=3),
     "zip_regression_summary": lambda s, sf: rounded(zip_regression.zip_regression_summary(_zips(s, sf, LINEAR))),
     "fit_linear": lambda s, sf: rounded(models.fit_linear(*_split(s, sf, LINEAR)).metrics, **SMALL_ERRORS),
     "fit_forest": lambda s, sf: models.fit_forest(*_split(s, sf, TREES), depth=5).metrics,
@@ -116,6 +116,31 @@ _ZIP = f""", z AS (SELECT PostalCode, count(*) AS size FROM policies WHERE Posta
   fits AS (SELECT PostalCode, size AS SampleSize, n AS n_used, sqrt(greatest(0, syy - b1 * s1y - b2 * s2y)) AS RMSE,
         1 - greatest(0, syy - b1 * s1y - b2 * s2y) / nullif(syy, 0) AS R2, my - b1 * m1 - b2 * m2 AS Intercept, b1, b2 FROM b)"""
 
+
+
+def _det(*c):
+    """Determinant of a 3 x 3 matrix given by rows."""
+    return (f"({c[0]} * ({c[4]} * {c[8]} - {c[5]} * {c[7]}) - {c[1]} * ({c[3]} * {c[8]} - {c[5]} * {c[6]})"
+            f" + {c[2]} * ({c[3]} * {c[7]} - {c[4]} * {c[6]}))")
+
+
+_ROWS3 = [["s11", "s12", "s13"], ["s12", "s22", "s23"], ["s13", "s23", "s33"]]
+
+
+def _cramer(i):
+    replaced = [[y if j == i else cell for j, cell in enumerate(row)] for row, y in zip(_ROWS3, ("s1y", "s2y", "s3y"))]
+    return f"{_det(*sum(replaced, []))} / {_det(*sum(_ROWS3, []))}"
+
+
+_ZIP3 = f""", z AS (SELECT PostalCode, count(*) AS size FROM policies WHERE PostalCode IS NOT NULL GROUP BY 1
+    HAVING count(*) >= 50 ORDER BY size DESC, PostalCode LIMIT 20),
+  t AS (SELECT PostalCode, size, TotalPremium AS x1, SumInsured AS x2, CustomValueEstimate AS x3, TotalClaims AS y
+        FROM policies JOIN z USING (PostalCode)),
+  s AS (SELECT PostalCode, size, {_moments('x1', 'x2', 'y')}, covar_pop(x1, x3) AS s13, covar_pop(x2, x3) AS s23,
+        covar_pop(x3, x3) AS s33, covar_pop(x3, y) AS s3y, avg(x3) AS m3 FROM t
+        WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND x3 IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2),
+  b AS (SELECT *, {_cramer(0)} AS b1, {_cramer(1)} AS b2, {_cramer(2)} AS b3 FROM s)"""
+
 SQL = {
     "regression_metrics": over_policies("""SELECT count(*) AS n, round(sqrt(avg(power(y - p, 2))), 3) AS rmse,
   round(1 - avg(power(y - p, 2)) / var_pop(y), 6) AS r2, round(avg(abs(y - p)), 3) AS mae
@@ -136,6 +161,10 @@ SQL = {
   count(*) FILTER (y = 1) AS n_positive, count(*) FILTER (y = 0) AS n_negative FROM r"""),
     "zip_regression": over_policies(_ZIP + """ SELECT PostalCode, SampleSize, n_used, round(RMSE, 3) AS RMSE,
   round(R2, 6) AS R2, round(Intercept, 3) AS Intercept, round(b1, 6) AS b1, round(b2, 6) AS b2 FROM fits"""),
+    "zip_regression_three": over_policies(_ZIP3 + """ SELECT PostalCode, size AS SampleSize, n AS n_used,
+  round(sqrt(greatest(0, rss)), 3) AS RMSE, round(1 - greatest(0, rss) / nullif(syy, 0), 6) AS R2,
+  round(my - b1 * m1 - b2 * m2 - b3 * m3, 3) AS Intercept, round(b1, 6) AS b1, round(b2, 6) AS b2, round(b3, 6) AS b3
+  FROM (SELECT *, syy - b1 * s1y - b2 * s2y - b3 * s3y AS rss FROM b)"""),
     "zip_regression_summary": over_policies(
         _ZIP + " SELECT round(avg(R2), 6) AS mean_r2, count(*) AS n_groups FROM fits"),
     "fit_linear": over_policies(_FIT + """, e AS (SELECT is_test, y, b0 + b1 * x1 + b2 * x2 AS p FROM t, b)

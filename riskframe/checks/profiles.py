@@ -6,25 +6,24 @@ from riskframe.checks.common import over_policies, policies, rounded, staged
 from riskframe.operators import metrics, profile
 
 STATS = ["TotalPremium", "TotalClaims", "CustomValueEstimate", "SumInsured", "CalculatedPremiumPerTerm"]
-STATS_DIGITS = dict.fromkeys(["mean", "std", "min", "max", "q25", "q50", "q75"], 4)
-BOX_DIGITS = dict.fromkeys(["q1", "median", "q3", "whisker_low", "whisker_high"], 4)
+STATS_DIGITS = dict.fromkeys(["mean", "std"], 4)
 
 
 def _claims_histogram(log_scale):
     def query(s, sf):
         claims = metrics.with_claims(staged(s, sf, "TotalClaims"))
-        return rounded(profile.histogram(claims, "TotalClaims", 50, log_scale), low=4, high=4)
+        return rounded(profile.histogram(claims, "TotalClaims", 50, log_scale))
     return query
 
 
 def _box(*by):
     return lambda s, sf: rounded(
-        profile.box_stats(staged(s, sf, "CustomValueEstimate", *by), "CustomValueEstimate", *by), **BOX_DIGITS)
+        profile.box_stats(staged(s, sf, "CustomValueEstimate", *by), "CustomValueEstimate", *by))
 
 
 def _bounds(col):
     return lambda s, sf: rounded(
-        profile.iqr_bounds(staged(s, sf, col), col), lower_bound=4, upper_bound=4)
+        profile.iqr_bounds(staged(s, sf, col), col))
 
 
 QUERIES = {
@@ -37,7 +36,7 @@ QUERIES = {
     "histogram": _claims_histogram(False),
     "histogram_log": _claims_histogram(True),
     "histogram_premium": lambda s, sf: rounded(
-        profile.histogram(staged(s, sf, "TotalPremium"), "TotalPremium", 50, True), low=4, high=4),
+        profile.histogram(staged(s, sf, "TotalPremium"), "TotalPremium", 50, True)),
     "log1p_if_positive": lambda s, sf: rounded(
         profile.log1p_if_positive(staged(s, sf, "SumInsured"), "SumInsured")),
     "box_stats": _box(),
@@ -49,8 +48,8 @@ QUERIES = {
 
 def _moments(c):
     return f"""SELECT '{c}' AS measure, count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
-  round(min({c}), 4) AS min, round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.5), 4) AS q50,
-  round(quantile_cont({c}, 0.75), 4) AS q75, round(max({c}), 4) AS max, round(skewness({c}), 6) AS skewness,
+  round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
+  round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max, round(skewness({c}), 6) AS skewness,
   round(kurtosis({c}), 6) AS kurtosis, round(stddev_samp({c}) / avg({c}), 6) AS coefficient_of_variation FROM policies"""
 
 
@@ -59,7 +58,7 @@ def _iqr(c):
   b AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi, q3 = q1 AS flat FROM q)
   SELECT count(*) FILTER (NOT flat AND ({c} < lo OR {c} > hi)) AS outlier_count,
   round(count(*) FILTER (NOT flat AND ({c} < lo OR {c} > hi)) / count(*) * 100, 6) AS outlier_percentage,
-  round(max(lo), 4) AS lower_bound, round(max(hi), 4) AS upper_bound FROM policies, b""")
+  round(max(lo), 6) AS lower_bound, round(max(hi), 6) AS upper_bound FROM policies, b""")
 
 
 def _histogram(values):
@@ -69,7 +68,7 @@ def _histogram(values):
   g AS (SELECT x, least(CAST(floor((x - lo) / w) AS INTEGER), 49) AS b, lo, w FROM v, s),
   c AS (SELECT CASE WHEN x < lo + b * w THEN b - 1 WHEN b < 49 AND x >= lo + (b + 1) * w THEN b + 1 ELSE b END AS bin,
         count(*) AS n FROM g GROUP BY 1)
-  SELECT e.bin, round(low, 4) AS low, round(high, 4) AS high, coalesce(n, 0) AS n FROM e LEFT JOIN c ON e.bin = c.bin""")
+  SELECT e.bin, round(low, 6) AS low, round(high, 6) AS high, coalesce(n, 0) AS n FROM e LEFT JOIN c ON e.bin = c.bin""")
 
 
 def _boxes(by):
@@ -80,9 +79,9 @@ def _boxes(by):
   {'AND ' + by + ' IS NOT NULL' if by else ''}),
   q AS (SELECT {key}count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
         quantile_cont(v, 0.75) AS q3 FROM r {group})
-  SELECT {key}n, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
-  round(least(min(v) FILTER (v >= q1 - 1.5 * (q3 - q1)), q1), 4) AS whisker_low,
-  round(greatest(max(v) FILTER (v <= q3 + 1.5 * (q3 - q1)), q3), 4) AS whisker_high,
+  SELECT {key}n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+  round(least(min(v) FILTER (v >= q1 - 1.5 * (q3 - q1)), q1), 6) AS whisker_low,
+  round(greatest(max(v) FILTER (v <= q3 + 1.5 * (q3 - q1)), q3), 6) AS whisker_high,
   count(*) FILTER (v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS n_fliers
   FROM r JOIN q {match} GROUP BY ALL""".replace("GROUP BY ALL", f"GROUP BY {key}n, q.q1, q.median, q.q3"))
 

@@ -64,7 +64,20 @@ diff AS (SELECT UnderwrittenCoverID, PolicyID, Gender, round(TotalPremium, 4) AS
                 CASE WHEN d > 0 THEN 'added' ELSE 'removed' END AS change, abs(d) AS copies FROM delta)
 """
 
+# Columns of the view, in order, with type and type family.
+_TYPES = [
+    ("UnderwrittenCoverID", "bigint"), ("PolicyID", "bigint"), ("TransactionMonth", "date"), ("Province", "string"),
+    ("MainCrestaZone", "string"), ("PostalCode", "string"), ("Gender", "string"), ("CoverType", "string"),
+    ("CoverCategory", "string"), ("VehicleType", "string"), ("Make", "string"), ("RegistrationYear", "int"),
+    ("SumInsured", "double"), ("CustomValueEstimate", "double"), ("CalculatedPremiumPerTerm", "double"),
+    ("TotalPremium", "double"), ("TotalClaims", "double"),
+]
+_KINDS = {"string": "categorical", "date": "datetime"}
+
 SQL = {
+    "column_profile": over_policies(" UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS dtype, '{_KINDS.get(t, 'numeric')}' AS kind,"
+        f" (SELECT count(*) FROM policies) AS n_rows, {len(_TYPES)} AS n_columns" for i, (c, t) in enumerate(_TYPES))),
     "quality_report": over_policies(f""", c AS (SELECT count(*) AS total,
   count(*) FILTER (TotalPremium < 0) AS negative_premiums, count(*) FILTER (TotalClaims < 0) AS negative_claims,
   count(PolicyID) - count(DISTINCT PolicyID) + greatest(count(*) - count(PolicyID) - 1, 0) AS duplicate_ids FROM policies),
