@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions import kernels
 from riskframe.functions.columns import CLAIMS, PREMIUM, margin, ratio
-from riskframe.operators.ordering import clean, rank_sums
+from riskframe.operators.ordering import clean, rank_sums, small_side
 from riskframe.operators.outcome import OUTCOME, outcome, percent_change
 from riskframe.schema import require_columns
 
@@ -208,7 +208,7 @@ def shapiro_wilk(df: DataFrame, value: str, group: str) -> DataFrame:
     sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     fits = sizes.where(F.col("n").between(3, NORMALITY_LIMIT))
     tested = (
-        rows.join(fits.select("grp"), "grp", "left_semi")
+        rows.join(small_side(fits.select("grp")), "grp", "left_semi")
         .groupBy("grp")
         .applyInPandas(test, SHAPIRO_SCHEMA)
         .withColumn("status", F.lit("ok"))

@@ -17,7 +17,7 @@ from riskframe.functions.columns import (
     value_band,
     vehicle_age,
 )
-from riskframe.operators.ordering import clean, exact_quantiles
+from riskframe.operators.ordering import clean, exact_quantiles, small_side
 
 IDS = ["PolicyID", "UnderwrittenCoverID"]
 
@@ -211,7 +211,7 @@ def label_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}")
         )
         text = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-        out = out.join(lookup, text == F.col(f"_v{i}"), "left").withColumn(c, F.col(f"_c{i}"))
+        out = out.join(small_side(lookup), text == F.col(f"_v{i}"), "left").withColumn(c, F.col(f"_c{i}"))
         out = out.drop(f"_v{i}", f"_c{i}")
     return out
 
@@ -340,7 +340,7 @@ def stratified_split(
         .groupBy("_label")
         .agg(F.min("_hash").alias("_last"))
     )
-    marked = df.join(last, F.col(label) == F.col("_label"), "left")
+    marked = df.join(small_side(last), F.col(label) == F.col("_label"), "left")
     return marked.withColumn(out, F.coalesce(hashed <= F.col("_last"), F.lit(False))).drop(
         "_label", "_last"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.columns import CLAIMS, POLICY, PREMIUM, month_of, ratio
+from riskframe.operators.ordering import small_side
 from riskframe.schema import require_columns
 
 
@@ -211,12 +212,8 @@ def group_sizes(df: DataFrame, key: str, min_n: int) -> DataFrame:
 
 
 def min_sample_filter(df: DataFrame, key: str, min_n: int) -> DataFrame:
-    """Rows whose key occurs at least min_n times.
-
-    The list of keys grows with the data, so the choice between a broadcast and a
-    shuffled semi-join (with its skew handling) is left to the runtime statistics.
-    """
-    return df.join(group_sizes(df, key, min_n).select(key), key, "left_semi")
+    """Rows whose key occurs at least min_n times; a long list of keys is joined by a shuffle."""
+    return df.join(small_side(group_sizes(df, key, min_n).select(key)), key, "left_semi")
 
 
 def top_groups(df: DataFrame, key: str, k: int | None = 20, min_n: int = 1) -> DataFrame:

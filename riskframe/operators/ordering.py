@@ -18,6 +18,9 @@ from riskframe.schema import require_columns
 
 MIN_BUCKETS = 64
 MAX_BUCKETS = 10_000
+BROADCAST_ROWS = 100_000
+SKETCH_GROUPS = 512
+SKETCH_POINTS = 128
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -26,6 +29,18 @@ def default_buckets(df: DataFrame) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, 4 * partitions))
 
 
+def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """The table as a broadcast of known size if it has at most ``limit`` rows.
+
+    A larger table is returned as it is, for a shuffled join. Knowing the size before the
+    join is planned spares the other side a shuffle that a late decision would waste.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def clean(column: Column) -> Column:
     """Double value with NaN as NULL and -0.0 as 0.0, so that equal values compare equal."""
     value = column.cast("double") + F.lit(0.0)
@@ -33,9 +48,19 @@ def clean(column: Column) -> Column:
 
 
 def cut_points(df: DataFrame, columns: list[str], buckets: int) -> list[list[float]]:
-    """Increasing cut points per column: a small sketch, one job for all columns."""
-    grid = [i / buckets for i in range(1, buckets)]
-    return [sorted(set(c)) or [0.0] for c in df.approxQuantile(columns, grid, 0.25 / buckets)]
+    """Increasing cut points per column, from approximate quantiles; one job for all columns.
+
+    The sketches of the input partitions are merged in SKETCH_GROUPS groups and their
+    quantiles pooled, so neither the driver nor one task meets a sketch per partition.
+    """
+    local = F.array(*[F.lit((i + 0.5) / SKETCH_POINTS) for i in range(SKETCH_POINTS)])
+    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    sketches = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
+        *[F.percentile_approx(c, local, 4 * SKETCH_POINTS).alias(c) for c in columns]
+    )
+    pooled = sketches.select(F.explode(F.arrays_zip(*columns)).alias("_p")).select("_p.*")
+    cuts = pooled.agg(*[F.percentile_approx(c, grid, 2 * MAX_BUCKETS).alias(c) for c in columns]).first()
+    return [sorted(set(cuts[c] or [])) or [0.0] for c in columns]
 
 
 def bucketed(
@@ -107,10 +132,7 @@ def exact_quantiles(
     for p in probs:
         for position in (low(p), high(p)):
             wanted = wanted | ((position >= F.col("start")) & (position < F.col("stop")))
-    needed = bucket_positions(cells, by).where(wanted).drop("stop")
-    if not by:
-        # At most two buckets per probability and column, whatever the data.
-        needed = F.broadcast(needed)
+    needed = small_side(bucket_positions(cells, by).where(wanted).drop("stop"))
     counted = (
         cells.join(needed, [*keys, "bucket"])
         .groupBy(*keys, "bucket", "start", "n", "value")
@@ -150,17 +172,17 @@ def value_ranks(
     With ``by``, one row per value and key; ``ties`` counts the value over all keys.
     """
     cells = bucketed(df, [value], by, buckets)
-    starts = bucket_positions(cells.select("measure", "bucket")).select("bucket", "start", "n")
+    # One row per bucket, at most MAX_BUCKETS of them.
+    starts = small_side(bucket_positions(cells.select("measure", "bucket")).select("bucket", "start", "n"))
     counted = cells.groupBy("bucket", "value", *by).agg(F.count(F.lit(1)).alias("copies"))
     upto = Window.partitionBy("bucket").orderBy("value").rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     same = Window.partitionBy("bucket", "value")
-    # One row per bucket, at most MAX_BUCKETS of them.
     return (
         counted.withColumn("ties", F.sum("copies").over(same))
         .withColumn("_upto", F.sum("copies").over(upto))
-        .join(F.broadcast(starts), "bucket")
+        .join(starts, "bucket")
         .select(
             *by,
             "value",

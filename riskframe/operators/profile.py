@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskframe import schema as catalog
 from riskframe.functions.columns import ratio
-from riskframe.operators.ordering import clean, exact_quantiles
+from riskframe.operators.ordering import clean, exact_quantiles, small_side
 
 STATS_SCHEMA = T.StructType(
     [T.StructField("measure", T.StringType()), T.StructField("n", T.LongType())]
@@ -192,7 +192,7 @@ def box_stats(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
     )
     rows = df.select(*keys, clean(F.col(col)).alias("value")).where(F.col("value").isNotNull())
     if by:
-        joined = rows.join(boxes, by)
+        joined = rows.join(small_side(boxes), by)
     else:
         joined = rows.crossJoin(F.broadcast(boxes))
     reach = (F.col("q3") - F.col("q1")) * F.lit(1.5)
