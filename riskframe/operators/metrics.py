@@ -32,6 +32,11 @@ def claim_severity(claims: str = CLAIMS) -> Column:
     return F.avg(F.when(F.col(claims) > 0, F.col(claims)))
 
 
+def correlation(x: str | Column, y: str | Column) -> Column:
+    """Aggregate: Pearson correlation over the rows that have both, NULL without variance."""
+    return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
+
+
 def with_claims(df: DataFrame, claims: str = CLAIMS) -> DataFrame:
     return df.where(F.col(claims) > 0)
 
@@ -183,7 +188,7 @@ def postal_scatter(df: DataFrame, key: str = "PostalCode") -> DataFrame:
 def postal_corr(df: DataFrame, key: str = "PostalCode") -> DataFrame:
     """Correlation of total premium with total claims over the postal codes."""
     return postal_scatter(df, key).agg(
-        F.corr("TotalPremium", "TotalClaims").alias("correlation"),
+        correlation("TotalPremium", "TotalClaims").alias("correlation"),
         F.count(F.lit(1)).alias("n_groups"),
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from riskframe import schema as catalog
 from riskframe.functions.columns import ratio
+from riskframe.operators.metrics import correlation
 from riskframe.operators.ordering import clean, exact_quantiles, small_side
 
 STATS_SCHEMA = T.StructType(
@@ -220,14 +221,13 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     for i, j in pairs:
         a, b = F.col(f"c{i}"), F.col(f"c{j}")
         aggregates.append(F.count_if(a.isNotNull() & b.isNotNull()).alias(f"n_{i}_{j}"))
-        aggregates.append(F.corr(a, b).alias(f"r_{i}_{j}"))
+        aggregates.append(correlation(a, b).alias(f"r_{i}_{j}"))
 
     def entry(i: int, j: int, x: int, y: int) -> Column:
-        r = F.col(f"r_{i}_{j}")
         return F.struct(
             F.lit(chosen[x]).alias("x"),
             F.lit(chosen[y]).alias("y"),
-            F.when(~F.isnan(r), r).alias("r"),
+            F.col(f"r_{i}_{j}").alias("r"),
             F.col(f"n_{i}_{j}").alias("n"),
         )
 
