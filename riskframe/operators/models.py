@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskframe.operators.evaluation import classification_metrics, regression_metrics, roc_auc
 from riskframe.operators.ordering import clean
 
-MISSING_CATEGORY = "￿"  # sorts after every category
+MISSING_CATEGORY = "\uffff"  # sorts after every category
 
 REGRESSION = "regression"
 CLASSIFICATION = "classification"
@@ -44,9 +44,9 @@ def vector_pipeline(cats: Sequence[str], nums: Sequence[str]) -> Pipeline:
     stages = []
     if cats:
         stages.append(StringIndexer(
-            inputCols=list(cats), outputCols=indexed, stringOrderType="alphabetDesc", handleInvalid="keep"
+            inputCols=list(cats), outputCols=indexed, stringOrderType="alphabetDesc", handleInvalid="error"
         ))
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="error"))
     stages.append(VectorAssembler(inputCols=[*encoded, *nums], outputCol="features", handleInvalid="error"))
     return Pipeline(stages=stages)
 
@@ -59,12 +59,21 @@ def assemble(
     keep: Sequence[str] = (),
     encoder: PipelineModel | None = None,
 ) -> tuple[DataFrame, PipelineModel]:
-    """(features, label and kept columns; fitted encoder). Rows without a target are dropped."""
+    """(features, label and kept columns; fitted encoder). Rows without a target are dropped.
+
+    A category that a given encoder has not seen gets zeros, as its first category does.
+    """
     ready = df.where(F.col(target).isNotNull()).withColumns(
         {c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING_CATEGORY)) for c in cats}
         | {c: F.col(c).cast("double") for c in nums}
     )
-    encoder = encoder or vector_pipeline(cats, nums).fit(ready)
+    if encoder is None:
+        encoder = vector_pipeline(cats, nums).fit(ready)
+    elif cats:
+        known = dict(zip(cats, encoder.stages[0].labelsArray))
+        ready = ready.withColumns({
+            c: F.when(F.col(c).isin(list(known[c])), F.col(c)).otherwise(F.lit(known[c][-1])) for c in cats
+        })
     table = encoder.transform(ready)
     return table.select(*keep, "features", F.col(target).cast("double").alias("label")), encoder
 

@@ -50,6 +50,16 @@ def test_vector_form_equals_indicator_columns(planted):
     assert both.where("a <> Gender_Male").count() == 0
 
 
+def test_vectors_of_missing_and_unseen_categories(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), (None, 3.0)], "t string, y double")
+    table, encoder = models.assemble(df, ["t"], [], "y", ["t"])
+    assert models.feature_names(table) == ["t_nan", "t_b"]
+    assert [list(r.features.toArray()) for r in table.orderBy("label").collect()] == [[0, 0], [0, 1], [1, 0]]
+    new = spark.createDataFrame([("z", 1.0), ("b", 2.0)], "t string, y double")
+    seen, _ = models.assemble(new, ["t"], [], "y", encoder=encoder)
+    assert [list(r.features.toArray()) for r in seen.orderBy("label").collect()] == [[0, 0], [0, 1]]
+
+
 def brute_force(root, x):
     """Shapley values of one tree by all subsets, with the cover-weighted value of a subset."""
     used = set()
