@@ -10,12 +10,12 @@ from riskframe.operators.metrics import with_claims
 from riskframe.plans import hypothesis
 
 SEGMENTS = ["Province", "PostalCode", "Gender", "TotalPremium", "TotalClaims"]
-BAND = F.floor(F.col("TotalClaims") / 1000).cast("double")
+BAND = "CAST(floor(TotalClaims / 1000) AS DOUBLE)"
 
 
 def _claims(s, sf, *keys, banded=False):
     claims = with_claims(staged(s, sf, *keys, "TotalClaims"))
-    return claims.withColumn("TotalClaims", BAND) if banded else claims
+    return claims.withColumn("TotalClaims", F.expr(BAND)) if banded else claims
 
 
 def _mann_whitney(banded):
