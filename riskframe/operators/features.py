@@ -18,6 +18,7 @@ from riskframe.functions.columns import (
     vehicle_age,
 )
 from riskframe.operators.ordering import clean, exact_quantiles, small_side
+from riskframe.sources.tables import stage
 
 IDS = ["PolicyID", "UnderwrittenCoverID"]
 
@@ -178,7 +179,7 @@ def label_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Texts are spread over buckets by cut points, drawn from a hash sample of the distinct
     texts, so no task orders a whole dictionary; bucket totals make the ranks exact.
     """
-    words = _text_cells(df, cols, "nan").distinct()
+    words = stage(_text_cells(df, cols, "nan").distinct())
     total = words.count()
     keep_one_in = max(1, total // (LABEL_BUCKETS * 20))
     drawn = words.where(F.pmod(F.xxhash64("measure", "value"), F.lit(keep_one_in)) == 0)

@@ -226,8 +226,8 @@ def top_groups(df: DataFrame, key: str, k: int | None = 20, min_n: int = 1) -> D
     if k is None:
         return min_sample_filter(df, key, min_n)
     keys = group_sizes(df, key, min_n).orderBy(F.col("n").desc(), key).limit(k)
-    # k rows, by construction.
-    return df.join(F.broadcast(keys.select(key)), key, "left_semi")
+    # Found once, so that later passes over the rows need not count the groups again.
+    return df.join(small_side(keys.select(key)), key, "left_semi")
 
 
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:

@@ -42,38 +42,27 @@ def descriptive_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     chosen = [c for c in chosen if c in df.columns]
     if not chosen:
         return df.sparkSession.createDataFrame([], STATS_SCHEMA)
-    aggregates = []
-    for i, c in enumerate(chosen):
-        v = clean(F.col(c))
-        aggregates += [
-            F.count(v).alias(f"n{i}"), F.avg(v).alias(f"avg{i}"), F.stddev_samp(v).alias(f"sd{i}"),
-            F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}"),
-            F.skewness(v).alias(f"g1{i}"), F.kurtosis(v).alias(f"g2{i}"),
-        ]
-
-    def row(i: int, c: str) -> Column:
-        n = F.col(f"n{i}").cast("double")
-        skew = F.when(n >= 3, F.col(f"g1{i}") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0e0)))
-        kurt = F.when(
-            n >= 4,
-            (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0e0)) * ((n + 1) * F.col(f"g2{i}") + 6),
+    v, n = F.col("v"), F.col("n").cast("double")
+    skew = F.when(n >= 3, F.col("g1") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0e0)))
+    kurt = F.when(
+        n >= 4, (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0e0)) * ((n + 1) * F.col("g2") + 6)
+    )
+    # One group per column keeps the generated code the same size for any number of them.
+    moments = (
+        df.select(F.posexplode(F.array(*[clean(F.col(c)) for c in chosen])).alias("i", "v"))
+        .groupBy("i")
+        .agg(
+            F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+            F.min(v).alias("min"), F.max(v).alias("max"),
+            F.skewness(v).alias("g1"), F.kurtosis(v).alias("g2"),
         )
-        return F.struct(
-            F.lit(c).alias("measure"),
-            F.col(f"n{i}").alias("n"),
-            F.col(f"avg{i}").alias("mean"),
-            F.col(f"sd{i}").alias("std"),
-            F.col(f"lo{i}").alias("min"),
-            F.col(f"hi{i}").alias("max"),
+        .select(
+            F.element_at(F.array(*[F.lit(c) for c in chosen]), F.col("i") + 1).alias("measure"),
+            "n", "mean", "std", "min", "max",
             skew.alias("skewness"),
             kurt.alias("kurtosis"),
-            ratio(F.col(f"sd{i}"), F.col(f"avg{i}")).alias("coefficient_of_variation"),
+            ratio(F.col("std"), F.col("mean")).alias("coefficient_of_variation"),
         )
-
-    moments = (
-        df.agg(*aggregates)
-        .select(F.explode(F.array(*[row(i, c) for i, c in enumerate(chosen)])).alias("r"))
-        .select("r.*")
     )
     quartiles = exact_quantiles(df, chosen, [0.25, 0.5, 0.75]).select(
         "measure",
@@ -212,25 +201,25 @@ def box_stats(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of columns over the rows that have both: (x, y, r, n).
 
-    All pairs come from one aggregation; a pair without variance gives NULL.
+    Each row is opened into its pairs of cells and aggregated per pair, at most
+    len(cols)^2 groups, in one scan; a pair without variance gives NULL.
     """
     chosen = catalog.select_by_kind(df, "numeric") if cols is None else list(cols)
-    values = df.select([clean(F.col(c)).alias(f"c{i}") for i, c in enumerate(chosen)])
-    pairs = [(i, j) for i in range(len(chosen)) for j in range(i, len(chosen))]
-    aggregates = []
-    for i, j in pairs:
-        a, b = F.col(f"c{i}"), F.col(f"c{j}")
-        aggregates.append(F.count_if(a.isNotNull() & b.isNotNull()).alias(f"n_{i}_{j}"))
-        aggregates.append(correlation(a, b).alias(f"r_{i}_{j}"))
-
-    def entry(i: int, j: int, x: int, y: int) -> Column:
-        return F.struct(
-            F.lit(chosen[x]).alias("x"),
-            F.lit(chosen[y]).alias("y"),
-            F.col(f"r_{i}_{j}").alias("r"),
-            F.col(f"n_{i}_{j}").alias("n"),
-        )
-
-    entries = [entry(i, j, i, j) for i, j in pairs]
-    entries += [entry(i, j, j, i) for i, j in pairs if i != j]
-    return values.agg(*aggregates).select(F.explode(F.array(*entries)).alias("r")).select("r.*")
+    cells = df.select(F.array(*[clean(F.col(c)) for c in chosen]).alias("cells"))
+    pairs = (
+        cells.select("cells", F.posexplode("cells").alias("i", "a"))
+        .select("i", "a", F.posexplode("cells").alias("j", "b"))
+        .where(F.col("i") <= F.col("j"))
+        .groupBy("i", "j")
+        .agg(correlation("a", "b").alias("r"), F.regr_count("b", "a").alias("n"))
+    )
+    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    )
+    names = F.array(*[F.lit(c) for c in chosen])
+    return pairs.select("r", "n", F.explode(both).alias("p")).select(
+        F.element_at(names, F.col("p.i") + 1).alias("x"),
+        F.element_at(names, F.col("p.j") + 1).alias("y"),
+        "r",
+        "n",
+    )

@@ -34,6 +34,16 @@ def read_snapshot(spark: SparkSession, root: str, version: str | None = None) ->
     return spark.read.parquet(root)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over the cores if the table has fewer files than there are cores.
+
+    A few unsplittable files would leave most cores idle; a table of many files is
+    returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Cut the lineage of a table that several jobs will read.
 
@@ -49,7 +59,7 @@ def stage(df: DataFrame) -> DataFrame:
             return df.persist(StorageLevel.MEMORY_AND_DISK)
         folder = tempfile.mkdtemp(prefix="riskframe-")
     path = f"{folder}/riskframe/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    spread(df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
