@@ -327,7 +327,7 @@ def stratified_split(
     )
     cut = placed.where((F.col("_want") > F.col("_start")) & (F.col("_want") <= F.col("_stop")))
     copies = (
-        rows.join(cut.drop("_stop"), ["_label", "_prefix"])
+        rows.join(small_side(cut.drop("_stop")), ["_label", "_prefix"])
         .groupBy("_label", "_prefix", "_start", "_want", "_hash")
         .agg(F.count(F.lit(1)).alias("_n"))
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.evaluation import classification_metrics, regression_metrics, roc_auc
 from riskframe.operators.ordering import clean
+from riskframe.sources.tables import stage
 
 MISSING_CATEGORY = "\uffff"  # sorts after every category
 
@@ -110,6 +111,8 @@ def _evaluate(name: str, task: str, model: Model, train: DataFrame, test: DataFr
     if task == REGRESSION:
         metrics = regression_metrics(pred, by=["side"])
     else:
+        # The ranks behind the curve take several passes: keep them off the model.
+        pred = stage(pred.select("side", "label", "prediction", "score"))
         metrics = classification_metrics(pred, by=["side"])
         auc = reduce(
             DataFrame.unionByName,

@@ -8,7 +8,7 @@ bucket and are summed before they are shuffled, so a hot value is one row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -47,14 +47,18 @@ def clean(column: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _doubles(values: Iterable[float]) -> Column:
+    return F.expr(f"array({', '.join(f'{v!r}D' for v in values)})")
+
+
 def cut_points(df: DataFrame, columns: list[str], buckets: int) -> list[list[float]]:
     """Increasing cut points per column, from approximate quantiles; one job for all columns.
 
     The sketches of the input partitions are merged in SKETCH_GROUPS groups and their
     quantiles pooled, so neither the driver nor one task meets a sketch per partition.
     """
-    local = F.array(*[F.lit((i + 0.5) / SKETCH_POINTS) for i in range(SKETCH_POINTS)])
-    grid = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    local = _doubles((i + 0.5) / SKETCH_POINTS for i in range(SKETCH_POINTS))
+    grid = _doubles(i / buckets for i in range(1, buckets))
     sketches = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
         *[F.percentile_approx(c, local, 4 * SKETCH_POINTS).alias(c) for c in columns]
     )

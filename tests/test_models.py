@@ -175,3 +175,14 @@ def test_reports(spark, sf_small):
     assert [r.report for r in summary.collect()] == ["gender_risk"]
     advice = hypothesis.recommendations(summary).collect()
     assert len(advice) == 1 and advice[0].area == "Gender-Based Pricing"
+
+
+def test_batch_entry_point(spark, tmp_path):
+    from riskframe.__main__ import main
+
+    source = str(tmp_path / "policies.csv")
+    synthetic_policies(spark, 400, kind="tests").coalesce(1).write.option("header", True).csv(source)
+    main(["eda", source, str(tmp_path / "eda")])
+    assert spark.read.parquet(str(tmp_path / "eda" / "portfolio")).first().Rows == 400
+    main(["hypotheses", source, str(tmp_path / "tests")])
+    assert spark.read.parquet(str(tmp_path / "tests" / "summary")).count() == 4
