@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.columns import CLAIMS, POLICY, PREMIUM, month_of, ratio
 from riskframe.operators.ordering import small_side
 from riskframe.schema import require_columns
+from riskframe.sources.readers import coerce_date
 
 
 def total(column: str) -> Column:
@@ -111,7 +112,8 @@ def category_counts(df: DataFrame, col: str, top_n: int | None = 20) -> DataFram
 def temporal_trend(df: DataFrame, date_col: str, value_col: str, how: str = "sum") -> DataFrame:
     """Sum, mean or (for any other name) count of a value per date."""
     value = {"sum": total(value_col), "mean": F.avg(value_col)}.get(how, F.count(value_col))
-    return keyed(df, date_col).groupBy(date_col).agg(value.alias("value")).orderBy(date_col)
+    dated = keyed(coerce_date(df, date_col), date_col)
+    return dated.groupBy(date_col).agg(value.alias("value")).orderBy(date_col)
 
 
 def loss_ratio_by(df: DataFrame, key: str, top_n: int | None = 15) -> DataFrame:
@@ -134,7 +136,8 @@ def risk_return(df: DataFrame, key: str = "Province") -> DataFrame:
 
 def monthly_kpis(df: DataFrame, date_col: str = "TransactionMonth") -> DataFrame:
     """KPIs per calendar month, in order of time."""
-    return segment_kpis(df.withColumn("Month", month_of(date_col)), ["Month"]).orderBy("Month")
+    dated = coerce_date(df, date_col).withColumn("Month", month_of(date_col))
+    return segment_kpis(dated, ["Month"]).orderBy("Month")
 
 
 def vehicle_risk(

@@ -18,6 +18,7 @@ from riskframe.operators.evaluation import classification_metrics, regression_me
 from riskframe.operators.ordering import clean
 from riskframe.sources.tables import stage
 
+MAX_CATEGORIES = 100_000
 MISSING_CATEGORY = "\uffff"  # sorts after every category
 
 REGRESSION = "regression"
@@ -35,6 +36,16 @@ class Fitted:
     metrics: DataFrame
 
 
+def check_categories(df: DataFrame, cats: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
+    """ValueError for a column of more categories than the driver should hold."""
+    if not cats:
+        return
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cats]).first().asDict()
+    large = [c for c, n in sizes.items() if n > limit]
+    if large:
+        raise ValueError(f"Too many categories in {large} (limit {limit}): exclude or label-encode them")
+
+
 def vector_pipeline(cats: Sequence[str], nums: Sequence[str]) -> Pipeline:
     """One-hot vectors (first category dropped, missing last) and numbers as ``features``.
 
@@ -69,6 +80,7 @@ def assemble(
         | {c: F.col(c).cast("double") for c in nums}
     )
     if encoder is None:
+        check_categories(ready, cats)
         encoder = vector_pipeline(cats, nums).fit(ready)
     elif cats:
         known = dict(zip(cats, encoder.stages[0].labelsArray))

@@ -60,6 +60,12 @@ def test_vectors_of_missing_and_unseen_categories(spark):
     assert [list(r.features.toArray()) for r in seen.orderBy("label").collect()] == [[0, 0], [0, 1]]
 
 
+def test_too_many_categories(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("t"))
+    with pytest.raises(ValueError):
+        models.check_categories(df, ["t"], limit=10)
+
+
 def brute_force(root, x):
     """Shapley values of one tree by all subsets, with the cover-weighted value of a subset."""
     used = set()

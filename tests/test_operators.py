@@ -49,6 +49,16 @@ def test_figures_of_the_view(spark, sf_small):
     assert (k.Rows, round(k.TotalPremium, 2), round(k.TotalClaims, 2)) == (6000, 294709500.62, 51996905.99)
 
 
+def test_trends_read_text_dates_and_drop_bad_ones(spark):
+    df = spark.createDataFrame(
+        [("2015-01-31", 1, 10.0, 1.0), ("2015-01-02", 2, 10.0, None), ("bad", 3, 1.0, 1.0), (None, 4, 1.0, 1.0)],
+        "TransactionMonth string, PolicyID long, TotalPremium double, TotalClaims double")
+    months = metrics.monthly_kpis(df).collect()
+    assert [(str(r.Month), r.PolicyCount, r.TotalPremium) for r in months] == [("2015-01-01", 2, 20.0)]
+    for how, want in (("sum", [0.0, 1.0]), ("mean", [None, 1.0]), ("median", [0, 1])):
+        assert [r.value for r in metrics.temporal_trend(df, "TransactionMonth", "TotalClaims", how).collect()] == want
+
+
 def test_empty_table(spark):
     k = metrics.portfolio_kpis(money(spark, [])).first()
     assert (k.Rows, k.TotalPremium, k.LossRatio, k.ClaimFrequency) == (0, 0.0, None, None)
