@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = ["lineitem", "orders", "customer", "nation", "region", "part"]
 
@@ -43,7 +44,17 @@ JOIN {part}     ON l_partkey   = p_partkey
 """
 
 
+# Schemas read from the files, by path: asking a file for its schema is a job of its own.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The policy view over the Parquet tables of one folder; lazy, joins left to Catalyst."""
-    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES}
+    tables = {t: read_table(spark, f"{sf_dir}/{t}.parquet") for t in TABLES}
     return spark.sql(POLICIES_SQL, **tables)
