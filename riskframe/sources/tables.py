@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def write_result(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None
@@ -34,32 +34,33 @@ def read_snapshot(spark: SparkSession, root: str, version: str | None = None) ->
     return spark.read.parquet(root)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt over the cores if the table has fewer files than there are cores.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
-    A few unsplittable files would leave most cores idle; a table of many files is
-    returned as it is, without a shuffle.
+    Where the setting is absent, staged tables go below the warehouse, which a session
+    shares with its executors as well.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, folder: str | None = None) -> DataFrame:
     """Cut the lineage of a table that several jobs will read.
 
-    The table is written to the shared folder of ``spark.checkpoint.dir`` and read back,
-    so later passes scan only the columns they need and survive lost executors. Without
-    that setting a local session writes to a temporary folder; a cluster session, where
-    no folder is known to be shared, persists the table with its lineage.
+    The table is written to a new folder below ``folder`` (by default the session's
+    shared folder) and read back, so later passes scan only the columns they need and
+    survive lost executors. Shuffle files of the job are dropped once it has been
+    written. Staged folders belong to whoever owns the shared folder; nothing is deleted
+    here.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            return df.persist(StorageLevel.MEMORY_AND_DISK)
-        folder = tempfile.mkdtemp(prefix="riskframe-")
-    path = f"{folder}/riskframe/{uuid.uuid4().hex}"
-    spread(df).write.parquet(path)
+    path = f"{folder or shared_folder(spark)}/riskframe/{uuid.uuid4().hex}"
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
