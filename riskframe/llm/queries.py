@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import records, substrings
+from riskframe.llm import mixing, near_duplicates, records, substrings
 from riskframe.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,9 +24,19 @@ def op10_substring_dedup(spark, sf_dir):
     return substrings.substring_dedup(docs, length=35, with_text=False).drop("kept_text")
 
 
+def op1_near_duplicates(spark, sf_dir):
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark, sf_dir):
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
+    "op4_mixing": op4_mixing,
     "op3_token_records": op3_token_records,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL = {"op4_mixing": mixing.MIX_SQL.format(documents="documents")}
