@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import mixing, near_duplicates, records, substrings
+from riskframe.llm import decontamination, mixing, near_duplicates, quality_rules, records, substrings
 from riskframe.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -32,9 +32,19 @@ def op4_mixing(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark, sf_dir):
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("node")
+
+
+def op6_decontamination(spark, sf_dir):
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("node")
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op4_mixing": op4_mixing,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_decontamination": op6_decontamination,
     "op3_token_records": op3_token_records,
     "op10_substring_dedup": op10_substring_dedup,
 }
