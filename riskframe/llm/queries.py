@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import decontamination, mixing, near_duplicates, quality_rules, records, substrings
+from riskframe.llm import decontamination, licenses, mixing, near_duplicates, quality_rules, records, secrets, substrings
 from riskframe.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -40,12 +40,22 @@ def op6_decontamination(spark, sf_dir):
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("node")
 
 
+def op7_license_scan(spark, sf_dir):
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op8_secret_scan(spark, sf_dir):
+    return secrets.secret_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op3_token_records": op3_token_records,
+    "op7_license_scan": op7_license_scan,
+    "op8_secret_scan": op8_secret_scan,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
