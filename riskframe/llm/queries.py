@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import decontamination, licenses, mixing, near_duplicates, quality_rules, records, secrets, substrings
+from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, quality_rules, records, secrets, substrings, toxicity
 from riskframe.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -48,14 +48,25 @@ def op8_secret_scan(spark, sf_dir):
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark, sf_dir):
+    """Per document: lines with a word, how many of them go, and their numbers."""
+    return lines.line_counts(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_line_dedup": op2_line_dedup,
     "op4_mixing": op4_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op6_decontamination": op6_decontamination,
     "op3_token_records": op3_token_records,
     "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
+    "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
