@@ -9,7 +9,7 @@ from riskframe.llm.common import stage, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents in one ordered range of a source, about.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4_096
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0) -> DataFrame:
