@@ -84,12 +84,17 @@ def _signer(bands: int, rows: int) -> Callable:
     return run
 
 
+def _weights(count: np.ndarray) -> bytes:
+    """Empty where all are 1."""
+    return count.astype("<u4").tobytes() if (count > 1).any() else b""
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, words in word_batches(batch):
             doc, h, count = shingles(words)
             cut = np.searchsorted(doc, np.arange(b - a + 1))
-            pairs = [(h[x:y].tobytes(), count[x:y].astype("<u4").tobytes()) for x, y in zip(cut, cut[1:])]
+            pairs = [(h[x:y].tobytes(), _weights(count[x:y])) for x, y in zip(cut, cut[1:])]
             columns = [batch.slice(a, b - a).column(0), *(pa.array(c, pa.binary()) for c in zip(*pairs))]
             yield pa.RecordBatch.from_arrays(columns, ["node", "elements", "weights"])
 
@@ -121,7 +126,7 @@ def _verify(least: float) -> Callable:
             same = []
             for ea, wa, eb, wb in zip(*columns):
                 a, x, b, y = (np.frombuffer(v.as_buffer(), t) for v, t in zip((ea, wa, eb, wb), ("<u8", "<u4") * 2))
-                # the similarity is at most the smaller share of common elements
+                x, y = (w if len(w) else np.ones(len(e), np.uint32) for e, w in ((a, x), (b, y)))
                 same.append(bool(len(a) and len(b)) and probability_jaccard(a, x, b, y) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"])
 
@@ -136,31 +141,47 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame
     return joined.mapInArrow(_verify(least), "a long, b long, same boolean")
 
 
-def bucket_links(members: DataFrame, sets: DataFrame, least: float) -> DataFrame | None:
-    """Links (a, b) between similar nodes that share a bucket; members are (key, node).
+def class_roots(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """node, root of the classes: components of all similar pairs that share a bucket.
 
-    No bucket lists its pairs. In each round the open members of a bucket choose one of
-    them, by a hash of bucket and node, and every member of the bucket is compared with it.
-    Members found similar to one chosen are closed; the others stay open for the next
-    round, until all have been closed or chosen. Different buckets choose differently.
+    No bucket lists its pairs. In each round some members of a bucket that are not of its
+    largest class so far are compared with its members of other classes; the number grows
+    fourfold from one. Similar pairs join their classes. It ends when every member outside
+    the largest class of its buckets has been compared there, so that no similar pair of a
+    bucket is left between two classes; pairs inside a class need no comparison.
     """
+    roots = stage(members.select("node").distinct().withColumn("root", F.col("node")))
+    used: DataFrame | None = None
     tested: DataFrame | None = None
-    open_ = members
+    drawn = 1
     while True:
-        chosen = open_.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "node").alias("o"), "node")).alias("c"))
-        chosen = chosen.select("key", F.col("c.node").alias("chosen"))
-        near = members.join(chosen, "key").where("node <> chosen")
-        near = near.select("key", "node", "chosen", F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b"))
-        pairs = near.select("a", "b").distinct()
+        now = members.join(roots, "node")
+        sizes = now.groupBy("key", "root").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("k")).where("k > 1")
+        outside = now.join(largest.select("key", F.col("m.root").alias("main")), "key").where("root <> main")
+        if used is not None:
+            outside = outside.join(used, ["key", "node"], "left_anti")
+        outside = outside.select("key", "node", "root", F.xxhash64("key", "node").alias("o"))
+        counts = outside.groupBy("key").agg(F.min("o").alias("least"), F.count("*").alias("n"))
+        share = F.pmod("o", F.lit(1_000_000)) < F.lit(1_000_000 * (drawn - 1)) / F.col("n")
+        chosen = stage(outside.join(counts, "key").where((F.col("o") == F.col("least")) | share).select("key", "node", "root"))
+        if chosen.isEmpty():
+            return roots
+        other = chosen.select("key", F.col("node").alias("chosen"), F.col("root").alias("class"))
+        near = now.join(other, "key").where("root <> class")
+        pairs = near.select(F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b")).distinct()
         if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         found = stage(verified_pairs(pairs, sets, least))
+        same = found.where("same")
+        ra, rb = (roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
+        links = stage(same.join(ra, "a").join(rb, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
+        merged = components(links).select(F.col("node").alias("root"), F.col("root").alias("new"))
+        roots = stage(roots.join(merged, "root", "left").select("node", F.coalesce("new", "root").alias("root")))
+        used = chosen.select("key", "node") if used is None else used.unionByName(chosen.select("key", "node"))
+        found = found.select("a", "b")
         tested = found if tested is None else tested.unionByName(found)
-        similar = near.join(tested.where("same"), ["a", "b"], "left_semi").select("key", "node")
-        closed = similar.unionByName(chosen.select("key", F.col("chosen").alias("node")))
-        open_ = stage(open_.join(closed, ["key", "node"], "left_anti"))
-        if open_.isEmpty():
-            return tested.where("same").select("a", "b")
+        drawn *= 4
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -204,7 +225,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     same = (F.col("w.node") == F.col("s.node")) & F.col("w.doc_id").eqNullSafe(F.col("s.doc_id"))
     texts = source.alias("s").join(wanted.alias("w"), same, "left_semi").select("s.node", "s.text")
     sets = stage(texts.mapInArrow(_sets, "node long, elements binary, weights binary").dropDuplicates(["node"]))
-    roots = components(bucket_links(members.select("key", "node"), sets, least))
+    roots = class_roots(members.select("key", "node"), sets, least)
     rooted = signed.select("doc_id", "node").join(roots, "node", "left")
     rooted = stage(rooted.select("doc_id", F.coalesce("root", "node").alias("root")))
     classes = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"))
