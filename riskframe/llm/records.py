@@ -15,6 +15,7 @@ The index is a table of its own: a reader seeks to ``offset`` in ``file`` in any
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -25,14 +26,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import new_folder, small_batches, stage, text_of
-from riskframe.llm.words import SPACE, Words, pieces, ranges, text_buffer
+from riskframe.llm.words import PIECE_BYTES, SPACE, Words, pieces, ranges, text_buffer
 
 HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
 LABEL = struct.Struct("<qBB")
 MASK = 0xA282EAD8
 #: Distinct pieces that a worker remembers with their ids.
-MEMORY = 1_000_000
+MEMORY = 400_000
 #: Records in a file, which bounds what a reader holds at once.
 RECORDS_PER_FILE = 16_384
 
@@ -86,6 +87,7 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives the cores out
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -130,7 +132,7 @@ class PieceEncoder:
 
     def texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
         """Ids of each text in turn."""
-        for a, b in pieces(offsets):
+        for a, b in pieces(offsets, PIECE_BYTES // 2):
             part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             words = Words(part, at, lower=True, breaks=_letter_then_mark, space=SPACE)
             ids, before = self.encode(words)
