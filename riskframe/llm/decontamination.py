@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import small_batches, stage, text_of
 from riskframe.llm.words import SPACE, Words, ranges, text_buffer, word_batches
 
-SEED_WORDS, STRETCH = 3, 4
+SEED_WORDS, STRETCH, RARE = 3, 4, 10
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bytes of benchmark text that one pass over the documents looks for.
 BLOCK_BYTES = 8 << 20
@@ -50,14 +50,18 @@ class Items:
         return self.hash[self.first[item] : self.first[item + 1]]
 
     def rare(self, counts: dict[int, int]) -> "Items":
-        """Keep, of every STRETCH successive n-grams of an item, the one in the fewest documents."""
+        """Keep, of every STRETCH successive n-grams of an item, those rare beside the rarest of them.
+
+        All with at most RARE times its documents stay (counting one more), so that an
+        n-gram which edited copies lack is never the only seed.
+        """
         item = self.doc[self.at]
         stretch = (self.at - self.first[item]) // STRETCH
         found = np.array([counts.get(int(g), 0) for g in self.gram.view(np.int64)], np.int64)
-        order = np.lexsort((self.at, found, stretch, item))
-        new = np.ones(len(order), bool)
-        new[1:] = (item[order][1:] != item[order][:-1]) | (stretch[order][1:] != stretch[order][:-1])
-        keep = np.sort(order[new])
+        _, group = np.unique(np.stack([item, stretch], axis=1), axis=0, return_inverse=True)
+        least = np.full(len(found), np.iinfo(np.int64).max)
+        np.minimum.at(least, group.ravel(), found)
+        keep = found <= RARE * (least[group.ravel()] + 1)
         self.at, self.gram = self.at[keep], self.gram[keep]
         return self
 
@@ -160,8 +164,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> D
     """Passages of documents that align with a benchmark item.
 
     Words are compared in lower case (A-Z) without ASCII punctuation. Of every four
-    successive three-word n-grams of an item, the one found in the fewest documents is a
-    seed; a document that holds a seed is aligned with the item around it. One row per
+    successive three-word n-grams of an item, those rare among the documents are seeds; a document that holds a seed is aligned with the item around it. One row per
     passage whose local alignment score is at least ``least`` of a whole match: doc_id,
     node (hash of the text), item_id, score (share of a whole match), first_word and
     last_word (of the passage, in the document's words). A word of the document that is

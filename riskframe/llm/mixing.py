@@ -138,7 +138,9 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_n"))
     joined = docs.withColumn("_size", size.cast("long")).join(taken, same)
     # rows that repeat in the input share what they take
-    share = (F.col("_taken") / F.col("_copies")).cast("long")
+    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_n").orderBy("_size"))
+    joined = joined.withColumn("_nth", nth)
+    share = F.floor(F.col("_taken") / F.col("_copies")) + (F.col("_nth") <= F.col("_taken") % F.col("_copies")).cast("long")
     whole = F.when(F.col("_size") == 0, F.lit(1)).otherwise((share / F.col("_size")).cast("int"))
     part = F.when(F.col("_size") == 0, F.lit(0)).otherwise(share % F.col("_size"))
     times = whole + F.when(part > 0, F.lit(1)).otherwise(F.lit(0))

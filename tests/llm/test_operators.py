@@ -1,0 +1,225 @@
+"""Every operator against a brute-force version on awkward documents, and on an empty table."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, quality_rules, records, secrets, substrings, toxicity
+from riskframe.llm.queries import tokenizer_path
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def multiset(rows):
+    return collections.Counter(tuple(r) for r in rows)
+
+
+def test_near_duplicates(awkward, rows_of):
+    bags = []
+    for _, text in rows_of:
+        w = WORD.findall(text)
+        bags.append(collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else collections.Counter([tuple(w)] if w else []))
+
+    def similarity(a, b):
+        return sum(1 / sum(max(a[j] / a[i], b[j] / b[i]) for j in set(a) | set(b)) for i in set(a) & set(b))
+
+    root = list(range(len(bags)))
+    for i in range(len(bags)):
+        for j in range(i):
+            if rows_of[i][1] == rows_of[j][1] or similarity(bags[i], bags[j]) >= 0.8:
+                root = [root[j] if r == root[i] else r for r in root]
+    ids = collections.defaultdict(list)
+    for r, (doc_id, _) in zip(root, rows_of):
+        ids[r].append(doc_id)
+    expected = [(d, min((x for x in ids[r] if x is not None), default=None), len(ids[r])) for r, (d, _) in zip(root, rows_of)]
+    assert multiset(near_duplicates.near_duplicates(awkward).collect()) == multiset(expected)
+
+
+def test_prob_min_hash_estimates_weighted_similarity():
+    a, b = {1: 3, 2: 1, 3: 2, 4: 1}, {1: 1, 2: 1, 3: 4, 5: 2}
+    exact = sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in {**a, **b}) for i in a if i in b)
+    doc = np.array([0] * 4 + [1] * 4)
+    elements = near_duplicates.mix(np.array([*a, *b], np.uint64))
+    signature = near_duplicates.prob_min_hash(doc, elements, np.array([*a.values(), *b.values()]), 2, 20_000)
+    assert abs((signature[0] == signature[1]).mean() - exact) < 0.02
+    pair = [np.array([*map(int, x)], np.uint64) for x in (a, b)], [np.array([*x.values()], np.uint32) for x in (a, b)]
+    assert near_duplicates.probability_jaccard(pair[0][0], pair[1][0], pair[0][1], pair[1][1]) == pytest.approx(exact)
+
+
+def test_line_dedup(awkward, rows_of):
+    docs = sorted({(d is None, d or 0, t) for d, t in rows_of})
+    gone, seen = collections.Counter(), []
+    for none, d, text in docs:
+        n = 0
+        for line in text.split("\n"):
+            w = frozenset(WORD.findall(line))
+            if w:
+                n += any(len(w & s) >= 0.8 * len(w | s) - 1e-9 for s in seen)
+                seen.append(w)
+        gone[(None if none else d, text)] = n
+    got = lines.kept_lines(awkward).collect()
+    assert collections.Counter((r.doc_id, r.n_removed) for r in got) == collections.Counter((d, gone[(d, t)]) for d, t in rows_of)
+    tenth = next(r for r in got if r.doc_id == 10)
+    assert tenth.n_lines == 4 and tenth.removed == [1, 3]
+
+
+def test_token_records(awkward, rows_of, tmp_path):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    ordered = sorted(rows_of, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    expected, start, sequences = [], 0, []
+    for doc_id, text in ordered:
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 2]
+        expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        sequences.append((doc_id, tuple(ids)))
+        start += len(ids)
+    got = records.token_records(awkward, tokenizer_path(), folder=str(tmp_path / "r")).collect()
+    assert multiset(r[:4] for r in got) == multiset(expected)
+    back = records.decode_records(awkward.sparkSession, str(tmp_path / "r")).collect()
+    assert multiset((r.doc_id, tuple(r.ids)) for r in back) == multiset(sequences)
+    one = next(r for r in got if r.doc_id == 12)
+    with open(one.file.removeprefix("file:"), "rb") as f:  # a shuffled read: seek, then one record
+        f.seek(one.offset)
+        assert next(records.frames_of(f.read(one.length)))[2] == 12
+
+
+def test_damaged_record():
+    frame = bytearray(records.frame(5, np.arange(9)))
+    frame[20] ^= 1
+    with pytest.raises(ValueError):
+        list(records.frames_of(bytes(frame)))
+
+
+def test_mixing(awkward, rows_of):
+    got = mixing.mix_sources(awkward).collect()
+    assert len(got) == len(rows_of)
+    total = sum(r.size for r in got)
+    targets = {r.source: r.target for r in got}
+    assert sum(targets.values()) == pytest.approx(total)
+    for source, target in targets.items():
+        mine = [r for r in got if r.source == source]
+        assert sum(r.taken for r in mine) == int(target + 1e-6) or mine[0].source_size == 0
+        assert target <= 3 * mine[0].source_size + 1e-9
+        assert all(0 <= r.taken <= 3 * r.size for r in mine)
+    mixed = mixing.mixed_documents(awkward)
+    assert mixed.columns == awkward.columns
+    words = sum(len(WORD.findall(r.text or "")) for r in mixed.collect())
+    assert words == sum(r.taken for r in got)
+    assert multiset(mixing.mix_sources(awkward.repartition(5)).collect()) == multiset(got)
+
+
+def test_quality_rules(awkward, rows_of, labels):
+    got = quality_rules.quality_rules(awkward, labels).collect()
+    expected = []
+    for doc_id, text in rows_of:
+        w = WORD.findall(text)
+        grams = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        inside = {j for i in range(len(w) - 2) if grams[tuple(w[i : i + 3])] > 1 for j in range(i, i + 3)}
+        held = [x for x in text.split("\n") if WORD.search(x)]
+        expected.append((
+            doc_id, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(held) - len(set(held)), len(inside),
+            len(w) < 50 or 100 * len(inside) > 50 * len(w),
+        ))
+    assert multiset(r[:7] for r in got) == multiset(expected)
+    assert not any(r.kept and r.base_failed for r in got)
+
+
+def test_cutoffs_respect_the_bound(spark, awkward):
+    rows = [(i, "word " * 0 + " ".join(f"w{(i * 31 + j * j) % 9973}" for j in range(60)) + (" ###" * 20 if i % 10 == 0 else ""), "en") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(i, int(i % 10 != 0)) for i in range(4000)], "doc_id long, quality int")
+    got = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs, marks).collect()}
+    assert all(kept == (i % 10 != 0) for i, kept in got.items())
+    assert quality_rules.binomial_tail(10, 1, 0.2) == pytest.approx(0.8**10 + 10 * 0.2 * 0.8**9)
+
+
+def test_decontamination(spark, awkward):
+    item = "luna revi sodel mist keum tare lust mina rero somi kevi tana rest luro"
+    edited = item.replace("sodel", "other").replace("rero ", "").upper()
+    docs = awkward.unionByName(spark.createDataFrame(
+        [(100, f"x y z {item} q", "en", "a", 0, 1, ""), (101, f"a b {edited}, c", "en", "a", 0, 1, ""), (102, "luna revi nothing else", "en", "a", 0, 1, "")], awkward.schema
+    ))
+    bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (None, "only")], "item_id long, text string")
+    got = decontamination.contaminated(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(100, 1), (101, 1)}
+    whole = next(r for r in got if r.doc_id == 100)
+    assert (whole.score, whole.first_word, whole.last_word) == (1.0, 3, 16)
+
+
+def test_license_scan(awkward, rows_of):
+    lower = str.maketrans(licenses.LETTERS_UPPER, licenses.LETTERS_LOWER)
+    expected = []
+    for doc_id, text in rows_of:
+        w = re.findall(licenses.WORD, text.translate(lower))
+        places = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+        at = [i for i, _ in places]
+        expected.append((doc_id, len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))))
+    got = licenses.license_scan(awkward).collect()
+    assert multiset(r[:6] for r in got) == multiset(expected)
+    assert next(r for r in got if r.doc_id == 16).spans.startswith("apache:")
+
+
+def test_secret_scan(awkward, rows_of):
+    kinds = {k: re.compile(p) for k, (p, _, _) in secrets.BASE.items()} | {"hex": re.compile(r"[0-9a-f]+")}
+    expected = []
+    for doc_id, text in rows_of:
+        spans = []
+        for order, (kind, pattern) in enumerate(kinds.items()):
+            part, least = secrets.BASE[kind][1:]
+            spans += [(m.start(), order, f"{kind}:{m.start()}:{m.end()}") for m in pattern.finditer(text) if len(m.group(part)) >= least]
+        n = collections.Counter(s[1] for s in spans)
+        joined = ",".join(s[2] for s in sorted(spans))
+        expected.append((doc_id, n[0], n[1], n[2], hashlib.sha256(joined.encode()).hexdigest()))
+    got = secrets.secret_scan(awkward).collect()
+    assert multiset(r[:5] for r in got) == multiset(expected)
+    linked = next(r for r in got if r.doc_id == 14).spans
+    assert "weak_id" in linked and "weak_secret" in linked and "endpoint" in linked
+    assert "weak" not in next(r for r in got if r.doc_id == 12).spans
+
+
+def test_toxicity(spark, awkward):
+    rows = [(i, f"plain text number {i} with words " + ("vermin scum" if i % 5 == 0 else "and more"), "en", "a", 0, 1, "") for i in range(600)]
+    docs = spark.createDataFrame(rows, awkward.schema)
+    marks = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    got = toxicity.toxicity(docs, marks).collect()
+    held = [r for r in got if r.held_out]
+    assert held and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    assert all(r.predicted == (r.doc_id % 5 == 0) for r in held)
+    assert all(0 <= r.score <= 1 for r in toxicity.toxicity(awkward, marks).collect())
+
+
+@pytest.mark.parametrize("start", [3, 9, None])
+def test_substring_dedup(awkward, rows_of, start):
+    k = 12
+    words = [WORD.findall(t) for _, t in rows_of]
+    seen = collections.Counter(tuple(w[i : i + k]) for w in words for i in range(len(w) - k + 1))
+    expected = []
+    for (doc_id, _), w in zip(rows_of, words):
+        gone = {j for i in range(len(w) - k + 1) if seen[tuple(w[i : i + k])] > 1 for j in range(i, i + k)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        expected.append((doc_id, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept))
+    assert multiset(substrings.substring_dedup(awkward, k, start).collect()) == multiset(expected)
+
+
+def test_doubling_ends_without_survivors(awkward):
+    levels, answers, _ = substrings.repeated_windows(substrings.pack_blocks(awkward), 4, None)
+    assert levels[:3] == [4, 8, 16] and levels[-1] == 2048 and answers is not None
+
+
+def test_empty_tables(spark, empty, labels, tmp_path):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    assert near_duplicates.near_duplicates(empty).isEmpty()
+    assert lines.line_counts(empty).isEmpty()
+    assert records.token_records(empty, tokenizer_path(), folder=str(tmp_path / "e")).isEmpty()
+    assert mixing.mix_sources(empty).isEmpty()
+    assert quality_rules.quality_rules(empty, labels).isEmpty()
+    assert decontamination.contaminated(empty, bench).isEmpty()
+    assert licenses.license_scan(empty).isEmpty()
+    assert secrets.secret_scan(empty).isEmpty()
+    assert toxicity.toxicity(empty, labels.where("false")).isEmpty()
+    assert substrings.substring_dedup(empty).isEmpty()
