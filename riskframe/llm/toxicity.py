@@ -193,7 +193,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Classifier:
     known = known.where(~held_out())
     n = known.count()
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, rows / max(n, 1)))
-    labelled = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(known.where(draw), "doc_id").select("text", "toxic"))
+    labelled = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(
+        F.broadcast(known.where(draw)), "doc_id"  # about ``rows`` rows at most
+    ).select("text", "toxic"))
     lexicon = learn_lexicon(labelled)
     voted = stage(labelled.mapInArrow(_vote(lexicon), "toxic boolean, pattern long, entries array<long>"))
     # at most 2 ** VOTERS patterns
