@@ -52,6 +52,7 @@ QUERIES = {
     "kruskal_k_ties": _kruskal(True),
     "province_risk": lambda s, sf: rounded(group_tests.province_risk(staged(s, sf, *SEGMENTS))),
     "postal_risk": lambda s, sf: rounded(group_tests.postal_risk(staged(s, sf, *SEGMENTS))),
+    "postal_risk_top": lambda s, sf: rounded(group_tests.postal_risk(staged(s, sf, *SEGMENTS), k=20)),
     "postal_risk_all": lambda s, sf: rounded(group_tests.postal_risk(staged(s, sf, *SEGMENTS), k=None)),
     "postal_margin_test": lambda s, sf: rounded(group_tests.postal_margin_test(staged(s, sf, *SEGMENTS))),
     "gender_risk": lambda s, sf: rounded(group_tests.gender_risk(staged(s, sf, *SEGMENTS))),
@@ -219,15 +220,16 @@ SQL = {
         _PROVINCE + ", pb AS (SELECT k, floor(v / 1000) AS v FROM pc)" + _kruskal_members("pb") + " " + _kruskal_result()),
     "province_risk": over_policies(_PROVINCE_RISK + _report(
         "province_risk", [("frequency", _chi_result("p_")), ("severity", _kruskal_result("p_"))])),
-    "postal_risk": _postal_sql("20"),
+    "postal_risk": _postal_sql("ALL"),
+    "postal_risk_top": _postal_sql("20"),
     "postal_risk_all": _postal_sql("ALL"),
-    "postal_margin_test": over_policies(_ZIPS.format(k=20) + _kruskal_members("zm", "m_") + _report(
+    "postal_margin_test": over_policies(_ZIPS.format(k="ALL") + _kruskal_members("zm", "m_") + _report(
         "postal_margin", [("margin", _kruskal_result("m_"))], _VALID)),
     "gender_risk": over_policies(_TABLE + _SEVERITY_ROWS + _report("gender_risk", _GENDER)),
 }
 
 # All four reports at once; the tables of the reports do not share names.
-_ALL = _PROVINCE_RISK + _postal(20) + _kruskal_members("zm", "m_") + _TABLE + _SEVERITY_ROWS
+_ALL = _PROVINCE_RISK + _postal("ALL") + _kruskal_members("zm", "m_") + _TABLE + _SEVERITY_ROWS
 
 
 def _p(query):

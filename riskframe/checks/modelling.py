@@ -108,7 +108,7 @@ _FIT = f""", t AS (SELECT TotalPremium AS x1, SumInsured AS x2, TotalClaims AS y
   b AS (SELECT {_B1} AS b1, {_B2} AS b2, my - {_B1} * m1 - {_B2} * m2 AS b0, m1, m2 FROM s)"""
 
 _ZIP = f""", z AS (SELECT PostalCode, count(*) AS size FROM policies WHERE PostalCode IS NOT NULL GROUP BY 1
-    HAVING count(*) >= 50 ORDER BY size DESC, PostalCode LIMIT 20),
+    HAVING count(*) >= 50),
   t AS (SELECT PostalCode, size, TotalPremium AS x1, SumInsured AS x2, TotalClaims AS y FROM policies JOIN z USING (PostalCode)),
   s AS (SELECT PostalCode, size, {_moments('x1', 'x2', 'y')} FROM t
         WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2),
@@ -133,7 +133,7 @@ def _cramer(i):
 
 
 _ZIP3 = f""", z AS (SELECT PostalCode, count(*) AS size FROM policies WHERE PostalCode IS NOT NULL GROUP BY 1
-    HAVING count(*) >= 50 ORDER BY size DESC, PostalCode LIMIT 20),
+    HAVING count(*) >= 50),
   t AS (SELECT PostalCode, size, TotalPremium AS x1, SumInsured AS x2, CustomValueEstimate AS x3, TotalClaims AS y
         FROM policies JOIN z USING (PostalCode)),
   s AS (SELECT PostalCode, size, {_moments('x1', 'x2', 'y')}, covar_pop(x1, x3) AS s13, covar_pop(x2, x3) AS s23,

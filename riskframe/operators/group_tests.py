@@ -133,11 +133,11 @@ def postal_risk(
     df: DataFrame,
     alpha: float = 0.05,
     min_n: int = 30,
-    k: int | None = 20,
+    k: int | None = None,
     claims: str = CLAIMS,
     key: str = "PostalCode",
 ) -> DataFrame:
-    """Frequency and severity over the k largest postal codes with at least min_n rows."""
+    """Frequency and severity over all postal codes with at least min_n rows, or the k largest of them."""
     if key not in df.columns:
         nothing = insufficient(df, f"{key} column not found", alpha)
         return _report("postal_risk", {"column": nothing.withColumn(
@@ -160,12 +160,12 @@ def postal_margin_test(
     df: DataFrame,
     alpha: float = 0.05,
     min_n: int = 30,
-    k: int | None = 20,
+    k: int | None = None,
     premium: str = PREMIUM,
     claims: str = CLAIMS,
     key: str = "PostalCode",
 ) -> DataFrame:
-    """Kruskal-Wallis test of the margin per row over the k largest postal codes."""
+    """Kruskal-Wallis test of the margin per row over all postal codes of min_n rows, or the k largest of them."""
     if key not in df.columns:
         nothing = insufficient(df, f"{key} column not found", alpha)
         return _report("postal_margin", {"column": nothing.withColumn(

@@ -34,7 +34,7 @@ def _solver():
 def zip_regression(
     df: DataFrame,
     min_n: int = 50,
-    k: int | None = 20,
+    k: int | None = None,
     features: Sequence[str] | None = None,
     target: str = CLAIMS,
     key: str = "PostalCode",

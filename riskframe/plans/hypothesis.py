@@ -61,7 +61,7 @@ RECOMMENDATIONS = [
 ]
 
 
-def risk_reports(df: DataFrame, alpha: float = 0.05, min_n: int = 30, k: int | None = 20) -> DataFrame:
+def risk_reports(df: DataFrame, alpha: float = 0.05, min_n: int = 30, k: int | None = None) -> DataFrame:
     """One row per sub-test of every report whose column exists."""
     reports = []
     if "Province" in df.columns:
@@ -75,7 +75,7 @@ def risk_reports(df: DataFrame, alpha: float = 0.05, min_n: int = 30, k: int | N
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports)
 
 
-def test_summary(df: DataFrame, alpha: float = 0.05, min_n: int = 30, k: int | None = 20) -> DataFrame:
+def test_summary(df: DataFrame, alpha: float = 0.05, min_n: int = 30, k: int | None = None) -> DataFrame:
     """One row per hypothesis: p-values of its sub-tests and the overall conclusion.
 
     The table is read several times: hand in a stored or persisted one.
