@@ -10,12 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import small_batches, stage, text_of
-from riskframe.llm.words import Words, mix, text_buffer, word_batches
+from riskframe.llm.words import Words, mix, ranges, word_batches
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: 20 bands of 5: a pair at similarity 0.8 shares a band with probability 0.9996.
 BANDS, BAND_ROWS = 20, 5
 STEP = np.uint64(0x9E3779B97F4A7C15)
+#: A similarity this little below the limit reaches it.
+ROUNDING = 1e-9
+#: Bytes of shingle sets in a block of a bucket whose members are compared with one another.
+BLOCK_BYTES = 4 << 20
 
 
 def shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,7 +131,7 @@ def _verify(least: float) -> Callable:
             for ea, wa, eb, wb in zip(*columns):
                 a, x, b, y = (np.frombuffer(v.as_buffer(), t) for v, t in zip((ea, wa, eb, wb), ("<u8", "<u4") * 2))
                 x, y = (w if len(w) else np.ones(len(e), np.uint32) for e, w in ((a, x), (b, y)))
-                same.append(bool(len(a) and len(b)) and probability_jaccard(a, x, b, y) >= least)
+                same.append(bool(len(a) and len(b)) and probability_jaccard(a, x, b, y) >= least - ROUNDING)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.bool_())], ["a", "b", "same"])
 
     return run
@@ -141,47 +145,99 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame
     return joined.mapInArrow(_verify(least), "a long, b long, same boolean")
 
 
+def _postings(elements: np.ndarray, share: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Elements in order with, for each, where its run starts and stops."""
+    order = np.argsort(elements, kind="stable")
+    e = elements[order]
+    new = np.ones(len(e), bool)
+    new[1:] = e[1:] != e[:-1]
+    starts = np.flatnonzero(new)
+    return e[starts], starts, np.append(starts[1:], len(e)), share[order], member[order]
+
+
+def block_links(side: np.ndarray, roots: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], least: float) -> list[tuple[int, int]]:
+    """Links (root, root) that join the classes of all similar pairs of one block, or between two.
+
+    ``side`` tells the two blocks apart; where it is the same for all, every pair is
+    compared. Of each text the shared elements are looked up at once. No pair can be more
+    similar than the sum of min(x_i / sum x, y_i / sum y), so only pairs where that is
+    ``least`` or more are worked out, and none inside a class.
+    """
+    size = np.array([len(e) for e, _ in sets])
+    total = np.array([w.sum() for _, w in sets], np.float64)
+    plain = np.array([bool((w == 1).all()) for _, w in sets])
+    share = np.concatenate([w / t for (_, w), t in zip(sets, total)])
+    distinct, starts, stops, shares, member = _postings(np.concatenate([e for e, _ in sets]), share, np.repeat(np.arange(len(sets)), size))
+    two = bool((side != side[0]).any())
+    queries = np.flatnonzero(side == side.min())
+    number = {r: i for i, r in enumerate(dict.fromkeys(roots.tolist()))}
+    group = np.array([number[r] for r in roots.tolist()])
+    links = []
+    for q in queries:
+        other = (group != group[q]) & ((side != side[q]) if two else (np.arange(len(sets)) > q))
+        if not other.any():
+            continue
+        e, w = sets[q]
+        at = np.searchsorted(distinct, e)
+        counts = stops[at] - starts[at]
+        run = ranges(starts[at], counts)
+        who = member[run]
+        bound = np.bincount(who, np.minimum(shares[run], np.repeat(w / total[q], counts)), len(sets))
+        close = np.flatnonzero(other & (bound >= least - ROUNDING))
+        common = np.bincount(who, minlength=len(sets))[close]
+        exact = np.where(plain[close] & plain[q], common / (size[close] + size[q] - common), np.nan)
+        maybe = ~(exact < least - ROUNDING)  # weighted ones are not known yet
+        for m, known in zip(close[maybe], ~np.isnan(exact[maybe])):
+            if group[m] != group[q] and (known or probability_jaccard(e, w, *sets[m]) >= least - ROUNDING):
+                links.append((int(roots[q]), int(roots[m])))
+                group[group == group[m]] = group[q]
+    return links
+
+
+def _block_links(least: float) -> Callable:
+    def run(members: pa.Table) -> pa.Table:
+        members = members.combine_chunks()
+        column = {c: members.column(c) for c in ("block", "root", "elements", "weights")}
+        sets = []
+        for e, w in zip(column["elements"], column["weights"]):
+            e, w = np.frombuffer(e.as_buffer(), "<u8"), np.frombuffer(w.as_buffer(), "<u4")
+            sets.append((e, w if len(w) else np.ones(len(e), np.uint32)))
+        links = block_links(column["block"].to_numpy(), column["root"].to_numpy(), sets, least)
+        return pa.table([pa.array(c, pa.int64()) for c in (zip(*links) if links else ([], []))], ["a", "b"])
+
+    return run
+
+
+def join_classes(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """node, root after classes linked by (a, b), their roots, have become one."""
+    merged = components(links).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    return stage(roots.join(merged, "root", "left").select("node", F.coalesce("new", "root").alias("root")))
+
+
 def class_roots(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """node, root of the classes: components of all similar pairs that share a bucket.
 
-    No bucket lists its pairs. In each round some members of a bucket that are not of its
-    largest class so far are compared with its members of other classes; the number grows
-    fourfold from one. Similar pairs join their classes. It ends when every member outside
-    the largest class of its buckets has been compared there, so that no similar pair of a
-    bucket is left between two classes; pairs inside a class need no comparison.
+    No bucket lists its pairs. First each member is compared with one member of its bucket,
+    which settles buckets of real near-duplicates. The members of each bucket that still
+    holds several classes are dealt to blocks of about ``BLOCK_BYTES``, and each pair of
+    blocks is one group of rows, where every pair of different classes is compared. Such a
+    group gives fewer links than it has members. Members are sent once per block of their
+    bucket: a bucket of n bytes sends n * n / BLOCK_BYTES, and loses no link.
     """
     roots = stage(members.select("node").distinct().withColumn("root", F.col("node")))
-    used: DataFrame | None = None
-    tested: DataFrame | None = None
-    drawn = 1
-    while True:
-        now = members.join(roots, "node")
-        sizes = now.groupBy("key", "root").agg(F.count("*").alias("n"))
-        largest = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("m"), F.count("*").alias("k")).where("k > 1")
-        outside = now.join(largest.select("key", F.col("m.root").alias("main")), "key").where("root <> main")
-        if used is not None:
-            outside = outside.join(used, ["key", "node"], "left_anti")
-        outside = outside.select("key", "node", "root", F.xxhash64("key", "node").alias("o"))
-        counts = outside.groupBy("key").agg(F.min("o").alias("least"), F.count("*").alias("n"))
-        share = F.pmod("o", F.lit(1_000_000)) < F.lit(1_000_000 * (drawn - 1)) / F.col("n")
-        chosen = stage(outside.join(counts, "key").where((F.col("o") == F.col("least")) | share).select("key", "node", "root"))
-        if chosen.isEmpty():
-            return roots
-        other = chosen.select("key", F.col("node").alias("chosen"), F.col("root").alias("class"))
-        near = now.join(other, "key").where("root <> class")
-        pairs = near.select(F.least("node", "chosen").alias("a"), F.greatest("node", "chosen").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = stage(verified_pairs(pairs, sets, least))
-        same = found.where("same")
-        ra, rb = (roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
-        links = stage(same.join(ra, "a").join(rb, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
-        merged = components(links).select(F.col("node").alias("root"), F.col("root").alias("new"))
-        roots = stage(roots.join(merged, "root", "left").select("node", F.coalesce("new", "root").alias("root")))
-        used = chosen.select("key", "node") if used is None else used.unionByName(chosen.select("key", "node"))
-        found = found.select("a", "b")
-        tested = found if tested is None else tested.unionByName(found)
-        drawn *= 4
+    one = members.groupBy("key").agg(F.min("node").alias("one"))
+    near = members.join(one, "key").where("node <> one")
+    pairs = near.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
+    roots = join_classes(roots, stage(verified_pairs(pairs, sets, least).where("same").select("a", "b")))
+    sized = sets.select("node", (F.length("elements") + F.length("weights")).cast("long").alias("bytes"))
+    now = stage(members.join(roots, "node").join(sized, "node"))
+    mixed = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.sum("bytes").alias("total")).where("low <> high")
+    n_blocks = F.ceil(F.col("total") / BLOCK_BYTES)
+    dealt = now.where("bytes > 0").join(mixed, "key").select("key", "node", "root", n_blocks.alias("n"), F.pmod(F.xxhash64("node", "key"), n_blocks).alias("block"))
+    sent = dealt.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
+    sent = sent.select("key", "node", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    grouped = sent.join(sets, "node").select("key", "i", "j", "block", "root", "elements", "weights").groupBy("key", "i", "j")
+    return join_classes(roots, stage(grouped.applyInArrow(_block_links(least), "a long, b long").distinct()))
 
 
 def components(links: DataFrame) -> DataFrame:

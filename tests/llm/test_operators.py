@@ -50,6 +50,67 @@ def test_prob_min_hash_estimates_weighted_similarity():
     assert near_duplicates.probability_jaccard(pair[0][0], pair[1][0], pair[0][1], pair[1][1]) == pytest.approx(exact)
 
 
+def variants(rng, n, size=60):
+    """Bags of shingles of one text with more and more changes, some weighted."""
+    base = [(i, rng.choice([1, 1, 1, 2])) for i in range(size)]
+    bags = []
+    for k in range(n):
+        bag = dict(base)
+        for _ in range(rng.randrange(k % 20 + 1)):
+            bag.pop(rng.choice([*bag]))
+            bag[rng.randrange(1000, 9000)] = rng.choice([1, 3])
+        bags.append(bag if k % 3 else dict.fromkeys(bag, 1))
+    return bags
+
+
+def test_links_of_blocks_make_the_same_classes_as_all_pairs():
+    import random
+
+    bags = variants(random.Random(5), 120)
+    sets = [(np.array(sorted(b), "<u8"), np.array([b[e] for e in sorted(b)], "<u4")) for b in bags]
+
+    def classes(links):
+        root = list(range(len(bags)))
+        for a, b in links:
+            root = [root[b] if r == root[a] else r for r in root]
+        return {frozenset(i for i in range(len(bags)) if root[i] == r) for r in root}
+
+    def similar(a, b):
+        return sum(1 / sum(max(a.get(j, 0) / a[i], b.get(j, 0) / b[i]) for j in {**a, **b}) for i in a if i in b) >= 0.8 - 1e-9
+
+    side, roots = np.arange(len(bags)) % 2, np.arange(len(bags))
+    every = [(i, j) for i in range(len(bags)) for j in range(i) if similar(bags[i], bags[j])]
+    assert 1 < len(classes(every)) < len(bags)
+    links = near_duplicates.block_links(side * 0, roots, sets, 0.8)
+    assert classes(links) == classes(every) and len(links) == len(bags) - len(classes(every))
+    across = near_duplicates.block_links(side, roots, sets, 0.8)
+    assert classes(across) == classes([(i, j) for i, j in every if (i + j) % 2])
+
+
+def test_near_duplicates_do_not_depend_on_blocks(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    text = [f"w{rng.randrange(500)}" for _ in range(150)]
+    rows = []
+    for i in range(80):
+        changed = list(text)
+        for _ in range(i // 8):
+            changed[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(changed)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = near_duplicates.near_duplicates(docs, bands=200, band_rows=2).collect()
+    monkeypatch.setattr(near_duplicates, "BLOCK_BYTES", 4000)
+    assert multiset(near_duplicates.near_duplicates(docs, bands=200, band_rows=2).collect()) == multiset(whole)
+    bags = [frozenset(zip(*(t.split()[k:] for k in range(5)))) for _, t in rows]
+    root = list(range(80))
+    for i in range(80):
+        for j in range(i):
+            if len(bags[i] & bags[j]) >= 0.8 * len(bags[i] | bags[j]) - 1e-9:
+                root = [root[j] if r == root[i] else r for r in root]
+    assert multiset(whole) == multiset((i, root.index(root[i]), root.count(root[i])) for i in range(80))
+
+
 def test_line_dedup(awkward, rows_of):
     docs = sorted({(d is None, d or 0, t) for d, t in rows_of})
     gone, seen = collections.Counter(), []
