@@ -146,6 +146,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
     times = whole + F.when(part > 0, F.lit(1)).otherwise(F.lit(0))
     joined = joined.withColumn("_whole", whole).withColumn("_part", part)
     repeated = joined.where(times > 0).withColumn("_i", F.explode(F.sequence(F.lit(1), times)))
-    head = F.expr(r"regexp_extract(text, concat('^[ \\t-\\r]*(?:[^ \\t-\\r]+[ \\t-\\r]*){', cast(_part as string), '}'), 0)")
+    # words with the spaces after them; spaces before the first word are a piece of their own
+    pieces = F.split("text", r"(?<=[ \t-\r])(?=[^ \t-\r])", -1)
+    head = F.array_join(F.slice(pieces, F.lit(1), (F.col("_part") + F.col("text").rlike(r"^[ \t-\r]").cast("int")).cast("int")), "")
     cut = (F.col("_i") > F.col("_whole")) & (F.col("_part") > 0)
     return repeated.withColumn("text", F.when(cut, head).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -174,6 +174,16 @@ def test_mixing(awkward, rows_of):
     assert multiset(mixing.mix_sources(awkward.repartition(5)).collect()) == multiset(got)
 
 
+def test_mixing_cuts_very_long_texts(spark):
+    texts = {1: "".join(f" a{i}\t\n" for i in range(40_000)), 2: " ".join(f"é{i}" for i in range(40_000))}
+    docs = spark.createDataFrame([(1, texts[1], "a"), (2, texts[2], "b")], "doc_id long, text string, source string")
+    got = collections.defaultdict(list)
+    for r in mixing.mixed_documents(docs).collect():
+        got[r.doc_id].append(r.text)
+    assert sorted(len(WORD.findall(t)) for t in got[1]) == [17_142, 40_000] and [len(WORD.findall(t)) for t in got[2]] == [22_857]
+    assert all(texts[d].startswith(t) for d in got for t in got[d])
+
+
 def test_quality_rules(awkward, rows_of, labels):
     got = quality_rules.quality_rules(awkward, labels).collect()
     expected = []
