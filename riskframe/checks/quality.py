@@ -9,7 +9,8 @@ from riskframe.operators import quality
 from riskframe.sources import coerce_date, coerce_numeric, coercion_report, preview, table_diff, table_fingerprint
 
 RAW_NUMBER = (
-    "CASE WHEN Gender IS NULL THEN 'NaN' WHEN Gender = 'Not specified' THEN 'unknown' ELSE PostalCode END"
+    "CASE WHEN Gender IS NULL THEN 'NaN' WHEN Gender <> 'Not specified' THEN PostalCode WHEN PolicyID % 5 = 0 THEN '12D'"
+    " WHEN PolicyID % 5 = 1 THEN '5f' WHEN PolicyID % 5 = 2 THEN '0x1p3' WHEN PolicyID % 5 = 3 THEN 'inf' ELSE 'unknown' END"
 )
 RAW_DATE = (
     "CASE WHEN Gender IS NULL THEN '2015-13-01' WHEN Gender = 'Not specified' THEN 'n/a'"
@@ -96,7 +97,7 @@ SQL = {
         " FROM m WHERE missing_count > 0"),
     "coerce_numeric": over_policies(
         f", c AS (SELECT UnderwrittenCoverID, try_cast({RAW_NUMBER} AS DOUBLE) AS x FROM policies)"
-        " SELECT UnderwrittenCoverID, CASE WHEN isnan(x) THEN NULL ELSE x END AS number FROM c"),
+        " SELECT UnderwrittenCoverID, CASE WHEN isfinite(x) THEN x END AS number FROM c"),
     "coerce_date": over_policies(
         f"SELECT UnderwrittenCoverID, try_cast({RAW_DATE} AS DATE) AS date FROM policies"),
     "coercion_report": over_policies("""

@@ -149,8 +149,8 @@ def fit_forest(
     seed: int = 42,
     max_bins: int = 32,
 ) -> Fitted:
-    """Random forest. Trees have no unlimited depth here: ``None`` means 8, at most 30 is possible."""
-    options = dict(numTrees=n, maxDepth=8 if depth is None else depth, seed=seed, maxBins=max_bins)
+    """Random forest. ``None`` is the deepest tree Spark allows, 30 levels."""
+    options = dict(numTrees=n, maxDepth=30 if depth is None else depth, seed=seed, maxBins=max_bins)
     if task == REGRESSION:
         estimator = RandomForestRegressor(featureSubsetStrategy="all", **options)
     else:

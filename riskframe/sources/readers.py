@@ -20,34 +20,55 @@ MISSING_MARKERS = [
 ]
 
 
-def read_policies(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Lazy scan. CSV cells stay text, with the missing markers read as NULL."""
+#: Decimal notation; Java's own forms of numbers (12D, 5f, 0x1p3) are no numbers in a file.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+#: Texts that start like an ISO date are read as such, others by the first of DATE_FORMATS that fits.
+ISO_DATE = r"^\s*[0-9]{4}-[0-9]{1,2}(-|\s*$)"
+DATE_FORMATS = ["M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyyMMdd", "MMMM d, yyyy", "MMM d, yyyy"]
+
+
+def read_policies(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
+    """Lazy scan. CSV cells stay text, with the missing markers read as NULL.
+
+    Quoted cells may hold separators, doubled quotes and, with ``multi_line``, line breaks.
+    A large file is split among tasks only with ``multi_line=False``.
+    """
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    raw = spark.read.csv(path, header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line)
     return raw.select(
         [F.when(~F.col(f"`{c}`").isin(MISSING_MARKERS), F.col(f"`{c}`")).alias(c)
          for c in raw.columns]
     )
 
 
-def numeric_or_null(column: Column) -> Column:
-    """Double value of a cell; what is no number, and NaN, becomes NULL."""
+def numeric_or_null(column: Column, text: bool = True) -> Column:
+    """Double value of a cell; what is no finite number becomes NULL. ``text``: the cell is a string."""
     number = column.try_cast(T.DoubleType())
-    return F.when(~F.isnan(number), number)
+    finite = ~F.isnan(number) & (F.abs(number) < F.lit(float("inf")))
+    return F.when((column.rlike(NUMBER) & finite) if text else finite, number)
 
 
 def date_or_null(column: Column, formats: list[str] | None = None) -> Column:
-    """Timestamp of a cell; what is no date becomes NULL. The first format that fits wins."""
+    """Timestamp of a cell; what is no date becomes NULL. The first format that fits wins.
+
+    Without ``formats``: ISO dates and DATE_FORMATS (month before day). A time without a
+    date is none, so no result depends on the clock.
+    """
     text = column.cast("string")
-    if not formats:
-        return F.try_to_timestamp(text)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    if formats:
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    others = F.coalesce(*[F.try_to_timestamp(F.trim(text), F.lit(f)) for f in DATE_FORMATS])
+    return F.when(text.rlike(ISO_DATE), F.try_to_timestamp(text)).otherwise(others)
+
+
+def _is_text(df: DataFrame, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, T.StringType)
 
 
 def coerce_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """Replace the columns that exist by their numeric form."""
-    return df.withColumns({c: numeric_or_null(F.col(c)) for c in cols if c in df.columns})
+    return df.withColumns({c: numeric_or_null(F.col(c), _is_text(df, c)) for c in cols if c in df.columns})
 
 
 def coerce_date(df: DataFrame, col: str, formats: list[str] | None = None) -> DataFrame:
@@ -60,7 +81,7 @@ def coerce_date(df: DataFrame, col: str, formats: list[str] | None = None) -> Da
 def coercion_report(df: DataFrame, dates: list[str] = (), numbers: list[str] = ()) -> DataFrame:
     """Per column: rows, cells missing before coercion, and cells NULL after it. One job."""
     columns = {c: date_or_null(F.col(c)) for c in dates if c in df.columns}
-    columns |= {c: numeric_or_null(F.col(c)) for c in numbers if c in df.columns}
+    columns |= {c: numeric_or_null(F.col(c), _is_text(df, c)) for c in numbers if c in df.columns}
     if not columns:
         raise ValueError("None of the columns exists")
     counts = [F.count(F.lit(1)).alias("n_rows")]
@@ -88,6 +109,7 @@ def load_policies(
     validate: bool = True,
     fmt: str = "csv",
     date_formats: list[str] | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Scan, check and coerce a policy table.
 
@@ -96,7 +118,7 @@ def load_policies(
     coerced; cells that do not parse become NULL (see ``coercion_report``).
     """
     try:
-        df = read_policies(spark, path, fmt)
+        df = read_policies(spark, path, fmt, multi_line)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"Data file not found: {path}") from error

@@ -129,3 +129,27 @@ def test_diff_counts_copies_and_changes(spark):
 
 def test_preview(spark):
     assert [r.id for r in preview(spark.range(100).repartition(4), 3).collect()] == [0, 1, 2]
+
+
+def test_quoted_cells_stay_whole(spark, csv):
+    path = csv('PolicyID,Make,TotalPremium,TotalClaims\n1,"A ""x"", B",5,0\n2,"two\nlines",6,1\n')
+    rows = load_policies(spark, path).orderBy("PolicyID").collect()
+    assert [(r.Make, r.TotalPremium, r.TotalClaims) for r in rows] == [('A "x", B', 5.0, 0.0), ("two\nlines", 6.0, 1.0)]
+
+
+def test_only_decimal_finite_numbers(spark):
+    cells = {"12D": None, "5f": None, "0x1p3": None, "inf": None, "1e999": None, " +1.5e2 ": 150.0, ".5": 0.5, "7.": 7.0, "-3": -3.0, "": None}
+    df = spark.createDataFrame([(c, c) for c in cells], "raw string, v string")
+    assert {r.raw: r.v for r in coerce_numeric(df, ["v"]).collect()} == cells
+    doubles = spark.createDataFrame([(float("inf"),), (-2.5,)], "v double")
+    assert {r.v for r in coerce_numeric(doubles, ["v"]).collect()} == {None, -2.5}
+
+
+def test_default_date_forms(spark):
+    cells = {
+        "2015-03-01": "2015-03-01 00:00:00", "2015-03-01 10:30:00": "2015-03-01 10:30:00", "3/1/2015 12:00:00 AM": "2015-03-01 00:00:00",
+        "3/1/2015": "2015-03-01 00:00:00", "20150301": "2015-03-01 00:00:00", "March 1, 2015": "2015-03-01 00:00:00",
+        "10:30": None, "2015-13-01": None, "n/a": None,
+    }
+    df = spark.createDataFrame([(c, c) for c in cells], "raw string, d string")
+    assert {r.raw: str(r.d) if r.d else None for r in coerce_date(df, "d").collect()} == cells
