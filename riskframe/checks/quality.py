@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.checks.common import over_policies, policies, rounded
 from riskframe.operators import quality
+from riskframe.schema import COLUMN_GROUPS
 from riskframe.sources import coerce_date, coerce_numeric, coercion_report, preview, table_diff, table_fingerprint
 
 RAW_NUMBER = (
@@ -37,7 +38,7 @@ def diff(spark, sf, keys=None):
 
 
 QUERIES = {
-    "quality_report": lambda s, sf: quality.quality_report(policies(s, sf)).drop("detail"),
+    "quality_report": lambda s, sf: quality.quality_report(policies(s, sf)),
     "missing_report": lambda s, sf: rounded(quality.missing_report(policies(s, sf))),
     "column_profile": lambda s, sf: quality.column_profile(policies(s, sf)),
     "coerce_numeric": lambda s, sf: coerce_numeric(raw_cells(s, sf), ["number"]).drop("date"),
@@ -73,6 +74,8 @@ _TYPES = [
     ("SumInsured", "double"), ("CustomValueEstimate", "double"), ("CalculatedPremiumPerTerm", "double"),
     ("TotalPremium", "double"), ("TotalClaims", "double"),
 ]
+# Names of the catalog that the view lacks, in catalog order.
+_ABSENT = ", ".join(c for names in COLUMN_GROUPS.values() for c in names if c not in dict(_TYPES))
 _KINDS = {"string": "categorical", "date": "datetime"}
 
 SQL = {
@@ -88,7 +91,8 @@ SQL = {
   UNION ALL SELECT 'negative_premiums', 'warning', negative_premiums FROM c
   UNION ALL SELECT 'negative_claims', 'warning', negative_claims FROM c
   UNION ALL SELECT 'duplicate_ids', 'warning', duplicate_ids FROM c)
-  SELECT check_name, severity, CAST(n AS BIGINT) AS n, severity = 'info' OR n = 0 AS passed FROM r"""),
+  SELECT check_name, severity, CAST(n AS BIGINT) AS n, severity = 'info' OR n = 0 AS passed,
+         CASE WHEN check_name = 'missing_expected' THEN '{_ABSENT}' ELSE '' END AS detail FROM r"""),
     "missing_report": over_policies(", m AS (" + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing_count, count(*) AS total,"
         f" '{'string' if c in ('Gender', 'VehicleType') else 'double'}' AS dtype FROM policies"

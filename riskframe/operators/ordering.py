@@ -136,12 +136,15 @@ def exact_quantiles(
     for p in probs:
         for position in (low(p), high(p)):
             wanted = wanted | ((position >= F.col("start")) & (position < F.col("stop")))
-    needed = small_side(bucket_positions(cells, by).where(wanted).drop("stop"))
-    counted = (
-        cells.join(needed, [*keys, "bucket"])
-        .groupBy(*keys, "bucket", "start", "n", "value")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    positions = bucket_positions(cells, by).where(wanted).drop("stop")
+    needed = small_side(positions)
+    copies = F.count(F.lit(1)).alias("_copies")
+    if needed is positions:
+        # A shuffled join: copies are summed in each task first, so that a value with very
+        # many of them meets its bucket as one row.
+        counted = cells.groupBy(*keys, "bucket", "value").agg(copies).join(needed, [*keys, "bucket"])
+    else:
+        counted = cells.join(needed, [*keys, "bucket"]).groupBy(*keys, "bucket", "start", "n", "value").agg(copies)
     running = (
         Window.partitionBy(*keys, "bucket")
         .orderBy("value")
