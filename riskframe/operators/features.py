@@ -132,18 +132,21 @@ def _text_cells(df: DataFrame, cols: Sequence[str], missing: str | None = None)
     return df.select(cells.alias("measure", "value"))
 
 
-def categories(df: DataFrame, cols: Sequence[str], limit: int = 1000) -> dict[str, list]:
+def categories(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> dict[str, list]:
     """Sorted categories per column, a missing value last. One scan for all columns.
 
-    One-hot encoding makes a column per category, so more than ``limit`` of them in one
-    column is an error: use ``label_encode``, or the vectors of the model pipelines.
+    One-hot encoding makes a column per category. A caller who can't use a wide table sets
+    ``limit``; more categories in one column are then an error. The vectors of the model
+    pipelines and ``label_encode`` need no column per category.
     """
-    found = _text_cells(df, cols).distinct().limit(limit * len(cols) + 1).collect()
+    found = _text_cells(df, cols).distinct()
+    if limit is not None:
+        found = found.limit(limit * len(cols) + 1)
     out: dict[str, list] = {c: [] for c in cols}
-    for measure, value in found:
+    for measure, value in found.collect():
         out[measure].append(value)
     for c, values in out.items():
-        if len(values) > limit or len(found) > limit * len(cols):
+        if limit is not None and len(values) > limit:
             raise ValueError(f"Too many categories for one-hot columns (limit {limit}), e.g. '{c}'")
         values.sort(key=lambda v: (v is None, v))
     return out
@@ -153,7 +156,7 @@ def one_hot(
     df: DataFrame,
     cols: Sequence[str],
     fitted: dict[str, list] | None = None,
-    limit: int = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
     """Replace columns by 0/1 columns ``<column>_<category>``, the first category dropped.
 

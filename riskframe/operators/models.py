@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -18,7 +18,6 @@ from riskframe.operators.evaluation import classification_metrics, regression_me
 from riskframe.operators.ordering import clean
 from riskframe.sources.tables import stage
 
-MAX_CATEGORIES = 100_000
 MISSING_CATEGORY = "\uffff"  # sorts after every category
 
 REGRESSION = "regression"
@@ -36,16 +35,6 @@ class Fitted:
     metrics: DataFrame
 
 
-def check_categories(df: DataFrame, cats: Sequence[str], limit: int = MAX_CATEGORIES) -> None:
-    """ValueError for a column of more categories than the driver should hold."""
-    if not cats:
-        return
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cats]).first().asDict()
-    large = [c for c, n in sizes.items() if n > limit]
-    if large:
-        raise ValueError(f"Too many categories in {large} (limit {limit}): exclude or label-encode them")
-
-
 def vector_pipeline(cats: Sequence[str], nums: Sequence[str]) -> Pipeline:
     """One-hot vectors (first category dropped, missing last) and numbers as ``features``.
 
@@ -63,6 +52,17 @@ def vector_pipeline(cats: Sequence[str], nums: Sequence[str]) -> Pipeline:
     return Pipeline(stages=stages)
 
 
+def _indexed(indexer: StringIndexerModel, df: DataFrame) -> DataFrame:
+    """Category numbers; an unseen category takes that of the first category, which is encoded as zeros."""
+    names = indexer.getOutputCols()
+    seen = indexer.transform(df).schema
+    lenient = indexer.copy({indexer.handleInvalid: "keep"}).transform(df)
+    return lenient.withColumns({
+        name: F.least(F.col(name), F.lit(len(labels) - 1.0)).alias(name, metadata=seen[name].metadata)
+        for name, labels in zip(names, indexer.labelsArray)
+    })
+
+
 def assemble(
     df: DataFrame,
     cats: Sequence[str],
@@ -80,14 +80,12 @@ def assemble(
         | {c: F.col(c).cast("double") for c in nums}
     )
     if encoder is None:
-        check_categories(ready, cats)
         encoder = vector_pipeline(cats, nums).fit(ready)
+        table = encoder.transform(ready)
     elif cats:
-        known = dict(zip(cats, encoder.stages[0].labelsArray))
-        ready = ready.withColumns({
-            c: F.when(F.col(c).isin(list(known[c])), F.col(c)).otherwise(F.lit(known[c][-1])) for c in cats
-        })
-    table = encoder.transform(ready)
+        table = PipelineModel(encoder.stages[1:]).transform(_indexed(encoder.stages[0], ready))
+    else:
+        table = encoder.transform(ready)
     return table.select(*keep, "features", F.col(target).cast("double").alias("label")), encoder
 
 

@@ -60,10 +60,15 @@ def test_vectors_of_missing_and_unseen_categories(spark):
     assert [list(r.features.toArray()) for r in seen.orderBy("label").collect()] == [[0, 0], [0, 1]]
 
 
-def test_too_many_categories(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("t"))
-    with pytest.raises(ValueError):
-        models.check_categories(df, ["t"], limit=10)
+def test_column_of_very_many_categories(spark):
+    n = 120_000
+    df = spark.range(n).select(F.format_string("z%06d", "id").alias("t"), F.col("id").cast("double").alias("y"))
+    table, encoder = models.assemble(df, ["t"], [], "y")
+    slots = table.select(vector_to_array("features").alias("v")).where("label = 7").first().v
+    assert len(slots) == n - 1 and sum(slots) == 1
+    new = spark.createDataFrame([("unseen", 1.0), ("z000007", 2.0)], "t string, y double")
+    seen, _ = models.assemble(new, ["t"], [], "y", encoder=encoder)
+    assert {r.label: int(sum(r.features.toArray())) for r in seen.collect()} == {1.0: 0, 2.0: 1}
 
 
 def brute_force(root, x):
