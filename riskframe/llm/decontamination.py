@@ -1,7 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words."""
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import small_batches, stage, text_of
 from riskframe.llm.words import SPACE, Words, ranges, text_buffer, word_batches
 
-SEED_WORDS, STRETCH, RARE = 3, 4, 10
+SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bytes of benchmark text that one pass over the documents looks for.
 BLOCK_BYTES = 8 << 20
@@ -49,22 +50,6 @@ class Items:
     def words(self, item: int) -> np.ndarray:
         return self.hash[self.first[item] : self.first[item + 1]]
 
-    def rare(self, counts: dict[int, int]) -> "Items":
-        """Keep, of every STRETCH successive n-grams of an item, those rare beside the rarest of them.
-
-        All with at most RARE times its documents stay (counting one more), so that an
-        n-gram which edited copies lack is never the only seed.
-        """
-        item = self.doc[self.at]
-        stretch = (self.at - self.first[item]) // STRETCH
-        found = np.array([counts.get(int(g), 0) for g in self.gram.view(np.int64)], np.int64)
-        _, group = np.unique(np.stack([item, stretch], axis=1), axis=0, return_inverse=True)
-        least = np.full(len(found), np.iinfo(np.int64).max)
-        np.minimum.at(least, group.ravel(), found)
-        keep = found <= RARE * (least[group.ravel()] + 1)
-        self.at, self.gram = self.at[keep], self.gram[keep]
-        return self
-
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of an n-gram of ``grams`` and of an equal entry here, for all equal pairs."""
         a = np.searchsorted(self.gram, grams, "left")
@@ -74,18 +59,41 @@ class Items:
         return np.repeat(some, n[some]), ranges(a[some], n[some])
 
 
-def local_alignment(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """Best Smith-Waterman score of two word sequences, and where it ends in ``text``."""
+def local_alignment(item: np.ndarray, text: np.ndarray, anchored: bool = False) -> tuple[int, int, int]:
+    """Best Smith-Waterman score of two word sequences, and the words of ``text`` and ``item`` up to its end.
+
+    ``anchored``: only alignments from the first words of both count.
+    """
     column = np.arange(len(text) + 1)
-    row, best, end = np.zeros(len(text) + 1, np.int64), 0, 0
-    for word in item:
-        new = np.maximum(row + GAP, 0)
+    row, best, end, used = GAP * column if anchored else np.zeros(len(text) + 1, np.int64), 0, 0, 0
+    for i, word in enumerate(item, 1):
+        new = row + GAP if anchored else np.maximum(row + GAP, 0)
         np.maximum(new[1:], row[:-1] + np.where(text == word, MATCH, MISMATCH), out=new[1:])
         row = np.maximum.accumulate(new - GAP * column) + GAP * column  # gaps along the text
         top = int(row.argmax())
         if row[top] > best:
-            best, end = int(row[top]), top
-    return best, end
+            best, end, used = int(row[top]), top, i
+    return best, end, used
+
+
+def passages(sought: np.ndarray, text: np.ndarray, least: float) -> Iterator[tuple[int, int, int]]:
+    """Score, first word and stop of the best alignment in ``text``.
+
+    A word of the text matches once at most, so a part with too few words of the item is
+    not aligned.
+    """
+    known, needed = np.isin(text, sought), least * MATCH * len(sought)
+    parts = [(0, len(text))]
+    while parts:
+        x, y = parts.pop()
+        if MATCH * int(known[x:y].sum()) < needed:
+            continue
+        score, stop, used = local_alignment(sought, text[x:y])
+        if score < needed or not score:
+            continue
+        _, back, _ = local_alignment(sought[:used][::-1], text[x : x + stop][::-1], anchored=True)
+        start, stop = x + stop - back, x + stop
+        yield score, start, stop
 
 
 def _regions(starts: np.ndarray, stops: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -103,24 +111,6 @@ def _regions(starts: np.ndarray, stops: np.ndarray) -> Iterator[tuple[int, int]]
         yield int(low), int(high)
 
 
-def _count(grams: np.ndarray) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total = np.zeros(len(grams), np.int64)
-            for _, _, words in word_batches(batch, **HOW):
-                at, h = _grams(words)
-                place = np.minimum(np.searchsorted(grams, h), max(len(grams) - 1, 0))
-                hit = grams[place] == h if len(grams) else np.zeros(len(h), bool)
-                pair = np.unique(np.stack([words.doc[at[hit]], place[hit]], axis=1), axis=0)
-                np.add.at(total, pair[:, 1], 1)
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[some].view(np.int64)), pa.array(total[some])], ["gram", "n"]
-            )
-
-    return run
-
-
 FOUND = "doc_id long, node long, item_id long, score double, first_word long, last_word long"
 FOUND_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
 
@@ -141,16 +131,20 @@ def _align(items: Items, least: float) -> Callable:
                 for group in np.split(order, cuts) if len(order) else []:
                     d, i = int(doc[group[0]]), int(item[group[0]])
                     sought = items.words(i)
-                    slack = max(8, len(sought) // 2)
+                    # an alignment that scores enough has no room for more gaps
+                    slack = max(8, math.ceil(MATCH * len(sought) * (1 - least) / -GAP))
                     begin, end = words.first[d], words.first[d + 1]
                     low = np.maximum(origin[group] - slack, begin)
                     high = np.minimum(origin[group] + len(sought) + slack, end)
                     for x, y in _regions(low, high):
-                        score, stop = local_alignment(sought, words.hash[x:y])
-                        if score >= least * MATCH * len(sought):
-                            _, back = local_alignment(sought[::-1], words.hash[x : x + stop][::-1])
-                            share = score / (MATCH * len(sought))
-                            rows.append((doc_ids[a + d], nodes[a + d], items.ids[i], share, x + stop - back - begin, x + stop - 1 - begin))
+                        known = np.append(0, np.cumsum(np.isin(words.hash[x:y], sought)))
+                        inside = (low >= x) & (high <= y)
+                        lows, highs = low[inside], high[inside]
+                        enough = MATCH * (known[highs - x] - known[lows - x]) >= least * MATCH * len(sought)
+                        for u, v in _regions(lows[enough], highs[enough]):
+                            for score, start, stop in passages(sought, words.hash[u:v], least):
+                                share = score / (MATCH * len(sought))
+                                rows.append((doc_ids[a + d], nodes[a + d], items.ids[i], share, u + start - begin, u + stop - 1 - begin))
             columns = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(map(t.to_pandas_dtype(), c) if k >= 3 else c, t) for k, (c, t) in enumerate(zip(columns, FOUND_TYPES))],
@@ -163,9 +157,9 @@ def _align(items: Items, least: float) -> Callable:
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> DataFrame:
     """Passages of documents that align with a benchmark item.
 
-    Words are compared in lower case (A-Z) without ASCII punctuation. Of every four
-    successive three-word n-grams of an item, those rare among the documents are seeds; a document that holds a seed is aligned with the item around it. One row per
-    passage whose local alignment score is at least ``least`` of a whole match: doc_id,
+    Words are compared in lower case (A-Z) without ASCII punctuation. Every
+    three-word n-gram of an item is a seed; a document that holds a seed is aligned with the
+    item around it, as far as an alignment of ``least`` can reach. One row per passage whose local alignment score is at least ``least`` of a whole match: doc_id,
     node (hash of the text), item_id, score (share of a whole match), first_word and
     last_word (of the passage, in the document's words). A word of the document that is
     replaced, missing or added lowers the score and does not end the passage.
@@ -186,8 +180,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> D
         if not rows:
             continue
         sought = Items([r["item_id"] for r in rows], [r["text"] for r in rows])
-        counted = source.select("text").mapInArrow(_count(np.unique(sought.gram)), "gram long, n long")
-        counts = {r["gram"]: r["n"] for r in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-        found = source.mapInArrow(_align(sought.rare(counts), least), FOUND)
+        found = source.mapInArrow(_align(sought, least), FOUND)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], FOUND)

@@ -222,6 +222,15 @@ def test_decontamination(spark, awkward):
     assert (whole.score, whole.first_word, whole.last_word) == (1.0, 3, 16)
 
 
+@pytest.mark.parametrize("copies", [1, 11, 1000])
+def test_decontamination_of_equal_edited_copies(spark, copies):
+    item = [f"word{i}" for i in range(40)]
+    edited = " ".join(w if i % 6 else f"other{i}" for i, w in enumerate(item))
+    docs = spark.createDataFrame([(i, f"before {edited} after") for i in range(copies)], "doc_id long, text string")
+    got = decontamination.contaminated(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.first_word, r.last_word) for r in got) == [(i, 2, 40) for i in range(copies)]
+
+
 def test_license_scan(awkward, rows_of):
     lower = str.maketrans(licenses.LETTERS_UPPER, licenses.LETTERS_LOWER)
     expected = []
