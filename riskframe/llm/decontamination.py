@@ -77,7 +77,7 @@ def local_alignment(item: np.ndarray, text: np.ndarray, anchored: bool = False)
 
 
 def passages(sought: np.ndarray, text: np.ndarray, least: float) -> Iterator[tuple[int, int, int]]:
-    """Score, first word and stop of the best alignment in ``text``.
+    """Score, first word and stop of the best alignment in ``text``, then of those in what is left on either side.
 
     A word of the text matches once at most, so a part with too few words of the item is
     not aligned.
@@ -94,6 +94,7 @@ def passages(sought: np.ndarray, text: np.ndarray, least: float) -> Iterator[tup
         _, back, _ = local_alignment(sought[:used][::-1], text[x : x + stop][::-1], anchored=True)
         start, stop = x + stop - back, x + stop
         yield score, start, stop
+        parts += [(x, start), (stop, y)]
 
 
 def _regions(starts: np.ndarray, stops: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -159,7 +160,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5) -> D
 
     Words are compared in lower case (A-Z) without ASCII punctuation. Every
     three-word n-gram of an item is a seed; a document that holds a seed is aligned with the
-    item around it, as far as an alignment of ``least`` can reach. One row per passage whose local alignment score is at least ``least`` of a whole match: doc_id,
+    item around it, as far as an alignment of ``least`` can reach, and again on either side
+    of each passage found. Items of one or two words are sought only as whole texts: in
+    documents of exactly those words. One row per passage whose local alignment score is at least ``least`` of a whole match: doc_id,
     node (hash of the text), item_id, score (share of a whole match), first_word and
     last_word (of the passage, in the document's words). A word of the document that is
     replaced, missing or added lowers the score and does not end the passage.

@@ -231,6 +231,13 @@ def test_decontamination_of_equal_edited_copies(spark, copies):
     assert sorted((r.doc_id, r.first_word, r.last_word) for r in got) == [(i, 2, 40) for i in range(copies)]
 
 
+def test_decontamination_of_near_copies_in_one_document(spark):
+    item = " ".join(f"word{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, f"a {item} b c {item} {item}"), (2, f"a {item}")], "doc_id long, text string")
+    got = decontamination.contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted(r[:1] + r[3:] for r in got) == [(1, 1.0, 1, 20), (1, 1.0, 23, 42), (1, 1.0, 43, 62), (2, 1.0, 1, 20)]
+
+
 def test_license_scan(awkward, rows_of):
     lower = str.maketrans(licenses.LETTERS_UPPER, licenses.LETTERS_LOWER)
     expected = []
