@@ -38,7 +38,7 @@ MEMORY = 400_000
 RECORDS_PER_FILE = 16_384
 
 LETTER = np.zeros(256, bool)
-LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+LETTER[65:91] = LETTER[97:123] = True
 PUNCTUATION = np.zeros(256, bool)
 PUNCTUATION[33:48] = PUNCTUATION[58:65] = PUNCTUATION[91:97] = PUNCTUATION[123:127] = True
 PUNCTUATION[ord("'")] = False
@@ -81,8 +81,8 @@ class PieceEncoder:
     """Token ids of texts, each distinct piece encoded once.
 
     For tokenizers that lower-case, drop white space and never join a letter with ASCII
-    punctuation other than an apostrophe: texts are cut at ASCII spaces and between a
-    letter and such a mark, and the ids of the pieces are joined. A text that may hold a
+    punctuation other than an apostrophe: texts are cut at ASCII spaces and between an
+    ASCII letter and such a mark, and the ids of the pieces are joined. A text that may hold a
     special token (``<|``) is encoded whole.
     """
 

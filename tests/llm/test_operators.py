@@ -149,6 +149,20 @@ def test_token_records(awkward, rows_of, tmp_path):
         assert next(records.frames_of(f.read(one.length)))[2] == 12
 
 
+def test_pieces_equal_plain_encoding():
+    from tokenizers import Tokenizer
+
+    plain, encoder = Tokenizer.from_file(tokenizer_path()), records.PieceEncoder(tokenizer_path())
+    others = ["\u201c", "\u201d", "\u2019", "\u2026", "\u2014", "\u2192", "\u20ac", "\U0001f600", "\u093e", "\u0301", "\u00e9", "\u0130", "\u00a0", "\u3000"]
+    texts = ["he said \u201cyes\u201d, then", "wait\u2026) ok", "\U0001f600! a", "foo\u2014- bar", "5\u20ac. it's", "\u0915\u0930\u0928\u093e, \u0925\u093e", "e\u0301. E\u0301, x"]
+    texts += [f"{a}{x}{m}{b} end" for x in others for m in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~ \t" for a in ("", "a", "Z", "7", "-") for b in ("", "b", "9", ".", x)]
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    got = [ids.tolist() for ids in encoder.texts(np.frombuffer(data, np.uint8), offsets)]
+    wrong = [(t, g) for t, g in zip(texts, got, strict=True) if g != plain.encode(t, add_special_tokens=False).ids]
+    assert not wrong, (len(wrong), wrong[:20])
+
+
 def test_damaged_record():
     frame = bytearray(records.frame(5, np.arange(9)))
     frame[20] ^= 1
