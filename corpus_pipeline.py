@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from riskframe.llm.common import new_folder, table, text_of
 from riskframe.llm.decontamination import contaminated
 from riskframe.llm.mixing import mixed_documents
-from riskframe.llm.near_duplicates import near_duplicates
+from riskframe.llm.near_duplicates import rooted_documents
 from riskframe.llm.quality_rules import quality_rules
 from riskframe.llm.queries import tokenizer_path
 from riskframe.llm.records import token_records
@@ -33,10 +33,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: that of the least doc_id."""
-    classes = near_duplicates(docs).where("doc_id <=> class_id").select(F.col("doc_id").alias("_d")).distinct()
-    kept = docs.join(classes, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each class of near-duplicates: that of the least doc_id (NULL last), then of the least text hash.
+
+    Rows with NULL doc_id, and different texts under one doc_id, count each for its own
+    class. Of rows with the same doc_id and text the least by all columns is kept.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")
+    classes = rooted_documents(docs).groupBy("root").agg(first)
+    classes = classes.select(F.col("first.doc_id").alias("_d"), F.col("first.node").alias("_n"))
+    node = F.xxhash64(text_of())
+    kept = docs.join(classes, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (node == F.col("_n")), "left_semi")
+    row = F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("row")
+    return kept.groupBy(F.col("doc_id").cast("long").alias("_d"), node.alias("_n")).agg(row).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

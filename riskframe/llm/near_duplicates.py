@@ -259,16 +259,16 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
-    """One row per document: doc_id, class_id (least doc_id of its class) and n_class (rows).
+def rooted_documents(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+    """One row per document: doc_id, node (hash of its text) and root (a node that stands for its class).
 
     Weighted shingles of five words, weights being counts. Texts are linked when they share
     a band of their ProbMinHash signatures and their exact probability Jaccard similarity is
     at least ``least``; classes are connected components. Equal texts are one node from the
     start, so copies cost nothing further. NULL texts count as empty; empty texts are copies
     of one another, while texts of white space alone are in no class but their copies';
-    repeated rows are copies; rows with NULL doc_id take part, and a class of such rows alone
-    has a NULL class_id; an empty table gives no rows; further columns are ignored.
+    repeated rows are copies; rows with NULL doc_id take part; an empty table gives no rows;
+    further columns are ignored.
     """
     small_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("node"), text_of().alias("text"))
@@ -283,6 +283,14 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BAN
     sets = stage(texts.mapInArrow(_sets, "node long, elements binary, weights binary").dropDuplicates(["node"]))
     roots = class_roots(members.select("key", "node"), sets, least)
     rooted = signed.select("doc_id", "node").join(roots, "node", "left")
-    rooted = stage(rooted.select("doc_id", F.coalesce("root", "node").alias("root")))
+    return stage(rooted.select("doc_id", "node", F.coalesce("root", "node").alias("root")))
+
+
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
+    """One row per document: doc_id, class_id (least doc_id of its class) and n_class (rows).
+
+    Classes are those of ``rooted_documents``; one of rows with NULL doc_id alone has a NULL class_id.
+    """
+    rooted = rooted_documents(docs, least, bands, band_rows)
     classes = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"))
     return rooted.join(classes, "root").select("doc_id", "class_id", "n_class")

@@ -40,6 +40,21 @@ def test_query_equals_sql(spark, sf_small, awkward, name):
     assert differences(queries.QUERIES[name](spark, sf_small), connect(sf_small), queries.SQL[name]) == []
 
 
+def test_near_dedup_keeps_one_row_of_each_class(spark, sf_small):
+    text = {c: " ".join(f"{c}{i}" for i in range(30)) for c in "abcde"}
+    near = text["a"].replace("a29", "other")
+    rows = [
+        (None, text["a"], "y"), (None, text["a"], "x"), (None, near, "x"), (None, text["b"], "x"), (None, text["c"], "x"),
+        (1, text["d"], "x"), (1, text["e"], "x"), (1, text["e"], "x"), (0, text["d"], "x"), (None, text["d"], "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = [tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, sf_small).collect()]
+    of_a = [r for r in got if r[1] in (text["a"], near)]
+    assert of_a in ([(None, text["a"], "x")], [(None, near, "x")])
+    rest = [(None, text["b"], "x"), (None, text["c"], "x"), (0, text["d"], "x"), (1, text["e"], "x")]
+    assert sorted((r for r in got if r not in of_a), key=lambda r: r[1]) == rest
+
+
 def test_awkward_documents_pass_every_stage(spark, awkward, sf_small, tmp_path):
     docs = awkward
     for name, stage in corpus_pipeline.STAGES:
