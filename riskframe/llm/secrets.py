@@ -17,11 +17,14 @@ BASE = {
 }
 # Weak candidates: reported only beside what completes them.
 WEAK = {
-    "weak_id": (r"""(?i:access_?key(?:_?id)?|client_?id|user_?name|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@=-]+)""", 1, 3),
+    "weak_id": (r"""(?i:(?<!secret)(?<!secret[_-])access_?key(?:_?id)?|client_?id|user_?name|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.@=-]+)""", 1, 3),
     "weak_secret": (r"(?<![0-9A-Za-z])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{12,31}(?![0-9A-Za-z])", 0, 12),
+    "weak_key": (r"""(?i:secret[_-]?access[_-]?key|client[_-]?secret|private[_-]?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
+    # a run of general shape that is not wholly a weak_secret
+    "weak_token": (r"(?<![A-Za-z0-9+/_=-])(?![0-9a-f]{12,31}(?![A-Za-z0-9+/_=-]))(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{16,}", 0, 16),
     "endpoint": (r"https?://[^\x00-\x20\x22\x27<>]+|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])", 0, 7),
 }
-ROLES = {"access": "id", "weak_id": "id", "assign": "secret", "hex": "secret", "weak_secret": "secret", "endpoint": "endpoint"}
+ROLES = {"access": "id", "weak_id": "id", "assign": "secret", "hex": "secret", "weak_secret": "secret", "weak_key": "secret", "weak_token": "secret", "endpoint": "endpoint"}
 ORDER = [*BASE, *WEAK]
 #: Characters around a weak candidate in which its complement must start.
 SCOPE = 200
@@ -82,26 +85,36 @@ def secret_scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     Columns: doc_id, n_assign, n_access, n_hex, base_sha256 (of ``kind:start:stop`` of the
     base kinds, by start, then kind, comma-joined; code points, stop exclusive) and spans
-    (the same text, with linked weak candidates). A weak candidate inside a base span is
-    not reported. NULL and empty texts have none; repeated rows give repeated results; an
+    (the same text, with linked weak candidates). A weak candidate that overlaps a base
+    span is not reported, nor a weak_token (16 or more characters with a digit and a letter)
+    that overlaps an identifier, an endpoint or a weak_key; a weak_secret inside a
+    weak_token is reported beside it. NULL and empty texts have none; repeated rows give repeated results; an
     empty table gives no rows; other columns are ignored.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("node"), text_of().alias("text"))
     some = reduce(lambda a, b: a | b, [F.col("text").rlike(p) for p, _, _ in BASE.values()])
     # a weak candidate needs a complement; two weak ones may complete each other
-    some = some | (F.col("text").rlike(WEAK["weak_secret"][0]) & (F.col("text").rlike(WEAK["weak_id"][0]) | F.col("text").rlike(WEAK["endpoint"][0])))
+    has = {k: F.col("text").rlike(p) for k, (p, _, _) in WEAK.items()}
+    some = some | ((has["weak_id"] | has["endpoint"]) & (has["weak_secret"] | has["weak_key"] | has["weak_token"]))
     texts = stage(source.where(some).dropDuplicates(KEY))
     found = stage(reduce(DataFrame.unionByName, [matches(texts, k) for k in ORDER]))
     role = F.element_at(F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv]), F.col("kind"))
     parts = found.withColumn("role", role)
     base = F.col("kind").isin(*BASE)
-    # weak candidates that overlap a base span: the last base stop before their own stop, among earlier starts
-    by = Window.partitionBy(*KEY).orderBy("start", F.when(base, 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*KEY).orderBy(F.col("start").desc(), F.when(base, 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, -1)
-    covered = (F.coalesce(F.max(F.when(base, F.col("stop"))).over(by), F.lit(-1)) > F.col("start")) | (
-        F.coalesce(F.min(F.when(base, F.col("start"))).over(after), F.lit(1 << 60)) < F.col("stop")
-    )
-    parts = stage(parts.withColumn("covered", covered).where(base | ~F.col("covered")).drop("covered"))
+    # weak candidates that overlap a base span, and tokens that overlap a key, an identifier or an endpoint too:
+    # the last stop of such spans among earlier starts, or their next start, lies inside
+    token = F.col("kind") == "weak_token"
+    rank = F.when(base, 0).when(token, 2).otherwise(1)
+    by = Window.partitionBy(*KEY).orderBy("start", rank).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*KEY).orderBy(F.col("start").desc(), rank).rowsBetween(Window.unboundedPreceding, -1)
+
+    def covered(cover):
+        return (F.coalesce(F.max(F.when(cover, F.col("stop"))).over(by), F.lit(-1)) > F.col("start")) | (
+            F.coalesce(F.min(F.when(cover, F.col("start"))).over(after), F.lit(1 << 60)) < F.col("stop")
+        )
+
+    parts = parts.withColumn("covered", F.when(token, covered(~F.col("kind").isin("weak_token", "weak_secret"))).otherwise(covered(base)))
+    parts = stage(parts.where(base | ~F.col("covered")).drop("covered"))
     seen = linked(parts.where(~base), parts, scope)
     reported = parts.where(base).select(*KEY, "kind", "start", "stop").unionByName(seen)
     place = F.array_position(F.array(*map(F.lit, ORDER)), F.col("kind"))
