@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, quality_rules, records, secrets, substrings, toxicity
+from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, packing, quality_rules, records, secrets, substrings, toxicity
 from riskframe.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -57,6 +57,10 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_line_dedup": op2_line_dedup,
@@ -68,6 +72,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_packing": op13_packing,
 }
 
 SQL = {"op4_mixing": mixing.MIX_SQL.format(documents="documents")}
