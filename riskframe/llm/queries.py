@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, packing, quality_rules, records, secrets, substrings, toxicity
+from riskframe.llm import alignment, decontamination, licenses, lines, mixing, near_duplicates, packing, quality_rules, records, secrets, substrings, toxicity
 from riskframe.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -57,6 +57,11 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_alignment": op12_alignment,
     "op13_packing": op13_packing,
 }
 
