@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.llm import alignment, decontamination, licenses, lines, mixing, near_duplicates, packing, quality_rules, records, secrets, substrings, toxicity
+from riskframe.llm import alignment, decontamination, licenses, lines, mixing, near_duplicates, packing, quality_rules, records, secrets, substrings, toxicity, trie
 from riskframe.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -57,6 +57,10 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), stride=20)
+
+
 def op12_alignment(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -77,6 +81,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_alignment": op12_alignment,
     "op13_packing": op13_packing,
 }
