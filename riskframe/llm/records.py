@@ -15,7 +15,6 @@ The index is a table of its own: a reader seeks to ``offset`` in ``file`` in any
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -26,22 +25,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import new_folder, small_batches, stage, text_of
-from riskframe.llm.words import PIECE_BYTES, SPACE, Words, pieces, ranges, text_buffer
+from riskframe.llm.tokens import encoder
 
 HEAD = struct.Struct("<QI")
 TAIL = struct.Struct("<I")
 LABEL = struct.Struct("<qBB")
 MASK = 0xA282EAD8
-#: Distinct pieces that a worker remembers with their ids.
-MEMORY = 400_000
-#: Records in a file, which bounds what a reader holds at once.
-RECORDS_PER_FILE = 16_384
-
-LETTER = np.zeros(256, bool)
-LETTER[65:91] = LETTER[97:123] = True
-PUNCTUATION = np.zeros(256, bool)
-PUNCTUATION[33:48] = PUNCTUATION[58:65] = PUNCTUATION[91:97] = PUNCTUATION[123:127] = True
-PUNCTUATION[ord("'")] = False
+#: Bytes of records that a task collects, and such blocks in a file: what a reader holds at once.
+BLOCK_BYTES, BLOCKS_PER_FILE = 8 << 20, 8
 
 
 def masked(data: bytes) -> int:
@@ -73,110 +64,51 @@ def frames_of(content: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray
         at += length + 1
 
 
-def _letter_then_mark(data: np.ndarray) -> np.ndarray:
-    return LETTER[data[:-1]] & PUNCTUATION[data[1:]]
-
-
-class PieceEncoder:
-    """Token ids of texts, each distinct piece encoded once.
+def _framer(path: str, end_id: int, block_bytes: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, end = encoder(path), np.array([end_id], "<u4").tobytes()
+        frames, size = [], 0
 
-    For tokenizers that lower-case, drop white space and never join a letter with ASCII
-    punctuation other than an apostrophe: texts are cut at ASCII spaces and between an
-    ASCII letter and such a mark, and the ids of the pieces are joined. A text that may hold a
-    special token (``<|``) is encoded whole.
-    """
+        def block() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"\n".join(frames)], pa.binary())], ["block"])
 
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives the cores out
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.empty(0, np.uint64)
-        self.slots = np.empty(0, np.int64)
-        self.counts: list[np.ndarray] = []
-        self.ids: list[np.ndarray] = []
-        self.at = np.zeros(0, np.int64)
-        self.n = np.zeros(0, np.int64)
-        self.flat = np.empty(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        n = np.fromiter(map(len, found), np.int64, len(found))
-        at = len(self.flat) + np.cumsum(n) - n
-        into = np.searchsorted(self.keys, keys)
-        self.slots = np.insert(self.slots, into, len(self.n) + np.arange(len(n)))
-        self.keys = np.insert(self.keys, into, keys)
-        self.n = np.concatenate([self.n, n])
-        self.at = np.concatenate([self.at, at])
-        self.flat = np.concatenate([self.flat, np.fromiter((t for x in found for t in x), np.uint32, int(n.sum()))])
-
-    def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the number of them before each text (one more at the end)."""
-        if len(self.keys) > MEMORY:
-            self._forget()
-        distinct, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
-        into = np.searchsorted(self.keys, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = into < len(self.keys)
-        new[inside] = self.keys[into[inside]] != distinct[inside]
-        if new.any():
-            self._learn(distinct[new], [words.word(i).decode() for i in first[new]])
-        slot = self.slots[np.searchsorted(self.keys, distinct)][back]
-        counts = self.n[slot]
-        before = np.zeros(len(counts) + 1, np.int64)
-        np.cumsum(counts, out=before[1:])
-        return self.flat[ranges(self.at[slot], counts)], before[words.first]
-
-    def texts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-        """Ids of each text in turn."""
-        for a, b in pieces(offsets, PIECE_BYTES // 2):
-            part, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            words = Words(part, at, lower=True, breaks=_letter_then_mark, space=SPACE)
-            ids, before = self.encode(words)
-            special = part.tobytes().find(b"<|") >= 0
-            for i in range(b - a):
-                if special and b"<|" in (text := part[at[i] : at[i + 1]].tobytes()):
-                    yield np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
-                else:
-                    yield ids[before[i] : before[i + 1]]
-
-
-_encoders: dict[str, PieceEncoder] = {}
-
-
-def _framer(path: str, end_id: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.setdefault(path, None) or _encoders.update({path: PieceEncoder(path)}) or _encoders[path]
-        end = np.array([end_id], np.uint32)
         for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            found = [
-                frame(i, np.append(ids, end))
-                for i, ids in zip(batch.column(0).to_pylist(), encoder.texts(data, offsets), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["frame"])
+            for i, text in zip(batch.column(0), batch.column(1)):
+                found = frame(i.as_py(), np.frombuffer(words.encode(text.as_buffer().to_pybytes()) + end, "<u4"))
+                if frames and size + len(found) > block_bytes:
+                    yield block()
+                    frames, size = [], 0
+                frames.append(found)
+                size += len(found)
+        if frames:
+            yield block()
 
     return run
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2) -> None:
-    """Write every text's ids in ascending ``doc_id`` order (NULL first; equal ids by text).
+def write_records(
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, block_bytes: int = BLOCK_BYTES, blocks: int = BLOCKS_PER_FILE
+) -> None:
+    """Write every text's ids in ascending ``doc_id`` order (NULL first; equal ids by a hash of the text).
 
-    ``tokenizer`` is the path of a tokenizer file that all workers can open.
+    ``tokenizer`` is the path of a tokenizer file that all workers can open. Records are
+    handed to the writer in blocks of at most ``block_bytes``, or one longer record, and
+    a file takes ``blocks`` of them, so its size is bounded. Rows that share an id, or an
+    id and a text, are spread over tasks.
     """
     small_batches(docs.sparkSession)
+    text = text_of()
+    order = ["id", "hash", "spread"]
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
-        .repartitionByRange("id")
-        .sortWithinPartitions("id", "text")
+        docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
+        .withColumn("spread", F.rand(3))
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("id", "text")
     )
-    frames = ordered.mapInArrow(_framer(tokenizer, end_id), "frame binary")
+    frames = ordered.mapInArrow(_framer(tokenizer, end_id, block_bytes), "block binary")
     # The text writer writes a string's bytes as they are.
-    writer = frames.select(F.col("frame").cast("string").alias("value")).write
-    writer.option("lineSep", "\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+    writer = frames.select(F.col("block").cast("string").alias("value")).write
+    writer.option("lineSep", "\n").option("maxRecordsPerFile", blocks).text(folder)
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, quality_rules, records, secrets, substrings, toxicity
+from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, quality_rules, records, secrets, substrings, tokens, toxicity
 from riskframe.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -149,20 +149,42 @@ def test_token_records(awkward, rows_of, tmp_path):
         assert next(records.frames_of(f.read(one.length)))[2] == 12
 
 
-def test_pieces_equal_plain_encoding():
+def test_words_equal_plain_encoding():
     from tokenizers import Tokenizer
 
-    plain, encoder = Tokenizer.from_file(tokenizer_path()), records.PieceEncoder(tokenizer_path())
+    plain, words = Tokenizer.from_file(tokenizer_path()), tokens.WordEncoder(tokenizer_path())
     others = ["\u201c", "\u201d", "\u2019", "\u2026", "\u2014", "\u2192", "\u20ac", "\U0001f600", "\u093e", "\u0301", "\u00e9", "\u0130", "\u00a0", "\u3000"]
     texts = ["he said \u201cyes\u201d, then", "wait\u2026) ok", "\U0001f600! a", "foo\u2014- bar", "5\u20ac. it's", "\u0915\u0930\u0928\u093e, \u0925\u093e", "e\u0301. E\u0301, x"]
     texts += [f"{a}{x}{m}{b} end" for x in others for m in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~ \t" for a in ("", "a", "Z", "7", "-") for b in ("", "b", "9", ".", x)]
-    data = "".join(texts).encode()
-    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
-    got = [ids.tolist() for ids in encoder.texts(np.frombuffer(data, np.uint8), offsets)]
+    texts += ["\u00c9TAGE stra\u00dfe \u00d7\u00f7", "O\u0308L \u0130x h\u0331 H\u0331 \u03a3\u039f\u03a3", "x" * 300 + "! " + "y" * 70, "<|endoftext|>a <|ENDOFTEXT|>", "don't I'LL 'so"]
+    got = [np.frombuffer(words.encode(t.encode()), "<u4").tolist() for t in texts * 2]
+    texts *= 2
     wrong = [(t, g) for t, g in zip(texts, got, strict=True) if g != plain.encode(t, add_special_tokens=False).ids]
     assert not wrong, (len(wrong), wrong[:20])
 
 
+def test_long_words_of_one_polynomial_hash_keep_their_ids(spark, tmp_path):
+    thue_morse = [bin(i).count("1") % 2 for i in range(4096)]
+    for n in (1024, 2048, 4096):
+        pair = ["".join("ab"[b ^ k] for b in thue_morse[:n]) for k in (0, 1)]
+        docs = spark.createDataFrame([(1, f"{pair[0]} {pair[1]}")], "doc_id long, text string")
+        got = records.token_records(docs, tokenizer_path(), folder=str(tmp_path / str(n))).head()
+        from tokenizers import Tokenizer
+
+        ids = Tokenizer.from_file(tokenizer_path()).encode(docs.head().text, add_special_tokens=False).ids
+        assert got.ids_crc32 == zlib.crc32(np.array([*ids, 2], "<u4").tobytes())
+
+
+def test_files_of_records_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i % 3 or None, "word " * (400 if i % 10 else 4000)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    records.write_records(docs, str(tmp_path / "records"), tokenizer_path(), block_bytes=4000, blocks=2)
+    sizes = [p.stat().st_size for p in (tmp_path / "records").glob("part-*")]
+    assert max(sizes) < 2 * (4000 + 9000) and len(sizes) > 30
+    index = records.read_index(spark, str(tmp_path / "records"))
+    assert index.count() == 300 and index.agg({"n_tokens": "sum"}).head()[0] == sum(len(t.split()) + 1 for _, t in rows)
+
+
 def test_damaged_record():
     frame = bytearray(records.frame(5, np.arange(9)))
     frame[20] ^= 1
