@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from riskframe.checks.common import chi2_tail, over_policies, policies, result, rounded, staged, t_tail
-from riskframe.operators import ab_tests, group_tests, ordering
+from riskframe.functions import kernels
+from riskframe.operators import ab_tests, group_tests, normality, ordering
 from riskframe.operators.metrics import with_claims
 from riskframe.plans import hypothesis
 
+ID = "UnderwrittenCoverID"
 SEGMENTS = ["Province", "PostalCode", "Gender", "TotalPremium", "TotalClaims"]
 BAND = "CAST(floor(TotalClaims / 1000) AS DOUBLE)"
 
@@ -28,6 +32,20 @@ def _kruskal(banded):
         _claims(s, sf, "Province", banded=banded), "TotalClaims", "Province"))
 
 
+def _severity(normal=False, **how):
+    """Severity of the genders; ``normal`` puts normal deviates of hashed ids in place of the claims."""
+    def run(s, sf):
+        rows = staged(s, sf, ID, "Gender", "TotalClaims")
+        if normal:
+            a, b = ((F.conv(F.substring(F.md5(F.col(ID).cast("string")), i, 8), 16, 10).cast("double") + 0.5) / 2.0**32 for i in (1, 9))
+            score = F.sqrt(-2 * F.ln(a)) * F.cos(2 * math.pi * b)
+            rows = rows.withColumn("TotalClaims", F.when(F.col("TotalClaims") > 0, 50_000 + 8_000 * score))
+        return rounded(ab_tests.severity_ab(rows, "Gender", "Female", "Male", **how),
+                       group_a_severity=4, group_b_severity=4, severity_difference=4)
+
+    return run
+
+
 QUERIES = {
     "average_rank": lambda s, sf: rounded(ordering.average_rank(_claims(s, sf), "TotalClaims")),
     "average_rank_ties": lambda s, sf: rounded(
@@ -42,8 +60,11 @@ QUERIES = {
     "mann_whitney_ties": _mann_whitney(True),
     "shapiro_wilk": lambda s, sf: rounded(ab_tests.shapiro_wilk(
         with_claims(policies(s, sf)), "TotalClaims", "MainCrestaZone")),
-    "severity_ab": lambda s, sf: rounded(ab_tests.severity_ab(
-        policies(s, sf), "Gender", "Female", "Male"), group_a_severity=4, group_b_severity=4, severity_difference=4),
+    "shapiro_wilk_ties": lambda s, sf: rounded(ab_tests.shapiro_wilk(
+        _claims(s, sf, "Province", banded=True), "TotalClaims", "Province")),
+    "severity_ab": _severity(),
+    "severity_ab_normal": _severity(normal=True),
+    "severity_ab_welch": _severity(method="welch"),
     "margin_ab": lambda s, sf: rounded(
         ab_tests.margin_ab(policies(s, sf), "Gender", "Female", "Male"),
         group_a_mean_margin=4, group_b_mean_margin=4, margin_difference=4),
@@ -53,7 +74,6 @@ QUERIES = {
     "province_risk": lambda s, sf: rounded(group_tests.province_risk(staged(s, sf, *SEGMENTS))),
     "postal_risk": lambda s, sf: rounded(group_tests.postal_risk(staged(s, sf, *SEGMENTS))),
     "postal_risk_top": lambda s, sf: rounded(group_tests.postal_risk(staged(s, sf, *SEGMENTS), k=20)),
-    "postal_risk_all": lambda s, sf: rounded(group_tests.postal_risk(staged(s, sf, *SEGMENTS), k=None)),
     "postal_margin_test": lambda s, sf: rounded(group_tests.postal_margin_test(staged(s, sf, *SEGMENTS))),
     "gender_risk": lambda s, sf: rounded(group_tests.gender_risk(staged(s, sf, *SEGMENTS))),
     "test_summary": lambda s, sf: rounded(hypothesis.test_summary(staged(s, sf, *SEGMENTS))),
@@ -182,20 +202,86 @@ def _postal_sql(k):
         "postal_risk", [("frequency", _chi_result("z_")), ("severity", _kruskal_result("z_"))], _VALID))
 
 
-# The severity branch: claims of the view are not normal, so U up to 5000 claims, else Welch.
-_LARGE = "(SELECT greatest(na, nb) > 5000 FROM u)"
-_SEVERITY_ROWS = _u(False) + _welch_row("v")
-_SEVERITY = (
-    "SELECT * FROM (" + result("u", "'Mann-Whitney U test for claim severity'", "u", "CAST(NULL AS DOUBLE)",
-                               chi2_tail("z * z", "1"), "2", "na + nb", "0") + f") WHERE NOT {_LARGE} UNION ALL SELECT * FROM ("
-    + result("w", "'Welch''s t-test for claim severity'", "t", "df", t_tail("t", "df"), "2", "na + nb", "0")
-    + f") WHERE {_LARGE}")
+def _fraction(up, down, x):
+    """Quotient of two polynomials, highest power first."""
+    def horner(cs):
+        total = "0e0"
+        for c in cs:
+            total = f"({total} * ({x}) + {c!r}e0)" if "e" not in repr(c) else f"({total} * ({x}) + {c!r})"
+        return total
+
+    return f"({horner(up)} / {horner(down)})"
+
+
+def _score(p):
+    """Normal quantile in SQL."""
+    q, r = f"({p} - 0.5)", f"sqrt(-ln(least({p}, 1 - {p})))"
+    outer = (f"CASE WHEN {r} <= 5 THEN {_fraction(normality.SIDE_UP, normality.SIDE_DOWN, f'{r} - 1.6')}"
+             f" ELSE {_fraction(normality.TAIL_UP, normality.TAIL_DOWN, f'{r} - 5')} END")
+    return (f"(CASE WHEN abs({q}) <= 0.425 THEN {q} * {_fraction(normality.CENTRE_UP, normality.CENTRE_DOWN, f'0.180625 - {q} * {q}')}"
+            f" ELSE sign({q}) * {outer} END)")
+
+
+def _poly(cs, x):
+    return "(" + " + ".join(f"({c}) * power({x}, {i})" for i, c in enumerate(cs)) + ")"
+
+
+def _shapiro(rows, key, p=""):
+    """Members of a WITH clause over (key, v) rows; sw has (grp, n, w, p): weights in order, then W."""
+    n, size = "n", "least(ln(n), ln(5000))"
+    beyond = "greatest(ln(n) - ln(5000), 0)"
+    slopes = [" + ".join(f"{i} * ({c}) * power(ln(5000), {i - 1})" for i, c in enumerate(cs) if i)
+              for cs in (kernels.LARGE_MEAN, kernels.LARGE_SPREAD)]
+    mean, spread = (f"({_poly(cs, size)} + ({slope}) * {beyond})" for cs, slope in zip((kernels.LARGE_MEAN, kernels.LARGE_SPREAD), slopes))
+    z = (f"CASE WHEN n > 11 THEN (ln(1 - w) - {mean}) / exp({spread}) ELSE (-ln({_poly(kernels.SMALL_GAMMA, n)} - ln(1 - w))"
+         f" - {_poly(kernels.SMALL_MEAN, n)}) / exp({_poly(kernels.SMALL_SPREAD, n)}) END")
+    tail = chi2_tail("least(z * z, 1600)", "1")
+    return f""", {p}o AS (SELECT {key} AS grp, v, row_number() OVER (PARTITION BY {key} ORDER BY v) AS i, count(*) OVER (PARTITION BY {key}) AS n
+    FROM {rows} WHERE {key} IS NOT NULL AND v IS NOT NULL),
+  {p}s AS (SELECT *, {_score("((i - 0.375) / (n + 0.25))")} AS m FROM {p}o),
+  {p}q AS (SELECT *, sum(m * m) OVER (PARTITION BY grp) AS sq, max(m) OVER (PARTITION BY grp) AS ml,
+    max(CASE WHEN i = n - 1 THEN m END) OVER (PARTITION BY grp) AS mn, 1 / sqrt(n) AS u, avg(v) OVER (PARTITION BY grp) AS av FROM {p}s),
+  {p}e AS (SELECT *, {_poly(kernels.WEIGHT_LAST, "u")} + ml / sqrt(sq) AS e1, {_poly(kernels.WEIGHT_NEXT, "u")} + mn / sqrt(sq) AS e2 FROM {p}q),
+  {p}a AS (SELECT *, CASE WHEN n = 3 THEN (i - 2) * sqrt(0.5) WHEN i = 1 THEN -e1 WHEN i = n THEN e1 WHEN n > 5 AND i = 2 THEN -e2
+    WHEN n > 5 AND i = n - 1 THEN e2 WHEN n > 5 THEN m / sqrt((sq - 2 * ml * ml - 2 * mn * mn) / (1 - 2 * e1 * e1 - 2 * e2 * e2))
+    ELSE m / sqrt((sq - 2 * ml * ml) / (1 - 2 * e1 * e1)) END AS a FROM {p}e),
+  {p}w AS (SELECT grp, max(n) AS n, CASE WHEN max(n) < 3 THEN NULL WHEN min(v) = max(v) THEN 1e0
+    ELSE least(1, power(sum(a * (v - av)), 2) / sum(power(v - av, 2))) END AS w FROM {p}a GROUP BY grp),
+  {p}z AS (SELECT *, CASE WHEN n > 3 AND w < 1 THEN {z} END AS z FROM {p}w),
+  {p}sw AS (SELECT grp, n, w, CASE WHEN w IS NULL THEN NULL WHEN w >= 1 THEN 1
+    WHEN n = 3 THEN 6 / pi() * (asin(sqrt(w)) - asin(sqrt(0.75))) WHEN z > 0 THEN {tail} / 2 ELSE 1 - {tail} / 2 END AS p FROM {p}z)"""
+
+
+_SHAPIRO_ROWS = " SELECT grp, n, round(w, 6) AS w, round(p, 6) AS p_value, CASE WHEN n < 3 THEN 'insufficient' ELSE 'ok' END AS status FROM sw"
+
+# The severity branch: Welch where the claims of both genders look normal, else U.
+_SEVERITY_ROWS = _u(False) + _welch_row("v") + _shapiro("v", "Gender", "n_")
+_BOTH_NORMAL = "(SELECT coalesce(bool_and(p > 0.05), false) FROM n_sw)"
+
+
+def _severity_by(normal):
+    return (
+        "SELECT * FROM (" + result("u", "'Mann-Whitney U test for claim severity'", "u", "CAST(NULL AS DOUBLE)",
+                                   chi2_tail("z * z", "1"), "2", "na + nb", "0") + f") WHERE NOT {normal} UNION ALL SELECT * FROM ("
+        + result("w", "'Welch''s t-test for claim severity'", "t", "df", t_tail("t", "df"), "2", "na + nb", "0")
+        + f") WHERE {normal}")
+
+
+def _severity_sql(normal, members=_SEVERITY_ROWS):
+    return over_policies(
+        members + ", m AS (SELECT avg(v) FILTER (Gender = 'Female') AS ma, avg(v) FILTER (Gender = 'Male') AS mb FROM v)"
+        + " SELECT q.*, round(ma, 4) AS group_a_severity, round(mb, 4) AS group_b_severity, round(mb - ma, 4) AS severity_difference,"
+          " round((mb - ma) / ma * 100, 6) AS severity_difference_pct, CAST(na AS BIGINT) AS group_a_size,"
+          f" CAST(nb AS BIGINT) AS group_b_size, {normal} AS use_parametric FROM ({_severity_by(normal)}) q, m, u")
+
+
+_SEVERITY = _severity_by(_BOTH_NORMAL)
 _PLAIN = "test_name, statistic, dof, p_value, alpha, reject_null, conclusion, n_groups, n_rows, n_dropped, status"
 _GENDER = [("frequency", f"SELECT {_PLAIN} FROM ({_CHI_AB}) f"), ("severity", _SEVERITY)]
-_SEVERITY_AB = over_policies(_SEVERITY_ROWS + ", m AS (SELECT avg(v) FILTER (Gender = 'Female') AS ma, avg(v) FILTER (Gender = 'Male') AS mb FROM v)"
-    + f" SELECT q.*, round(ma, 4) AS group_a_severity, round(mb, 4) AS group_b_severity, round(mb - ma, 4) AS severity_difference,"
-      " round((mb - ma) / ma * 100, 6) AS severity_difference_pct, CAST(na AS BIGINT) AS group_a_size,"
-      f" CAST(nb AS BIGINT) AS group_b_size, {_LARGE} AS use_parametric FROM ({_SEVERITY}) q, m, u")
+_SHARES = [f"((CAST('0x' || substr(md5(CAST({ID} AS VARCHAR)), {i}, 8) AS BIGINT) + 0.5e0) / 4294967296e0)" for i in (1, 9)]
+_HASHED = f"sqrt(-2 * ln({_SHARES[0]})) * cos(2 * pi() * {_SHARES[1]})"
+_NORMAL_ROWS = _SEVERITY_ROWS.replace(
+    _claim_values("Gender"), f"SELECT Gender, 50000 + 8000 * {_HASHED} AS v FROM policies WHERE TotalClaims > 0")
 
 SQL = {
     "average_rank": _rank_sql(False),
@@ -209,7 +295,11 @@ SQL = {
         "round(ma, 4) AS mean_a, round(mb, 4) AS mean_b, sa AS group_a_size, sb AS group_b_size")),
     "mann_whitney": _mann_whitney_sql(False),
     "mann_whitney_ties": _mann_whitney_sql(True),
-    "severity_ab": _SEVERITY_AB,
+    "shapiro_wilk": over_policies(f", v AS ({_claim_values('MainCrestaZone')})" + _shapiro("v", "MainCrestaZone") + _SHAPIRO_ROWS),
+    "shapiro_wilk_ties": over_policies(f", v AS ({_claim_values('Province', True)})" + _shapiro("v", "Province") + _SHAPIRO_ROWS),
+    "severity_ab": _severity_sql(_BOTH_NORMAL),
+    "severity_ab_normal": _severity_sql(_BOTH_NORMAL, _NORMAL_ROWS),
+    "severity_ab_welch": _severity_sql("true"),
     "margin_ab": over_policies(_welch(f"SELECT Gender, TotalPremium - TotalClaims AS v FROM policies {_PAIR}") + result(
         "w", "'Welch''s t-test for margin difference'", "t", "df", t_tail("t", "df"), "2", "na + nb", "sa + sb - na - nb",
         "sa AS group_a_size, sb AS group_b_size, round(ma, 4) AS group_a_mean_margin, round(mb, 4) AS group_b_mean_margin,"
@@ -222,7 +312,6 @@ SQL = {
         "province_risk", [("frequency", _chi_result("p_")), ("severity", _kruskal_result("p_"))])),
     "postal_risk": _postal_sql("ALL"),
     "postal_risk_top": _postal_sql("20"),
-    "postal_risk_all": _postal_sql("ALL"),
     "postal_margin_test": over_policies(_ZIPS.format(k="ALL") + _kruskal_members("zm", "m_") + _report(
         "postal_margin", [("margin", _kruskal_result("m_"))], _VALID)),
     "gender_risk": over_policies(_TABLE + _SEVERITY_ROWS + _report("gender_risk", _GENDER)),

@@ -8,17 +8,17 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskframe.functions import kernels
 from riskframe.functions.columns import CLAIMS, PREMIUM, margin, ratio
-from riskframe.operators.ordering import clean, rank_sums, small_side
+from riskframe.operators.normality import shapiro_wilk
+from riskframe.operators.ordering import clean, rank_sums
 from riskframe.operators.outcome import OUTCOME, outcome, percent_change
 from riskframe.schema import require_columns
 
-NORMALITY_LIMIT = 5000
 EXACT_SMALL = 8
-EXACT_LARGE = 10_000
+NORMAL_LEVEL = 0.05
+METHODS = ("auto", "welch", "mann_whitney")
 
 
 def ab_groups(df: DataFrame, col: str, a, b) -> DataFrame:
@@ -134,7 +134,7 @@ def mann_whitney(
 ) -> DataFrame:
     """Two-sided U test; the statistic is U of group A.
 
-    The p-value is exact for untied samples of at most 8 and 10,000 values, else from
+    The p-value is exact for untied samples of which one has at most 8 values, else from
     the normal limit with tie and continuity correction (``z``).
     """
     rows = ab_groups(df, group, a, b).select("grp", F.col(value).alias("v"))
@@ -150,11 +150,7 @@ def mann_whitney(
     u = F.col("rank_sum_a") - na * (na + 1) / 2
     spread = F.sqrt(na * nb / 12 * (n + 1 - F.try_divide(F.col("tie_term"), n * (n - 1))))
     u_max = F.greatest(u, na * nb - u)
-    exact = (
-        (F.least(na, nb) <= EXACT_SMALL)
-        & (F.greatest(na, nb) <= EXACT_LARGE)
-        & (F.col("tie_term") == 0)
-    )
+    exact = (F.least(na, nb) <= EXACT_SMALL) & (F.col("tie_term") == 0)
     tested = sums.crossJoin(F.broadcast(sizes)).select(
         F.col("n_a"),
         F.col("n_b"),
@@ -180,49 +176,6 @@ def mann_whitney(
     return outcome(tested, test_name, alpha, ["z", "exact"])
 
 
-SHAPIRO_SCHEMA = T.StructType([
-    T.StructField("grp", T.StringType()),
-    T.StructField("n", T.LongType()),
-    T.StructField("w", T.DoubleType()),
-    T.StructField("p_value", T.DoubleType()),
-])
-
-
-def shapiro_wilk(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Normality test per group: (grp, n, w, p_value, status).
-
-    The test is defined for 3 to 5000 values; only such groups reach Python, the others
-    are reported by their size.
-    """
-    w_and_p = kernels.shapiro_wilk_w
-
-    def test(pdf):
-        import pandas as pd
-
-        w, p = w_and_p(pdf["v"].tolist())
-        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]], "n": [len(pdf)], "w": [w], "p_value": [p]})
-
-    rows = df.select(F.col(group).cast("string").alias("grp"), clean(F.col(value)).alias("v")).where(
-        F.col("grp").isNotNull() & F.col("v").isNotNull()
-    )
-    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    fits = sizes.where(F.col("n").between(3, NORMALITY_LIMIT))
-    tested = (
-        rows.join(small_side(fits.select("grp")), "grp", "left_semi")
-        .groupBy("grp")
-        .applyInPandas(test, SHAPIRO_SCHEMA)
-        .withColumn("status", F.lit("ok"))
-    )
-    others = sizes.where(~F.col("n").between(3, NORMALITY_LIMIT)).select(
-        "grp",
-        "n",
-        F.lit(None).cast("double").alias("w"),
-        F.lit(None).cast("double").alias("p_value"),
-        F.when(F.col("n") < 3, "insufficient").otherwise("too_large").alias("status"),
-    )
-    return tested.unionByName(others)
-
-
 SEVERITY_COLUMNS = [
     "group_a_severity", "group_b_severity", "severity_difference", "severity_difference_pct",
     "group_a_size", "group_b_size", "use_parametric",
@@ -230,13 +183,15 @@ SEVERITY_COLUMNS = [
 
 
 def severity_ab(
-    df: DataFrame, group: str, a, b, claims: str = CLAIMS, alpha: float = 0.05
+    df: DataFrame, group: str, a, b, claims: str = CLAIMS, alpha: float = 0.05, method: str = "auto"
 ) -> DataFrame:
-    """Severity of two groups: Welch's t if both look normal or either is large, else U.
+    """Severity of two groups: Welch's t if the claims of both look normal, else U.
 
-    Normality is tested only if both groups have at most 5000 claims. Two one-row
-    results decide the branch on the driver.
+    ``method`` is ``auto`` (Shapiro-Wilk decides, whatever the sizes), ``welch`` or
+    ``mann_whitney``. Two one-row results decide the branch on the driver.
     """
+    if method not in METHODS:
+        raise ValueError(f"Unknown method: {method}")
     rows = (
         ab_groups(df, group, a, b)
         .where(F.col(claims) > 0)
@@ -251,10 +206,10 @@ def severity_ab(
         if not counts.n_a or not counts.n_b:
             parametric = None
         else:
-            parametric = True
-            if max(counts.n_a, counts.n_b) <= NORMALITY_LIMIT:
+            parametric = method == "welch"
+            if method == "auto":
                 normal = shapiro_wilk(rows, "v", "grp").collect()
-                parametric = all(r.p_value is not None and r.p_value > 0.05 for r in normal)
+                parametric = all(r.p_value is not None and r.p_value > NORMAL_LEVEL for r in normal)
         spark = df.sparkSession
         facts = spark.range(1).select(
             F.lit(counts.severity_a).cast("double").alias("group_a_severity"),

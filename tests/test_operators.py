@@ -2,13 +2,14 @@
 
 import math
 import random
+import statistics
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskframe.functions import kernels, value_band, vehicle_age
-from riskframe.operators import ab_tests, evaluation, features, group_tests, metrics, ordering, profile, quality
+from riskframe.operators import ab_tests, evaluation, features, group_tests, metrics, normality, ordering, profile, quality
 from riskframe.operators.zip_regression import zip_regression
 from riskframe.sources import policies
 
@@ -206,14 +207,50 @@ def test_tails_against_the_math_library_on_the_classpath(spark):
         assert kernels.t_two_sided(t, k) == pytest.approx(2 * dist.TDistribution(k).cumulativeProbability(-abs(t)), abs=1e-9)
 
 
-def test_shapiro_published_example():
-    w, p = kernels.shapiro_wilk_w([148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236])
-    assert (w, p) == (pytest.approx(0.78881, abs=1e-5), pytest.approx(0.006704, abs=1e-6))
-    w, p = kernels.shapiro_wilk_w([1.0, 2.0, 3.0])
-    assert (w, p) == (pytest.approx(1.0), pytest.approx(1.0))
-    normal = [random.Random(3).gauss(0, 1) for _ in range(1)] and [random.Random(i).gauss(0, 1) for i in range(300)]
-    assert kernels.shapiro_wilk_w(normal)[1] > 0.01
-    assert kernels.shapiro_wilk_w([v * v for v in normal])[1] < 1e-6
+def plain_w(values):
+    """W of a list, from the weights in order."""
+    x, n = sorted(values), len(values)
+    m = [statistics.NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    square, u = sum(v * v for v in m), n**-0.5
+    poly = lambda c: sum(a * u**i for i, a in enumerate(c))
+    if n == 3:
+        weights = [-(0.5**0.5), 0.0, 0.5**0.5]
+    else:
+        edge = [poly(c) + v / square**0.5 for c, v in ((kernels.WEIGHT_LAST, m[-1]), (kernels.WEIGHT_NEXT, m[-2]))]
+        k = 2 if n > 5 else 1
+        phi = (square - 2 * sum(v * v for v in m[-k:])) / (1 - 2 * sum(e * e for e in edge[:k]))
+        weights = [*(-e for e in edge[:k]), *(v / phi**0.5 for v in m[k : n - k]), *edge[:k][::-1]]
+    mean = sum(x) / n
+    return sum(a * v for a, v in zip(weights, x)) ** 2 / sum((v - mean) ** 2 for v in x)
+
+
+def normality_of(spark, groups, **how):
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
+    return {r.grp: r for r in normality.shapiro_wilk(spark.createDataFrame(rows, "g string, v double"), "v", "g", **how).collect()}
+
+
+def test_shapiro_published_example_and_plain_sums(spark):
+    normal = [random.Random(i).gauss(0, 1) for i in range(300)]
+    groups = {
+        "published": [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236], "three": [1, 2, 3], "four": [1, 2, 4, 9], "five": [1, 2, 4, 9, 9],
+        "six": [1, 1, 4, 9, 10, 12], "normal": normal, "squares": [v * v for v in normal], "few": [1, 2], "equal": [7] * 40,
+        "ties": [0] * 9000 + [1] * 2 + [5] * 5000, "many": [random.Random(i).gauss(0, 1) for i in range(9000)],
+    }
+    for found in (normality_of(spark, groups), normality_of(spark, groups, buckets=5)):
+        assert (found["published"].w, found["published"].p_value) == (pytest.approx(0.78881, abs=1e-5), pytest.approx(0.006704, abs=1e-6))
+        assert found["three"].p_value == pytest.approx(1.0) and found["normal"].p_value > 0.01 > 1e-6 > found["squares"].p_value
+        assert (found["few"].status, found["few"].w, found["equal"].p_value) == ("insufficient", None, 1.0)
+        assert found["many"].p_value > 0.001 and found["ties"].p_value < 1e-9
+        for g, values in groups.items():
+            assert found[g].n == len(values)
+            if g not in ("few", "equal"):
+                assert found[g].w == pytest.approx(plain_w(values), rel=1e-9), g
+
+
+def test_normal_scores(spark):
+    ps = [1e-300, 1e-20, 1e-9, 0.01, 0.075, 0.3, 0.5, 0.7, 0.93, 0.999999]
+    got = spark.createDataFrame([(p,) for p in ps], "p double").select(normality.normal_score(F.col("p"))).collect()
+    assert [r[0] for r in got] == pytest.approx([statistics.NormalDist().inv_cdf(p) for p in ps], rel=1e-12)
 
 
 def test_exact_u_tail_by_enumeration():
@@ -225,6 +262,15 @@ def test_exact_u_tail_by_enumeration():
             assert kernels.rank_count_tail(m, n, u) == pytest.approx(sum(x >= u for x in us) / len(us))
 
 
+def test_exact_u_tail_of_a_very_large_sample():
+    # one value against n: U is uniform on 0..n
+    assert kernels.rank_count_tail(1, 10**9, 10**9 - 4) == pytest.approx(5 / (10**9 + 1))
+    # close to the normal limit
+    n, m = 10**7, 8
+    u = int(m * n / 2 + 1.5 * math.sqrt(m * n * (m + n + 1) / 12))
+    assert kernels.rank_count_tail(m, n, u) == pytest.approx(kernels.normal_upper(1.5), rel=0.05)
+
+
 # --- tests ------------------------------------------------------------------------------
 
 
@@ -297,14 +343,11 @@ def test_severity_branches(spark):
     r = ab_tests.severity_ab(claims(spark, skewed), "g", "A", "B").first()
     assert not r.use_parametric and r.test_name.startswith("Mann-Whitney")
     large = [("A", 1.0, math.exp(rng.gauss(0, 1))) for _ in range(5001)] + skewed[200:]
-    assert ab_tests.severity_ab(claims(spark, large), "g", "A", "B").first().use_parametric
-
-
-def test_shapiro_reports_sizes_it_does_not_test(spark):
-    rows = [("few", 1.0), ("few", 2.0)] + [("many", float(i)) for i in range(5001)] + [("fits", float(i * i)) for i in range(9)]
-    found = {r.grp: r for r in ab_tests.shapiro_wilk(spark.createDataFrame(rows, "g string, v double"), "v", "g").collect()}
-    assert (found["few"].status, found["many"].status, found["fits"].status) == ("insufficient", "too_large", "ok")
-    assert found["many"].w is None and 0 < found["fits"].w < 1
+    assert not ab_tests.severity_ab(claims(spark, large), "g", "A", "B").first().use_parametric
+    assert ab_tests.severity_ab(claims(spark, large), "g", "A", "B", method="welch").first().test_name.startswith("Welch")
+    assert not ab_tests.severity_ab(claims(spark, normal), "g", "A", "B", method="mann_whitney").first().use_parametric
+    with pytest.raises(ValueError):
+        ab_tests.severity_ab(claims(spark, normal), "g", "A", "B", method="other")
 
 
 def test_pair_of_genders(spark):
