@@ -44,6 +44,12 @@ QUERIES = {
         staged(s, sf, ID, "Gender", "VehicleType", "PostalCode"), ["Gender", "VehicleType", "PostalCode"]),
     "impute": lambda s, sf: rounded(
         f.impute(staged(s, sf, ID, *FILLED))),
+    "impute_mean_constant": lambda s, sf: rounded(
+        f.impute(staged(s, sf, ID, *FILLED), "mean", "constant"), CustomValueEstimate=4, TotalPremium=4),
+    "impute_most_frequent": lambda s, sf: rounded(
+        f.impute(staged(s, sf, ID, "RegistrationYear", "CustomValueEstimate"), "most_frequent")),
+    "label_encode_rare": lambda s, sf: f.label_encode(
+        staged(s, sf, ID, "Gender", "VehicleType", "PostalCode"), ["Gender", "VehicleType", "PostalCode"], hot=40),
     "hash_split": lambda s, sf: f.hash_split(policies(s, sf).select(ID), [ID]),
     "stratified_split": lambda s, sf: f.stratified_split(
         staged(s, sf, ID, "TotalClaims").select(ID, has_claim().alias("HasClaim")), "HasClaim", [ID]),
@@ -126,6 +132,14 @@ SQL = {
   SELECT {ID}, round(coalesce(CustomValueEstimate, v), 6) AS CustomValueEstimate, round(coalesce(TotalPremium, t), 6)
   AS TotalPremium, coalesce(Gender, {_mode('Gender')}) AS Gender, coalesce(VehicleType, {_mode('VehicleType')})
   AS VehicleType FROM policies, q"""),
+    "impute_mean_constant": over_policies(f""", q AS (SELECT avg(CustomValueEstimate) AS v, avg(TotalPremium) AS t FROM policies)
+  SELECT {ID}, round(coalesce(CustomValueEstimate, v), 4) AS CustomValueEstimate, round(coalesce(TotalPremium, t), 4)
+  AS TotalPremium, coalesce(Gender, 'missing_value') AS Gender, coalesce(VehicleType, 'missing_value') AS VehicleType FROM policies, q"""),
+    "impute_most_frequent": over_policies(f"""
+  SELECT {ID}, CAST(RegistrationYear AS DOUBLE) AS RegistrationYear, round(coalesce(CustomValueEstimate, {_mode('CustomValueEstimate')}), 6) AS CustomValueEstimate
+  FROM policies"""),
+    "label_encode_rare": over_policies(
+        f"SELECT {ID}, " + ", ".join(_code(c) for c in ("Gender", "VehicleType", "PostalCode")) + " FROM policies p"),
     "hash_split": over_policies(
         f"SELECT {ID}, CAST(concat('0x', substr({_HASH}, 1, 8)) AS BIGINT) / 4294967296.0 < 0.2 AS is_test FROM policies"),
     "stratified_split": over_policies(f""", h AS (SELECT {ID}, CASE WHEN TotalClaims > 0 THEN 1 ELSE 0 END AS HasClaim,

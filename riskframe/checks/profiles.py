@@ -32,7 +32,7 @@ QUERIES = {
     "iqr_bounds": _bounds("CustomValueEstimate"),
     "iqr_bounds_zero": _bounds("TotalClaims"),
     "iqr_outliers": lambda s, sf: rounded(profile.iqr_outliers(
-        staged(s, sf, "UnderwrittenCoverID", "TotalPremium"), "TotalPremium", 1.0), TotalPremium=4),
+        staged(s, sf, "UnderwrittenCoverID", "TotalPremium"), "TotalPremium", 0.5), TotalPremium=4),
     "histogram": _claims_histogram(False),
     "histogram_log": _claims_histogram(True),
     "histogram_premium": lambda s, sf: rounded(
@@ -93,7 +93,7 @@ SQL = {
     "iqr_outliers": over_policies(""", q AS (SELECT quantile_cont(TotalPremium, 0.25) AS q1,
   quantile_cont(TotalPremium, 0.75) AS q3 FROM policies)
   SELECT UnderwrittenCoverID, round(TotalPremium, 4) AS TotalPremium FROM policies, q
-  WHERE TotalPremium < q1 - (q3 - q1) OR TotalPremium > q3 + (q3 - q1)"""),
+  WHERE TotalPremium < q1 - 0.5 * (q3 - q1) OR TotalPremium > q3 + 0.5 * (q3 - q1)"""),
     "histogram": _histogram("SELECT TotalClaims AS x FROM policies WHERE TotalClaims > 0"),
     "histogram_log": _histogram("SELECT ln(1 + TotalClaims) AS x FROM policies WHERE TotalClaims > 0"),
     "histogram_premium": _histogram("SELECT TotalPremium AS x FROM policies WHERE TotalPremium IS NOT NULL"),

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskframe.checks.common import over_policies, policies, rounded
 from riskframe.operators import quality
-from riskframe.schema import COLUMN_GROUPS
-from riskframe.sources import coerce_date, coerce_numeric, coercion_report, preview, table_diff, table_fingerprint
+from riskframe.schema import COLUMN_GROUPS, select_by_kind
+from riskframe.sources import (
+    coerce_date, coerce_numeric, coercion_report, load_policies, malformed_report, preview, read_snapshot, shared_folder,
+    snapshot_table, table_diff, table_fingerprint, write_result,
+)
 
 RAW_NUMBER = (
     "CASE WHEN Gender IS NULL THEN 'NaN' WHEN Gender <> 'Not specified' THEN PostalCode WHEN PolicyID % 5 = 0 THEN '12D'"
@@ -37,7 +42,69 @@ def diff(spark, sf, keys=None):
     return rounded(table_diff(old, new, keys), TotalPremium=4)
 
 
+#: Cells of a written file: quotes, separators and line breaks inside, dates and numbers as text.
+WRITTEN = {
+    "PolicyID": "CAST(PolicyID AS STRING)", "UnderwrittenCoverID": "CAST(UnderwrittenCoverID AS STRING)",
+    "TransactionMonth": "CASE WHEN PolicyID % 11 = 0 THEN 'soon' ELSE CAST(TransactionMonth AS STRING) END",
+    "VehicleType": "CASE WHEN PolicyID % 3 = 0 THEN Make || chr(10) || chr(34) || VehicleType || chr(34) || ', or ' || chr(10) || Gender ELSE VehicleType END",
+    "TotalPremium": "CASE WHEN PolicyID % 13 = 0 THEN 'n/a' ELSE CAST(PolicyID AS STRING) END",
+    "TotalClaims": "CASE WHEN TotalClaims > 0 THEN '1.5e3' ELSE '0' END",
+}
+
+
+def _folder(spark, name):
+    return f"{shared_folder(spark)}/riskframe/{name}-{uuid.uuid4().hex}"
+
+
+def _csv(spark, sf):
+    """The view's rows as a CSV file of four parts."""
+    path = _folder(spark, "csv")
+    cells = policies(spark, sf).select(*[F.expr(e).alias(c) for c, e in WRITTEN.items()])
+    cells.repartition(4).write.option("escape", '"').csv(path, header=True)
+    return path
+
+
+def loaded(spark, sf):
+    """Written, loaded, checked and coerced."""
+    return load_policies(spark, _csv(spark, sf)).select(
+        "PolicyID", "UnderwrittenCoverID", F.col("TransactionMonth").cast("date").alias("TransactionMonth"), "VehicleType",
+        "TotalPremium", "TotalClaims")
+
+
+def snapshots(spark, sf):
+    """Two versions of a table, each checked against its manifest, and what both hold."""
+    root = _folder(spark, "snapshots")
+    old = policies(spark, sf).select(CLEANED)
+    snapshot_table(old, root, "1")
+    snapshot_table(old.where("TotalPremium >= 0"), root, "2")
+    for version in ("1", "2"):
+        read_snapshot(spark, root, version, check=True)
+    return rounded(read_snapshot(spark, root).withColumn("version", F.col("version").cast("int")), TotalPremium=4)
+
+
+def written(spark, sf):
+    """A result written by province and read back."""
+    path = _folder(spark, "result")
+    write_result(policies(spark, sf).select("UnderwrittenCoverID", "Province", "Gender"), path, partition_by=["Province"])
+    return spark.read.parquet(path).select("UnderwrittenCoverID", "Province", "Gender")
+
+
+def catalog_columns(spark, sf):
+    """Type family, catalog group and number of values of each column."""
+    df = policies(spark, sf)
+    group = {c: g for g, names in COLUMN_GROUPS.items() for c in names}
+    kinds = {c: k for k in ("numeric", "categorical", "datetime") for c in select_by_kind(df, k)}
+    return df.agg(*[F.count(c).alias(c) for c in kinds]).select(
+        F.stack(F.lit(len(kinds)), *[x for c, k in kinds.items() for x in (F.lit(c), F.lit(k), F.lit(group.get(c, "")), F.col(c))])
+        .alias("column_name", "kind", "column_group", "n_values"))
+
+
 QUERIES = {
+    "load_policies": loaded,
+    "malformed_report": lambda s, sf: malformed_report(s, _csv(s, sf)),
+    "snapshots": snapshots,
+    "write_result": written,
+    "catalog_columns": catalog_columns,
     "quality_report": lambda s, sf: quality.quality_report(policies(s, sf)),
     "missing_report": lambda s, sf: rounded(quality.missing_report(policies(s, sf))),
     "column_profile": lambda s, sf: quality.column_profile(policies(s, sf)),
@@ -78,7 +145,19 @@ _TYPES = [
 _ABSENT = ", ".join(c for names in COLUMN_GROUPS.values() for c in names if c not in dict(_TYPES))
 _KINDS = {"string": "categorical", "date": "datetime"}
 
+_GROUPS = {c: g for g, names in COLUMN_GROUPS.items() for c in names}
+
 SQL = {
+    "load_policies": over_policies(f""", c AS (SELECT {", ".join(f"{e} AS {c}" for c, e in WRITTEN.items())} FROM policies)
+  SELECT PolicyID, UnderwrittenCoverID, try_cast(TransactionMonth AS DATE) AS TransactionMonth, VehicleType,
+  try_cast(TotalPremium AS DOUBLE) AS TotalPremium, CAST(TotalClaims AS DOUBLE) AS TotalClaims FROM c"""),
+    "malformed_report": over_policies(" SELECT count(*) AS n_records, CAST(0 AS BIGINT) AS n_malformed FROM policies"),
+    "snapshots": over_policies(", s AS (SELECT UnderwrittenCoverID, PolicyID, Gender, round(TotalPremium, 4) AS TotalPremium FROM policies)"
+                               " SELECT *, 1 AS version FROM s UNION ALL SELECT *, 2 FROM s WHERE TotalPremium >= 0"),
+    "write_result": over_policies(" SELECT UnderwrittenCoverID, Province, Gender FROM policies"),
+    "catalog_columns": over_policies(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{_KINDS.get(t, 'numeric')}' AS kind, '{_GROUPS.get(c, '')}' AS column_group,"
+        f" count({c}) AS n_values FROM policies" for c, t in _TYPES)),
     "column_profile": over_policies(" UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS dtype, '{_KINDS.get(t, 'numeric')}' AS kind,"
         f" (SELECT count(*) FROM policies) AS n_rows, {len(_TYPES)} AS n_columns" for i, (c, t) in enumerate(_TYPES))),

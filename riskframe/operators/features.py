@@ -17,7 +17,7 @@ from riskframe.functions.columns import (
     value_band,
     vehicle_age,
 )
-from riskframe.operators.ordering import clean, exact_quantiles, small_side
+from riskframe.operators.ordering import BROADCAST_ROWS, clean, exact_quantiles, small_side
 from riskframe.sources.tables import stage
 
 IDS = ["PolicyID", "UnderwrittenCoverID"]
@@ -206,17 +206,41 @@ def label_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def label_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace columns by the rank of their text; a missing value is the text ``nan``."""
-    codes = label_codes(df, cols)
+def label_encode(df: DataFrame, cols: Sequence[str], hot: int = BROADCAST_ROWS) -> DataFrame:
+    """Replace columns by the rank of their text; a missing value is the text ``nan``.
+
+    The ``hot`` most frequent texts of all columns together are looked up where the rows
+    are. Only if there are more, the rows are numbered and written once, and their other
+    cells, of any number of columns, are looked up in one join and come back in another;
+    none of those texts is frequent, so no key is crowded.
+    """
+    codes = stage(label_codes(df, cols))
+    if codes.count() <= hot:
+        return _looked_up(df, cols, codes)
+    counts = _text_cells(df, cols, "nan").groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranked = stage(codes.join(counts, ["measure", "value"]))
+    first = ranked.orderBy(F.col("n").desc(), "measure", "value").limit(hot).select("measure", "value", "code")
+    # The codes found go next to the texts, which the other cells still need.
+    texts = {f"_t{i}": F.coalesce(F.col(c).cast("string"), F.lit("nan")) for i, c in enumerate(cols)}
+    numbered = df.withColumns({**texts, "_row": F.monotonically_increasing_id()})
+    looked = stage(_looked_up(numbered, cols, first))
+    cells = F.stack(F.lit(len(cols)), *[x for i, c in enumerate(cols) for x in (F.lit(c), F.col(f"_t{i}"), F.col(c))])
+    open_cells = looked.select("_row", cells.alias("measure", "value", "found")).where(F.col("found").isNull())
+    found = open_cells.join(codes, ["measure", "value"]).groupBy("_row").agg(
+        *[F.max(F.when(F.col("measure") == c, F.col("code"))).alias(f"_c{i}") for i, c in enumerate(cols)]
+    )
+    whole = looked.join(found, "_row", "left")
+    return whole.withColumns({c: F.coalesce(F.col(c), F.col(f"_c{i}")) for i, c in enumerate(cols)}).select(df.columns)
+
+
+def _looked_up(df: DataFrame, cols: Sequence[str], codes: DataFrame) -> DataFrame:
+    """Codes in place of texts, from a small table; a text that it lacks becomes NULL."""
     out = df
     for i, c in enumerate(cols):
-        lookup = codes.where(F.col("measure") == c).select(
-            F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_c{i}")
-        )
+        lookup = codes.where(F.col("measure") == c).select(F.col("value").alias(f"_v{i}"), F.col("code").alias(f"_code{i}"))
         text = F.coalesce(F.col(c).cast("string"), F.lit("nan"))
-        out = out.join(small_side(lookup), text == F.col(f"_v{i}"), "left").withColumn(c, F.col(f"_c{i}"))
-        out = out.drop(f"_v{i}", f"_c{i}")
+        out = out.join(F.broadcast(lookup), text == F.col(f"_v{i}"), "left").withColumn(c, F.col(f"_code{i}"))
+        out = out.drop(f"_v{i}", f"_code{i}")
     return out
 
 
@@ -298,7 +322,8 @@ def hash_split(
     return df.withColumn(out, head / F.lit(float(2**32)) < F.lit(float(test)))
 
 
-HASH_PREFIX = 3
+#: Hex digits by which the cut of a class is narrowed at a time, and rows ordered at the end, about.
+HASH_STEP, HASH_LENGTH, ORDERED_ROWS = 3, 32, 100_000
 
 
 def stratified_split(
@@ -308,35 +333,41 @@ def stratified_split(
     test: float = 0.2,
     seed: int = 42,
     out: str = "is_test",
+    ordered_rows: int = ORDERED_ROWS,
 ) -> DataFrame:
     """Mark round(test * n) rows of each class as test rows, those with the smallest hashes.
 
     Rows with the same key stay together, so a class may get more rows by the copies of
-    its last key. The hash prefix counts show where each class is cut; only the rows of
-    that one prefix (1 in 4096) are ordered.
+    its last key. Counts per hash prefix show the prefix at which a class is cut; only its
+    rows are counted by a longer one, until at most ``ordered_rows`` of a class (or one
+    hash) are left to be ordered.
     """
     hashed = key_hash(keys, seed)
     rows = df.where(F.col(label).isNotNull()).select(F.col(label).alias("_label"), hashed.alias("_hash"))
-    rows = rows.withColumn("_prefix", F.substring("_hash", 1, HASH_PREFIX))
     group = Window.partitionBy("_label")
-    running = group.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sizes = rows.groupBy("_label", "_prefix").agg(F.count(F.lit(1)).alias("_size"))
-    placed = sizes.select(
-        "_label",
-        "_prefix",
-        (F.sum("_size").over(running) - F.col("_size")).alias("_start"),
-        F.sum("_size").over(running).alias("_stop"),
-        F.floor(F.sum("_size").over(group) * F.lit(float(test)) + 0.5).alias("_want"),
-    )
-    cut = placed.where((F.col("_want") > F.col("_start")) & (F.col("_want") <= F.col("_stop")))
+    cut = None
+    for length in range(HASH_STEP, HASH_LENGTH + 1, HASH_STEP):
+        left = rows if cut is None else rows.join(cut, ["_label"]).where(F.col("_hash").startswith(F.col("_prefix")))
+        known = [] if cut is None else [F.max("_start").alias("_base"), F.max("_want").alias("_want")]
+        sizes = left.groupBy("_label", F.substring("_hash", 1, length).alias("_at")).agg(F.count(F.lit(1)).alias("_size"), *known)
+        if cut is None:
+            sizes = sizes.withColumn("_base", F.lit(0).cast("long"))
+            sizes = sizes.withColumn("_want", F.floor(F.sum("_size").over(group) * F.lit(float(test)) + 0.5))
+        running = group.orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        stop = F.col("_base") + F.sum("_size").over(running)
+        placed = sizes.select("_label", F.col("_at").alias("_prefix"), (stop - F.col("_size")).alias("_start"), stop.alias("_stop"), "_want")
+        # One row per class.
+        cut = small_side(placed.where((F.col("_want") > F.col("_start")) & (F.col("_want") <= F.col("_stop"))))
+        if cut.where(F.col("_stop") - F.col("_start") > ordered_rows).isEmpty():
+            break
+        cut = cut.drop("_stop")
     copies = (
-        rows.join(small_side(cut.drop("_stop")), ["_label", "_prefix"])
-        .groupBy("_label", "_prefix", "_start", "_want", "_hash")
+        rows.join(cut.select("_label", "_prefix", "_start", "_want"), "_label")
+        .where(F.col("_hash").startswith(F.col("_prefix")))
+        .groupBy("_label", "_start", "_want", "_hash")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    upto = Window.partitionBy("_label", "_prefix").orderBy("_hash").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    upto = Window.partitionBy("_label").orderBy("_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # The last test hash of each class: one row per class.
     last = (
         copies.withColumn("_upto", F.col("_start") + F.sum("_n").over(upto))

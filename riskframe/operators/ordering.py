@@ -21,6 +21,10 @@ MAX_BUCKETS = 10_000
 BROADCAST_ROWS = 100_000
 SKETCH_GROUPS = 512
 SKETCH_POINTS = 128
+#: Rows that one bucket may hold before it is cut again, parts it is cut into, and rounds of that.
+BUCKET_ROWS = 2_000_000
+BUCKET_PARTS = 64
+REFINEMENTS = 4
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -51,8 +55,8 @@ def _doubles(values: Iterable[float]) -> Column:
     return F.expr(f"array({', '.join(f'{v!r}D' for v in values)})")
 
 
-def cut_points(df: DataFrame, columns: list[str], buckets: int) -> list[list[float]]:
-    """Increasing cut points per column, from approximate quantiles; one job for all columns.
+def cut_points(df: DataFrame, columns: list[str], buckets: int) -> tuple[list[list[float]], int]:
+    """Increasing cut points per column, from approximate quantiles, and the rows of the table; one job for all columns.
 
     The sketches of the input partitions are merged in SKETCH_GROUPS groups and their
     quantiles pooled, so neither the driver nor one task meets a sketch per partition.
@@ -60,24 +64,62 @@ def cut_points(df: DataFrame, columns: list[str], buckets: int) -> list[list[flo
     local = _doubles((i + 0.5) / SKETCH_POINTS for i in range(SKETCH_POINTS))
     grid = _doubles(i / buckets for i in range(1, buckets))
     sketches = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
-        *[F.percentile_approx(c, local, 4 * SKETCH_POINTS).alias(c) for c in columns]
+        F.count(F.lit(1)).alias("_rows"), *[F.percentile_approx(c, local, 4 * SKETCH_POINTS).alias(c) for c in columns]
     )
-    pooled = sketches.select(F.explode(F.arrays_zip(*columns)).alias("_p")).select("_p.*")
-    cuts = pooled.agg(*[F.percentile_approx(c, grid, 2 * MAX_BUCKETS).alias(c) for c in columns]).first()
-    return [sorted(set(cuts[c] or [])) or [0.0] for c in columns]
+    pooled = sketches.select("_rows", F.posexplode(F.arrays_zip(*columns)).alias("_at", "_p")).select(
+        F.when(F.col("_at") == 0, F.col("_rows")).alias("_rows"), "_p.*"
+    )
+    cuts = pooled.agg(
+        F.sum("_rows").alias("_rows"), *[F.percentile_approx(c, grid, 2 * MAX_BUCKETS).alias(c) for c in columns]
+    ).first()
+    return [sorted(set(cuts[c] or [])) or [0.0] for c in columns], cuts["_rows"] or 0
+
+
+def _refined(cells: DataFrame, rows: int, cuts: int, bucket_rows: int) -> DataFrame:
+    """Cells with buckets of more than ``bucket_rows`` rows cut again, until none is left or copies of one value fill it.
+
+    A sketch may put a bucket's ends off by a share of all rows, so on large tables a
+    bucket can outgrow a task. Sizes are counted, and only oversized buckets are sketched
+    again, inside themselves; a table whose buckets cannot be oversized is not read again.
+    """
+    keys = ["measure", "bucket"]
+    cells = cells.withColumn("bucket", F.col("bucket").cast("long"))
+    grid = _doubles(i / BUCKET_PARTS for i in range(1, BUCKET_PARTS))
+    local = _doubles((i + 0.5) / BUCKET_PARTS for i in range(BUCKET_PARTS))
+    share = 1.0 / (cuts + 1) + 2.0 / (4 * SKETCH_POINTS)
+    for _ in range(REFINEMENTS):
+        if rows * share <= bucket_rows:
+            return cells
+        sizes = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_low"), F.max("value").alias("_high"))
+        large = small_side(sizes.where((F.col("_n") > bucket_rows) & (F.col("_low") < F.col("_high"))).select(keys))
+        if large.isEmpty():
+            return cells
+        sketches = cells.join(large, keys, "left_semi").groupBy(*keys, (F.spark_partition_id() % SKETCH_GROUPS).alias("_group")).agg(
+            F.percentile_approx("value", local, 4 * SKETCH_POINTS).alias("_sketch")
+        )
+        pooled = sketches.select(*keys, F.explode("_sketch").alias("_x")).groupBy(*keys)
+        again = small_side(pooled.agg(F.array_distinct(F.percentile_approx("_x", grid, 2 * MAX_BUCKETS)).alias("_cuts")))
+        part = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("value"))), F.lit(0))
+        part = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(part)
+        cells = cells.join(again, keys, "left").withColumn("bucket", F.col("bucket") * BUCKET_PARTS + part).drop("_cuts")
+        share *= 2.0 / BUCKET_PARTS
+    return cells
 
 
 def bucketed(
-    df: DataFrame, values: Sequence[str], by: Sequence[str] = (), buckets: int | None = None
+    df: DataFrame, values: Sequence[str], by: Sequence[str] = (), buckets: int | None = None, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """Long form (by..., measure, value, bucket) of the non-NULL values; NULL keys dropped."""
+    """Long form (by..., measure, value, bucket) of the non-NULL values; NULL keys dropped.
+
+    Buckets grow with the values and hold about ``bucket_rows`` rows at most, or one value.
+    """
     require_columns(df, *values, *by)
     inputs = [f"_v{i}" for i in range(len(values))]
     outputs = [f"_b{i}" for i in range(len(values))]
     narrow = df.select(*by, *[clean(F.col(v)).alias(n) for v, n in zip(values, inputs)])
     for key in by:
         narrow = narrow.where(F.col(key).isNotNull())
-    cuts = cut_points(narrow, inputs, buckets or default_buckets(df))
+    cuts, rows = cut_points(narrow, inputs, buckets or default_buckets(df))
     inf = float("inf")
     placed = Bucketizer(
         inputCols=inputs,
@@ -90,7 +132,7 @@ def bucketed(
         *[x for v, i, o in zip(values, inputs, outputs)
           for x in (F.lit(v), F.col(i), F.col(o).cast("int"))],
     ).alias("measure", "value", "bucket")
-    return placed.select(*by, cells).where(F.col("value").isNotNull())
+    return _refined(placed.select(*by, cells).where(F.col("value").isNotNull()), rows, min(map(len, cuts)), bucket_rows)
 
 
 def bucket_positions(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -172,14 +214,13 @@ def exact_quantiles(
 
 
 def value_ranks(
-    df: DataFrame, value: str, by: Sequence[str] = (), buckets: int | None = None
+    df: DataFrame, value: str, by: Sequence[str] = (), buckets: int | None = None, bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """Mid-rank of each distinct value among all rows: (by..., value, copies, ties, rank, n).
 
     With ``by``, one row per value and key; ``ties`` counts the value over all keys.
     """
-    cells = bucketed(df, [value], by, buckets)
-    # One row per bucket, at most MAX_BUCKETS of them.
+    cells = bucketed(df, [value], by, buckets, bucket_rows)
     starts = small_side(bucket_positions(cells.select("measure", "bucket")).select("bucket", "start", "n"))
     counted = cells.groupBy("bucket", "value", *by).agg(F.count(F.lit(1)).alias("copies"))
     upto = Window.partitionBy("bucket").orderBy("value").rangeBetween(

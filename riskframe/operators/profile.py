@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe import schema as catalog
 from riskframe.functions.columns import ratio
-from riskframe.operators.metrics import correlation
 from riskframe.operators.ordering import clean, exact_quantiles, small_side
 
 STATS_SCHEMA = T.StructType(
@@ -198,27 +201,57 @@ def box_stats(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
     )
 
 
+#: A variance below this share of the mean square is rounding.
+FLAT = 1e-12
+
+
+def _gram(centres: list[float]):
+    """Sums over the rows of a task, per pair of columns: one row of k * k numbers each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(centres)
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            cells = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            x = np.column_stack(cells) - np.array(centres)
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype(float)
+            total += [there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x]
+        sums = [pa.array([t.ravel().tolist()], pa.list_(pa.float64())) for t in total]
+        yield pa.RecordBatch.from_arrays(sums, ["n", "s", "q", "p"])
+
+    return run
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of columns over the rows that have both: (x, y, r, n).
 
-    Each row is opened into its pairs of cells and aggregated per pair, at most
-    len(cols)^2 groups, in one scan; a pair without variance gives NULL.
+    Each task sums presence, values, squares and products of its rows as matrices, so one
+    row of len(cols)^2 numbers leaves a task, whatever its rows. Values are taken from
+    the column means (a first pass) to keep digits; a pair without variance gives NULL.
     """
     chosen = catalog.select_by_kind(df, "numeric") if cols is None else list(cols)
-    cells = df.select(F.array(*[clean(F.col(c)) for c in chosen]).alias("cells"))
-    pairs = (
-        cells.select("cells", F.posexplode("cells").alias("i", "a"))
-        .select("i", "a", F.posexplode(F.expr(f"slice(cells, i + 1, {len(chosen)})")).alias("d", "b"))
-        .groupBy("i", (F.col("i") + F.col("d")).alias("j"))
-        .agg(correlation("a", "b").alias("r"), F.regr_count("b", "a").alias("n"))
-    )
-    both = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
-        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j")))
+    k = len(chosen)
+    rows = df.select(*[clean(F.col(c)).alias(f"c{i}") for i, c in enumerate(chosen)])
+    means = rows.agg(*[F.avg(c).alias(c) for c in rows.columns]).first()
+    sums = rows.mapInArrow(_gram([m or 0.0 for m in means]), "n array<double>, s array<double>, q array<double>, p array<double>")
+    cells = sums.select(F.posexplode(F.arrays_zip("n", "s", "q", "p")).alias("at", "c")).groupBy("at").agg(
+        *[F.sum(f"c.{c}").alias(c) for c in "nsqp"]
     )
+    cells = cells.select(F.floor(F.col("at") / k).cast("int").alias("i"), (F.col("at") % k).alias("j"), *"nsqp")
+    # The sums of the other column over the pair's rows stand in the mirrored cell.
+    mirrored = cells.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("s").alias("t"), F.col("q").alias("u"))
+    n = F.col("n")
+    vx, vy = n * F.col("q") - F.col("s") * F.col("s"), n * F.col("u") - F.col("t") * F.col("t")
+    spread = (vx > FLAT * n * F.col("q")) & (vy > FLAT * n * F.col("u"))
+    r = (n * F.col("p") - F.col("s") * F.col("t")) / F.sqrt(vx) / F.sqrt(vy)
+    r = F.when(spread, F.greatest(F.lit(-1e0), F.least(F.lit(1e0), r)))
     names = F.array(*[F.lit(c) for c in chosen])
-    return pairs.select("r", "n", F.explode(both).alias("p")).select(
-        F.element_at(names, F.col("p.i") + 1).alias("x"),
-        F.element_at(names, F.col("p.j") + 1).alias("y"),
-        "r",
-        "n",
+    # At most len(cols)^2 rows.
+    return cells.join(F.broadcast(mirrored), ["i", "j"]).select(
+        F.element_at(names, F.col("i") + 1).alias("x"), F.element_at(names, F.col("j") + 1).alias("y"),
+        r.alias("r"), n.cast("bigint").alias("n"),
     )
+
+
+# Workers then need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,8 +10,11 @@ from riskframe.sources.readers import (
     preview,
     read_policies,
 )
+from riskframe.sources.records import malformed_report, read_csv_records
 from riskframe.sources.tables import (
+    check_snapshot,
     read_snapshot,
+    shared_folder,
     snapshot_table,
     stage,
     table_diff,
@@ -20,7 +23,7 @@ from riskframe.sources.tables import (
 )
 
 __all__ = [
-    "POLICIES_SQL", "coerce_date", "coerce_numeric", "coercion_report", "load_policies",
-    "policies", "preview", "read_policies", "read_snapshot", "snapshot_table", "stage",
-    "synthetic_policies", "table_diff", "table_fingerprint", "write_result",
+    "POLICIES_SQL", "check_snapshot", "coerce_date", "coerce_numeric", "coercion_report", "load_policies",
+    "malformed_report", "policies", "preview", "read_csv_records", "read_policies", "read_snapshot",
+    "shared_folder", "snapshot_table", "stage", "synthetic_policies", "table_diff", "table_fingerprint", "write_result",
 ]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe import schema as catalog
+from riskframe.sources.records import CORRUPT, read_csv_records
 
 log = logging.getLogger(__name__)
 
@@ -30,12 +31,16 @@ DATE_FORMATS = ["M/d/yyyy h:mm:ss a", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyyMMdd"
 def read_policies(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
     """Lazy scan. CSV cells stay text, with the missing markers read as NULL.
 
-    Quoted cells may hold separators, doubled quotes and, with ``multi_line``, line breaks.
-    A large file is split among tasks only with ``multi_line=False``.
+    Quoted cells may hold separators, doubled quotes and, with ``multi_line``, line breaks;
+    one large file is split among tasks either way (see ``records``). Lines or records
+    with too few cells have NULLs, further cells are dropped; ``malformed_report`` counts them.
     """
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
-    raw = spark.read.csv(path, header=True, enforceSchema=False, quote='"', escape='"', multiLine=multi_line)
+    if multi_line:
+        raw = read_csv_records(spark, path).drop(CORRUPT)
+    else:
+        raw = spark.read.csv(path, header=True, enforceSchema=False, quote='"', escape='"')
     return raw.select(
         [F.when(~F.col(f"`{c}`").isin(MISSING_MARKERS), F.col(f"`{c}`")).alias(c)
          for c in raw.columns]

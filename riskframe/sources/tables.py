@@ -20,18 +20,56 @@ def write_result(
     writer.parquet(path)
 
 
+MANIFESTS = "_manifests"
+
+
+def _file_prints(df: DataFrame) -> DataFrame:
+    """(file, n_rows, content_hash) of each file of a table, whatever the order of its rows."""
+    cells = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(20,0)")
+    marked = df.select(F.col("_metadata.file_name").alias("file"), cells.alias("cells"))
+    return marked.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("cells").cast("string").alias("content_hash")
+    )
+
+
 def snapshot_table(df: DataFrame, root: str, version: str) -> str:
-    """Write an immutable version of a table; an existing version is an error."""
+    """Write an immutable version of a table and its manifest; an existing version is an error.
+
+    The manifest lists every file of the version with its rows and a fingerprint of its
+    content, taken from the files as they were written.
+    """
     path = f"{root}/version={version}"
     df.write.mode("errorifexists").parquet(path)
+    _file_prints(df.sparkSession.read.parquet(path)).write.mode("errorifexists").parquet(f"{root}/{MANIFESTS}/{version}")
     return path
 
 
-def read_snapshot(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    """One version (only its folder is scanned), or all of them with a ``version`` column."""
-    if version is not None:
-        return spark.read.option("basePath", root).parquet(f"{root}/version={version}").drop("version")
-    return spark.read.parquet(root)
+def check_snapshot(spark: SparkSession, root: str, version: str) -> DataFrame:
+    """(file, status) of each file of a version: ok, changed, missing or added since it was written."""
+    listed = spark.read.parquet(f"{root}/{MANIFESTS}/{version}").select(
+        "file", F.col("n_rows").alias("_rows"), F.col("content_hash").alias("_hash")
+    )
+    found = _file_prints(spark.read.option("basePath", root).parquet(f"{root}/version={version}").drop("version"))
+    same = (F.col("n_rows") == F.col("_rows")) & F.col("content_hash").eqNullSafe(F.col("_hash"))
+    # A file without rows is in the manifest of neither side.
+    status = F.when(F.col("n_rows").isNull(), "missing").when(F.col("_rows").isNull(), "added").when(same, "ok").otherwise("changed")
+    return listed.join(found, "file", "full").select("file", status.alias("status"))
+
+
+def read_snapshot(spark: SparkSession, root: str, version: str | None = None, check: bool = False) -> DataFrame:
+    """One version (only its folder is scanned), or all of them with a ``version`` column.
+
+    With ``check`` a version is first compared with its manifest; ValueError if a file differs.
+    """
+    if version is None:
+        if check:
+            raise ValueError("Only a named version can be checked")
+        return spark.read.parquet(root)
+    if check:
+        wrong = check_snapshot(spark, root, version).where("status <> 'ok'").limit(10).collect()
+        if wrong:
+            raise ValueError(f"Version {version} differs from its manifest: {[tuple(r) for r in wrong]}")
+    return spark.read.option("basePath", root).parquet(f"{root}/version={version}").drop("version")
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -229,6 +229,31 @@ def normality_of(spark, groups, **how):
     return {r.grp: r for r in normality.shapiro_wilk(spark.createDataFrame(rows, "g string, v double"), "v", "g", **how).collect()}
 
 
+def test_large_buckets_are_cut_again(spark):
+    n, bound = 2_000_000, 5_000
+    df = spark.range(n).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 7.0).alias("v"))
+    df = df.unionByName(spark.range(50_000).select(F.lit(3.5).alias("v")))
+    cells = ordering.bucketed(df, ["v"], buckets=64, bucket_rows=bound).groupBy("bucket").agg(
+        F.count_distinct("value").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).orderBy("bucket").collect()
+    assert max(c.n for c in cells) <= 2 * bound and len(cells) > 300
+    assert all(a.high < b.low for a, b in zip(cells, cells[1:]))
+    ranks = ordering.value_ranks(df.limit(20_000), "v", buckets=4, bucket_rows=500)
+    plain = df.limit(20_000).groupBy("v").agg(F.count("*").alias("c")).orderBy("v").collect()
+    at, expected = 0, {}
+    for r in plain:
+        expected[r.v] = at + (r.c + 1) / 2
+        at += r.c
+    assert {r.value: r["rank"] for r in ranks.collect()} == expected
+
+
+def test_stratified_cut_is_refined(spark):
+    df = spark.range(30_000).select("id", (F.col("id") % 3).alias("label"))
+    plain = features.stratified_split(df, "label", ["id"])
+    fine = features.stratified_split(df, "label", ["id"], ordered_rows=1)
+    assert plain.exceptAll(fine).isEmpty()
+    assert {r.label: r.n for r in fine.where("is_test").groupBy("label").agg(F.count("*").alias("n")).collect()} == {0: 2000, 1: 2000, 2: 2000}
+
+
 def test_shapiro_published_example_and_plain_sums(spark):
     normal = [random.Random(i).gauss(0, 1) for i in range(300)]
     groups = {

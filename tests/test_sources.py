@@ -1,10 +1,12 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from riskframe import schema
 from riskframe.sources import (
-    coerce_date, coerce_numeric, coercion_report, load_policies, policies, preview, read_policies,
-    read_snapshot, snapshot_table, stage, synthetic_policies, table_diff, table_fingerprint, write_result,
+    check_snapshot, coerce_date, coerce_numeric, coercion_report, load_policies, malformed_report, policies, preview,
+    read_csv_records, read_policies, read_snapshot, snapshot_table, stage, synthetic_policies, table_diff, table_fingerprint, write_result,
 )
 
 
@@ -137,6 +139,53 @@ def test_quoted_cells_stay_whole(spark, csv):
     assert [(r.Make, r.TotalPremium, r.TotalClaims) for r in rows] == [('A "x", B', 5.0, 0.0), ("two\nlines", 6.0, 1.0)]
 
 
+def records_file(path, rng, rows, end):
+    import csv as plain
+
+    with open(path, "w", newline="") as f:
+        w = plain.writer(f, lineterminator=end)
+        w.writerow(["a", "b", "c, d"])
+        for i in range(rows):
+            n = rng.choice([0, 1, 5, 30, 4000 if i % 97 == 0 else 3])
+            cell = "".join(rng.choice(["x", "\n", ",", '"', "yy ", "é"]) for _ in range(n)).strip() or "q"
+            row = (str(i), cell, rng.choice(["p", "s t"]))
+            w.writerow(row)
+            yield row
+
+
+def test_one_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    rng = random.Random(1)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k, v in zip(before, ("1500", "1")):
+        spark.conf.set(k, v)
+    try:
+        expected = [r for name, end in (("x", "\r\n"), ("y", "\n")) for r in records_file(f"{tmp_path}/{name}.csv", rng, 400, end)]
+        df = read_csv_records(spark, str(tmp_path))
+        assert df.columns == ["a", "b", "c, d", "_malformed"] and spark.read.text(str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 10
+        assert sorted(tuple(r)[:3] for r in df.collect()) == sorted(expected)
+        with open(tmp_path / "y.csv", "a") as f:
+            f.write("1,2\n\n7,8,9,10\n")
+        assert tuple(malformed_report(spark, str(tmp_path)).head()) == (802, 2)
+        (tmp_path / "z.csv").write_text("a,c,b\n1,2,3\n")
+        with pytest.raises(Exception, match="headers"):
+            read_csv_records(spark, str(tmp_path)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_snapshot_that_was_changed_is_found(spark, tmp_path):
+    root = str(tmp_path / "snap")
+    snapshot_table(spark.range(10).repartition(2), root, "1")
+    assert read_snapshot(spark, root, "1", check=True).count() == 10
+    spark.range(3).write.mode("append").parquet(f"{root}/version=1")
+    assert sorted({r.status for r in check_snapshot(spark, root, "1").collect()}) == ["added", "ok"]
+    with pytest.raises(ValueError, match="manifest"):
+        read_snapshot(spark, root, "1", check=True)
+    (p for p in (tmp_path / "snap" / "version=1").glob("part-*.parquet") if p.stat().st_size).__next__().unlink()
+    assert {"missing", "added"} & {r.status for r in check_snapshot(spark, root, "1").collect()}
+
+
 def test_only_decimal_finite_numbers(spark):
     cells = {"12D": None, "5f": None, "0x1p3": None, "inf": None, "1e999": None, " +1.5e2 ": 150.0, ".5": 0.5, "7.": 7.0, "-3": -3.0, "": None}
     df = spark.createDataFrame([(c, c) for c in cells], "raw string, v string")
