@@ -61,15 +61,53 @@ def _linear_importance(s, sf):
     return rounded(models.feature_importance(train, models.fit_linear(train, test).model))
 
 
+def _claim_split(s, sf):
+    """Train and test rows for whether a row has a claim."""
+    table = policies(s, sf).withColumn("HasClaim", has_claim())
+    table = stage(hash_split(models.numeric_vectors(table, TREES, "HasClaim", [ID]), [ID]))
+    return table.where(~F.col("is_test")), table.where("is_test")
+
+
+def _fits(fit, split, nums=None, **options):
+    """Metrics of a fit: rows per side as they must be, errors and shares within their bounds."""
+    def run(s, sf):
+        fitted = fit(*(split(s, sf, nums) if nums else split(s, sf)), **options)
+        cols = fitted.metrics.columns
+        good = (F.col("r2") <= 1) & (F.col("rmse") >= F.col("mae")) if "r2" in cols else F.col("f1").between(0, 1) & F.col("roc_auc").between(0, 1)
+        return fitted.metrics.select("model", "side", "n", good.alias("in_bounds"))
+
+    return run
+
+
+def _by_nodes(fit, split, nums=None, **options):
+    """Whether the prediction of each test row equals the one found by walking the node table."""
+    def run(s, sf):
+        train, test = split(s, sf, nums) if nums else split(s, sf)
+        model = fit(train, test, **options).model
+        found = models.predict_by_nodes(model, model.transform(test), [ID, "prediction"])
+        near = F.abs(F.col("recomputed") - F.col("prediction")) <= 1e-9 * F.greatest(F.lit(1e0), F.abs("prediction"))
+        return found.select(ID, near.alias("equal"))
+
+    return run
+
+
 def _tree_attribution(s, sf):
+    """Whether the Shapley values of each test row and the base add up to its prediction."""
     train, test = _split(s, sf, TREES)
-    model = models.fit_boosted(train, test, n=10, depth=4).model
-    return attribution.attribution(model, test)
+    model = models.fit_boosted(train, test).model
+    found = attribution.tree_shap_values(model, model.transform(test), [ID, "prediction"])
+    total = F.aggregate("shap", F.col("base"), lambda a, b: a + b)
+    return found.select(ID, (F.abs(total - F.col("prediction")) <= 1e-6 * F.greatest(F.lit(1e0), F.abs("prediction"))).alias("adds_up"))
 
 
 def _task(run, **options):
-    return lambda s, sf: run(
-        staged(s, sf, *TASK_INPUTS), AS_OF_YEAR, n=20, forest_depth=5, boosted_depth=4, **options).comparison
+    """Comparison of a task's models: rows per side, errors within their bounds, one best."""
+    def compared(s, sf):
+        rows = run(staged(s, sf, *TASK_INPUTS), AS_OF_YEAR, **options).comparison
+        good = F.col("r2") <= 1 if "r2" in rows.columns else F.col("f1").between(0, 1)
+        return rows.select("model", "side", (F.col("n") > 0).alias("has_rows"), good.alias("in_bounds"))
+
+    return compared
 
 
 QUERIES = {
@@ -80,8 +118,15 @@ QUERIES = {
     "zip_regression_three": lambda s, sf: rounded(_zips(s, sf, None), RMSE=3, Intercept=3),
     "zip_regression_summary": lambda s, sf: rounded(zip_regression.zip_regression_summary(_zips(s, sf, LINEAR))),
     "fit_linear": lambda s, sf: rounded(models.fit_linear(*_split(s, sf, LINEAR)).metrics, **SMALL_ERRORS),
-    "fit_forest": lambda s, sf: models.fit_forest(*_split(s, sf, TREES), depth=5).metrics,
-    "fit_boosted": lambda s, sf: models.fit_boosted(*_split(s, sf, TREES), n=20, depth=4).metrics,
+    "fit_forest": _fits(models.fit_forest, _split, TREES),
+    "fit_forest_depth_5": _fits(models.fit_forest, _split, TREES, depth=5),
+    "fit_boosted": _fits(models.fit_boosted, _split, TREES),
+    "fit_forest_classes": _fits(models.fit_forest, _claim_split, task=models.CLASSIFICATION),
+    "fit_boosted_classes": _fits(models.fit_boosted, _claim_split, task=models.CLASSIFICATION),
+    "forest_by_nodes": _by_nodes(models.fit_forest, _split, TREES),
+    "boosted_by_nodes": _by_nodes(models.fit_boosted, _split, TREES),
+    "forest_classes_by_nodes": _by_nodes(models.fit_forest, _claim_split, task=models.CLASSIFICATION),
+    "boosted_classes_by_nodes": _by_nodes(models.fit_boosted, _claim_split, task=models.CLASSIFICATION),
     "feature_importance": _linear_importance,
     "attribution_linear": _linear_attribution,
     "attribution_tree": _tree_attribution,
@@ -141,6 +186,18 @@ _ZIP3 = f""", z AS (SELECT PostalCode, count(*) AS size FROM policies WHERE Post
         WHERE x1 IS NOT NULL AND x2 IS NOT NULL AND x3 IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2),
   b AS (SELECT *, {_cramer(0)} AS b1, {_cramer(1)} AS b2, {_cramer(2)} AS b3 FROM s)"""
 
+
+def _tree_rows(target):
+    """Member t of a WITH clause: the rows of a tree fit and their side."""
+    return f""", t AS (SELECT {ID}, CAST('0x' || substr(md5(concat(CAST({ID} AS VARCHAR), '|42')), 1, 8) AS BIGINT) / 4294967296.0 < 0.2 AS is_test
+    FROM policies WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*TREES, *([target] if target else [])])})"""
+
+
+def _fit_rows(model, target):
+    return over_policies(_tree_rows(target) + f""" SELECT '{model}' AS model, CASE WHEN is_test THEN 'test' ELSE 'train' END AS side,
+  count(*) AS n, true AS in_bounds FROM t GROUP BY is_test""")
+
+
 SQL = {
     "regression_metrics": over_policies("""SELECT count(*) AS n, round(sqrt(avg(power(y - p, 2))), 3) AS rmse,
   round(1 - avg(power(y - p, 2)) / var_pop(y), 6) AS r2, round(avg(abs(y - p)), 3) AS mae
@@ -171,6 +228,18 @@ SQL = {
   SELECT 'Linear Regression' AS model, CASE WHEN is_test THEN 'test' ELSE 'train' END AS side, count(*) AS n,
   round(sqrt(avg(power(y - p, 2))), 3) AS rmse, round(1 - avg(power(y - p, 2)) / var_pop(y), 6) AS r2,
   round(avg(abs(y - p)), 3) AS mae FROM e GROUP BY is_test"""),
+    **{name: _fit_rows(model, target) for name, model, target in [
+        ("fit_forest", "Random Forest Regressor", "TotalClaims"), ("fit_forest_depth_5", "Random Forest Regressor", "TotalClaims"),
+        ("fit_boosted", "Boosted Trees Regressor", "TotalClaims"), ("fit_forest_classes", "Random Forest Classifier", None),
+        ("fit_boosted_classes", "Boosted Trees Classifier", None)]},
+    **{name: over_policies(_tree_rows(target) + f" SELECT {ID}, true AS {mark} FROM t WHERE is_test") for name, target, mark in [
+        ("forest_by_nodes", "TotalClaims", "equal"), ("boosted_by_nodes", "TotalClaims", "equal"), ("forest_classes_by_nodes", None, "equal"),
+        ("boosted_classes_by_nodes", None, "equal"), ("attribution_tree", "TotalClaims", "adds_up")]},
+    **{name: " UNION ALL ".join(f"SELECT '{m}' AS model, '{side}' AS side, true AS has_rows, true AS in_bounds" for m in kinds for side in ("train", "test"))
+       for name, kinds in [
+           ("severity_pipeline", ["Linear Regression", "Random Forest Regressor", "Boosted Trees Regressor"]),
+           ("premium_pipeline", ["Linear Regression", "Random Forest Regressor", "Boosted Trees Regressor"]),
+           ("claim_probability_pipeline", ["Random Forest Classifier", "Boosted Trees Classifier"])]},
     "feature_importance": over_policies(_FIT + """ SELECT 'TotalPremium' AS feature, round(abs(b1), 6) AS importance FROM b
   UNION ALL SELECT 'SumInsured', round(abs(b2), 6) FROM b"""),
     "attribution_linear": over_policies(_FIT + """ SELECT 'TotalPremium' AS feature,

@@ -16,9 +16,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.models import feature_names
+from riskframe.operators.models import feature_names, node_table
 
-TABLE_FEATURES = 6
+#: Bytes of trees in one broadcast value; a larger model is sent in several.
+GROUP_BYTES = 64 << 20
 
 
 def linear_attribution(model: Model, df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -44,119 +45,110 @@ def linear_attribution(model: Model, df: DataFrame, names: Sequence[str] | None
     )
 
 
-class Leaf:
-    """A leaf with, per feature on its path, the tests it puts and the share of rows passing."""
-
-    def __init__(self, value: float, path: list[tuple]):
-        self.value = value
-        self.features: list[int] = []
-        self.tests: list[list[tuple]] = []
-        self.shares: list[float] = []
-        for feature, test, share in path:
-            if feature not in self.features:
-                self.features.append(feature)
-                self.tests.append([])
-                self.shares.append(1.0)
-            at = self.features.index(feature)
-            self.tests[at].append(test)
-            self.shares[at] *= share
-        self.table = None
-
-    def expected(self) -> float:
-        return self.value * math.prod(self.shares)
-
-    def passing(self, x: np.ndarray) -> np.ndarray:
-        """Bit k of each row's code: the row passes every test of the k-th feature."""
-        codes = np.zeros(len(x), dtype=np.int64)
-        for k, (feature, tests) in enumerate(zip(self.features, self.tests)):
-            column, good = x[:, feature], np.ones(len(x), dtype=bool)
-            for kind, bound in tests:
-                if kind == "le":
-                    good &= column <= bound
-                elif kind == "gt":
-                    good &= column > bound
-                elif kind == "in":
-                    good &= np.isin(column, bound)
-                else:
-                    good &= ~np.isin(column, bound)
-            codes |= good.astype(np.int64) << k
-        return codes
-
-    def shapley(self, codes: np.ndarray) -> np.ndarray:
-        """Contribution of each feature for each code: a sum over the subsets of the others.
-
-        Subsets of one size share a weight, so only the coefficients of the product of
-        (share + passes * t) over the other features are needed.
-        """
-        m = len(self.features)
-        passes = ((codes[:, None] >> np.arange(m)) & 1).astype(float)
-        out = np.empty((len(codes), m))
-        weights = [math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)]
-        for j in range(m):
-            poly = np.zeros((len(codes), m))
-            poly[:, 0] = 1.0
-            for k in range(m):
-                if k != j:
-                    grown = poly * self.shares[k]
-                    grown[:, 1:] += poly[:, :-1] * passes[:, [k]]
-                    poly = grown
-            out[:, j] = self.value * (passes[:, j] - self.shares[j]) * (poly @ weights)
-        return out
-
-    def add_to(self, phi: np.ndarray, x: np.ndarray) -> None:
-        if not self.features:
-            return
-        codes = self.passing(x)
-        if len(self.features) <= TABLE_FEATURES:
-            if self.table is None:
-                self.table = self.shapley(np.arange(1 << len(self.features)))
-            phi[:, self.features] += self.table[codes]
-        else:
-            unique, back = np.unique(codes, return_inverse=True)
-            phi[:, self.features] += self.shapley(unique)[back]
-
-
-def tree_leaves(model: Model) -> list[Leaf]:
-    """All leaves of a forest or a boosted model, scaled so that their sum is the output.
+#: What is known of each tree, as arrays in the order of its nodes.
+PARTS = ["left", "right", "feature", "threshold", "categories", "value", "rows"]
+
+
+def _size(trees: dict[str, list]) -> int:
+    """Bytes of a group of trees, about."""
+    return sum(a.nbytes for part in PARTS if part != "categories" for a in trees[part])
+
+
+def trees_of(model: Model) -> list[dict[str, list]]:
+    """The model's trees, scaled so that the sum of their outputs is the model's, in groups of at most GROUP_BYTES.
 
     The output is the mean prediction (forest), the mean probability of class 1 (forest
     classifier), or the weighted sum of the trees (boosted; for a classifier the margin).
     """
     boosted = "GBT" in type(model).__name__
     classifier = type(model).__name__ == "RandomForestClassificationModel"
-    weights = list(model.treeWeights)
-    leaves = []
-
-    def walk(node, path, scale):
-        cover = node.impurityStats().count()
-        if node.subtreeDepth() == 0:
-            if classifier:
-                stats = list(node.impurityStats().stats())
-                value = stats[1] / sum(stats) if len(stats) > 1 and sum(stats) else 0.0
-            else:
-                value = node.prediction()
-            leaves.append(Leaf(scale * value, path))
-            return
-        split = node.split()
-        feature = split.featureIndex()
-        if split.getClass().getSimpleName() == "ContinuousSplit":
-            left, right = ("le", split.threshold()), ("gt", split.threshold())
-        else:
-            cats = list(split.leftCategories())
-            left, right = ("in", cats), ("out", cats)
-        for child, test in ((node.leftChild(), left), (node.rightChild(), right)):
-            share = child.impurityStats().count() / cover
-            walk(child, [*path, (feature, test, share)], scale)
-
-    for tree, weight in zip(model.trees, weights):
-        walk(tree._call_java("rootNode"), [], weight if boosted else 1.0 / len(weights))
-    return leaves
+    table = node_table(model).toPandas().sort_values(["tree", "node"])
+    groups = [{part: [] for part in PARTS}]
+    count = table["tree"].nunique()
+    for _, part in table.groupby("tree"):
+        if groups[-1]["left"] and _size(groups[-1]) > GROUP_BYTES:
+            groups.append({part: [] for part in PARTS})
+        trees = groups[-1]
+        value = part["prediction"].to_numpy(float)
+        if classifier:
+            stats = np.stack(part["stats"].to_numpy())
+            value = stats[:, 1] / np.maximum(stats.sum(axis=1), 1e-300) if stats.shape[1] > 1 else np.zeros(len(part))
+        trees["left"].append(part["left"].to_numpy(int))
+        trees["right"].append(part["right"].to_numpy(int))
+        trees["feature"].append(part["feature"].fillna(-1).to_numpy(int))
+        trees["threshold"].append(part["threshold"].to_numpy(float))
+        trees["categories"].append([None if c is None else list(c) for c in part["categories"]])
+        trees["value"].append(value * (float(part["weight"].iloc[0]) if boosted else 1.0 / count))
+        trees["rows"].append(part["rows"].to_numpy(float))
+    return groups
+
+
+def expected(trees: dict[str, list]) -> float:
+    """Sum over the trees of the mean output, by the rows that reached each leaf."""
+    return sum(
+        float(np.sum((value * rows)[left < 0]) / rows[0]) for left, value, rows in zip(trees["left"], trees["value"], trees["rows"])
+    )
+
+
+def _weights(m: int) -> list[float]:
+    return [math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)]
+
+
+def add_shapley(trees: dict[str, list], x: np.ndarray, phi: np.ndarray) -> None:
+    """Add each row's Shapley values to ``phi``; one walk through each tree, whose paths share their beginnings.
+
+    On the way down a path's features have a share z of the rows (product over the path)
+    and for each row whether it passes (o). The products of (z + o t) over the features
+    are kept along the path; a leaf divides one feature out and weighs the coefficients,
+    which count the subsets of the others by size.
+    """
+    n = len(x)
+    for left, right, feature, threshold, categories, value, rows in zip(
+        *(trees[part] for part in PARTS)
+    ):
+        # (node, features, shares, passing, polynomial of them)
+        stack = [(0, [], [], [], [np.ones(n)])]
+        while stack:
+            node, features, shares, passing, poly = stack.pop()
+            if left[node] < 0:
+                m = len(features)
+                weights = _weights(m)
+                for j in range(m):
+                    z, o = shares[j], passing[j]
+                    # Divided by (z + t) from the top, where the row passes, else by z.
+                    total, last = np.zeros(n), np.zeros(n)
+                    for s in range(m - 1, -1, -1):
+                        last = poly[s + 1] - z * last
+                        total += weights[s] * np.where(o, last, poly[s] / z if z > 0 else 0.0)
+                    phi[:, features[j]] += value[node] * (o - z) * total
+                continue
+            f = feature[node]
+            column = x[:, f]
+            good = column <= threshold[node] if categories[node] is None else np.isin(column, categories[node])
+            for child, passes in ((left[node], good), (right[node], ~good)):
+                share = rows[child] / rows[node]
+                if f in features:
+                    at = features.index(f)
+                    z, o = shares[at] * share, passing[at] & passes
+                    rest = [(shares[k], passing[k]) for k in range(len(features)) if k != at]
+                    names = [k for k in features if k != f]
+                    grown = [np.ones(n)]
+                    for r in rest:
+                        grown = _times(grown, *r)
+                else:
+                    z, o, rest, names, grown = share, passes, list(zip(shares, passing)), features, poly
+                stack.append((child, [*names, f], [*(r[0] for r in rest), z], [*(r[1] for r in rest), o], _times(grown, z, o)))
+
+
+def _times(poly: list[np.ndarray], z: float, o: np.ndarray) -> list[np.ndarray]:
+    """A polynomial times (z + o t)."""
+    return [z * poly[0], *(z * b + o * a for a, b in zip(poly, poly[1:])), o * poly[-1]]
 
 
 def tree_shap_values(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Kept columns, ``shap`` (array of one value per feature) and ``base`` per row."""
-    leaves = tree_leaves(model)
-    base = float(sum(leaf.expected() for leaf in leaves))
+    groups = [df.sparkSession.sparkContext.broadcast(t) for t in trees_of(model)]
+    base = sum(expected(g.value) for g in groups)
     keep = list(keep)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,8 +156,8 @@ def tree_shap_values(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> D
             if len(pdf):
                 x = np.stack(pdf["x"].to_numpy())
                 phi = np.zeros(x.shape)
-                for leaf in leaves:
-                    leaf.add_to(phi, x)
+                for g in groups:
+                    add_shapley(g.value, x, phi)
                 yield pdf[keep].assign(shap=list(phi), base=base)
 
     rows = df.select(*keep, vector_to_array("features").alias("x"))
@@ -177,15 +169,15 @@ def tree_shap_values(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> D
 def tree_attribution(model: Model, df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """(feature, mean_abs_shap) of a tree model; each batch is summed before it leaves Python."""
     names = list(names) if names else feature_names(df)
-    leaves = tree_leaves(model)
+    groups = [df.sparkSession.sparkContext.broadcast(t) for t in trees_of(model)]
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
                 x = np.stack(pdf["x"].to_numpy())
                 phi = np.zeros(x.shape)
-                for leaf in leaves:
-                    leaf.add_to(phi, x)
+                for g in groups:
+                    add_shapley(g.value, x, phi)
                 total = np.abs(phi).sum(axis=0)
                 yield pd.DataFrame({"feature": names, "total": total, "n": len(x)})
 

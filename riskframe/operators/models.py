@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -11,13 +12,16 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.evaluation import classification_metrics, regression_metrics, roc_auc
-from riskframe.operators.ordering import clean
-from riskframe.sources.tables import stage
+from riskframe.operators.ordering import clean, small_side
+from riskframe.sources.tables import shared_folder, stage
 
+#: Rows keep the number of their node, so deep trees are not walked again for each level; the
+#: lineage of these numbers is cut every few rounds in the session's checkpoint folder.
+TREE_OPTIONS = {"cacheNodeIds": True, "checkpointInterval": 5, "maxMemoryInMB": 512}
 MISSING_CATEGORY = "\uffff"  # sorts after every category
 
 REGRESSION = "regression"
@@ -148,7 +152,7 @@ def fit_forest(
     max_bins: int = 32,
 ) -> Fitted:
     """Random forest. ``None`` is the deepest tree Spark allows, 30 levels."""
-    options = dict(numTrees=n, maxDepth=30 if depth is None else depth, seed=seed, maxBins=max_bins)
+    options = dict(numTrees=n, maxDepth=30 if depth is None else depth, seed=seed, maxBins=max_bins, **TREE_OPTIONS)
     if task == REGRESSION:
         estimator = RandomForestRegressor(featureSubsetStrategy="all", **options)
     else:
@@ -168,12 +172,82 @@ def fit_boosted(
     max_bins: int = 32,
 ) -> Fitted:
     """Gradient-boosted trees; classification is binary."""
-    options = dict(maxIter=n, maxDepth=depth, stepSize=lr, seed=seed, maxBins=max_bins)
+    options = dict(maxIter=n, maxDepth=depth, stepSize=lr, seed=seed, maxBins=max_bins, **TREE_OPTIONS)
     estimator = GBTRegressor(**options) if task == REGRESSION else GBTClassifier(**options)
     kind = "Regressor" if task == REGRESSION else "Classifier"
     return _evaluate(f"Boosted Trees {kind}", task, estimator.fit(train), train, test)
 
 
+NODES = [
+    "tree", "weight", "node", "left", "right", "feature", "threshold", "categories", "prediction", "stats", "rows",
+]
+
+
+def node_table(model: Model) -> DataFrame:
+    """All nodes of a forest or boosted model as a table, written once to the shared folder.
+
+    Columns: tree, weight (of the tree), node (0 is the root), left, right (-1 in leaves), feature,
+    threshold (left if not above; NULL for category splits), categories (that go left),
+    prediction, stats (class counts of a classifier's node), rows (that reached the node).
+    """
+    spark = SparkSession.active()
+    path = f"{shared_folder(spark)}/riskframe/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    trees = spark.read.parquet(f"{path}/treesMetadata")
+    weights = trees.toDF("tree", "_about", "weight").select("tree", "weight")
+    n = F.col("nodeData")
+    split, values = n["split"], n["split"]["leftCategoriesOrThreshold"]
+    continuous = split["numCategories"] == -1
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), n["id"].alias("node"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
+        split["featureIndex"].alias("feature"), F.when(continuous, F.get(values, F.lit(0))).alias("threshold"),
+        F.when(~continuous & (split["numCategories"] > 0), values).alias("categories"), n["prediction"].alias("prediction"),
+        n["impurityStats"].alias("stats"), n["rawCount"].alias("rows"),
+    )
+    # One row per tree.
+    return nodes.join(F.broadcast(weights), "tree").select(NODES)
+
+
+def depth_of(model: Model) -> int:
+    """Levels of the deepest tree."""
+    return max(t.depth for t in model.trees)
+
+
+def predict_by_nodes(model: Model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Kept columns and ``recomputed``: the prediction found by walking the node table, one join per level.
+
+    Independent of the model object's own code: each row starts at the root of each tree
+    and moves to a child until all are in leaves. The node table is broadcast after its
+    size is known; rows are never shuffled but for the sum over the trees.
+    """
+    keep = list(keep)
+    nodes = stage(node_table(model)).toDF(*[f"_{c}" for c in NODES])
+    steps = small_side(nodes.where("_left >= 0").select("_tree", "_node", "_left", "_right", "_feature", "_threshold", "_categories"))
+    roots = [r[0] for r in nodes.select("_tree").distinct().collect()]
+    x = F.element_at("_x", F.col("_feature") + 1)
+    goes_left = F.when(F.col("_categories").isNull(), x <= F.col("_threshold")).otherwise(F.array_contains("_categories", x))
+    state = df.select(*keep, F.monotonically_increasing_id().alias("_row"), vector_to_array("features").alias("_x"))
+    state = state.withColumn("_tree", F.explode(F.array(*map(F.lit, roots)))).withColumn("_node", F.lit(0))
+    for _ in range(depth_of(model)):
+        moved = state.join(steps, ["_tree", "_node"], "left")
+        child = F.when(goes_left, F.col("_left")).otherwise(F.col("_right"))
+        state = moved.select(*keep, "_row", "_x", "_tree", F.when(F.col("_left").isNull(), F.col("_node")).otherwise(child).alias("_node"))
+    leaves = small_side(nodes.where("_left < 0").select("_tree", "_node", "_weight", "_prediction", "_stats"))
+    ended = state.join(leaves, ["_tree", "_node"])
+    name = type(model).__name__
+    if name == "RandomForestClassificationModel":
+        share = F.transform("_stats", lambda s: s / F.aggregate("_stats", F.lit(0e0), lambda a, b: a + b))
+        sums = [F.sum(share[1]).alias("_one"), F.sum(share[0]).alias("_zero")]
+        found = F.when(F.col("_one") > F.col("_zero"), 1e0).otherwise(0e0)
+    else:
+        sums = [F.sum(F.col("_prediction") * F.col("_weight")).alias("_total"), F.sum("_weight").alias("_weights")]
+        if name == "GBTClassificationModel":
+            found = F.when(F.col("_total") > 0, 1e0).otherwise(0e0)
+        else:
+            found = F.col("_total") if "GBT" in name else F.col("_total") / F.col("_weights")
+    return ended.groupBy(*keep, "_row").agg(*sums).select(*keep, found.alias("recomputed"))
+
+
 def compare_models(results: Sequence[Fitted]) -> DataFrame:
     """Metrics of all models, with ``best`` marking the best test metric (R2 or F1)."""
     metric = SELECTION_METRIC[results[0].task]

@@ -125,16 +125,28 @@ def test_tree_attribution_equals_brute_force_and_adds_up(planted):
         assert [mean[f] for f in models.feature_names(test)] == pytest.approx(direct.tolist())
 
 
-def test_long_paths_take_the_other_route(planted, monkeypatch):
+def test_trees_sent_in_several_values_give_the_same(planted, monkeypatch):
     train, test = sides(planted, "y")
-    model = models.fit_forest(train, test, n=2, depth=4).model
+    model = models.fit_forest(train, test, n=3, depth=6).model
     one = attribution.tree_attribution(model, test).collect()
-    monkeypatch.setattr(attribution, "TABLE_FEATURES", 0)
+    monkeypatch.setattr(attribution, "GROUP_BYTES", 1)
+    assert len(attribution.trees_of(model)) == 3
     two = attribution.tree_attribution(model, test).collect()
     assert [r.feature for r in one] == [r.feature for r in two]
     assert [r.mean_abs_shap for r in one] == pytest.approx([r.mean_abs_shap for r in two])
 
 
+def test_node_table_predicts_as_the_model(planted):
+    for target, task in (("y", models.REGRESSION), ("flag", models.CLASSIFICATION)):
+        train, test = sides(planted, target)
+        for fitted in (models.fit_forest(train, test, task, n=4, depth=7), models.fit_boosted(train, test, task, n=3, depth=3)):
+            found = models.predict_by_nodes(fitted.model, fitted.model.transform(test), ["PolicyID", "prediction"]).collect()
+            assert len(found) == test.count()
+            assert [r.recomputed for r in found] == pytest.approx([r.prediction for r in found])
+            nodes = models.node_table(fitted.model)
+            assert nodes.count() == fitted.model.totalNumNodes and nodes.where("left < 0 and feature >= 0").isEmpty()
+
+
 def test_linear_attribution_adds_up(planted):
     train, test = sides(planted, "y")
     model = models.fit_linear(train, test).model
