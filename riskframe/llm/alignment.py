@@ -24,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import small_batches, stage, text_of
-from riskframe.llm.fragments import Fragment, TwoTokenizers, group_text
+from riskframe.llm.fragments import Fragment, TwoTokenizers
 
 CHUNK_BYTES = 1 << 16
 #: Bytes and rows of the texts of one block of links.
-BLOCK_BYTES, BLOCK_ROWS = 24 << 20, 50_000
+BLOCK_BYTES, BLOCK_ROWS = 8 << 20, 20_000
 #: Fragments composed at once.
 FAN = 16
 
@@ -63,10 +63,10 @@ class _Block:
     def __init__(self, limit: int):
         self.limit, self.rows, self.codes, self.times, self.size = limit, [], [], [], 0
 
-    def add(self, row: dict, found: tuple[bytes, bytes, int], size: int) -> None:
+    def add(self, row: dict, found: tuple[bytes, np.ndarray, int], size: int) -> None:
         groups, links, n_a = found
-        codes, times = np.unique(np.frombuffer(links, "<u8"), return_counts=True)
-        n_links, n_groups = len(links) // 8, groups.count(b"|")
+        codes, times = np.unique(links, return_counts=True)
+        n_links, n_groups = len(links), groups.count(b"|")
         row |= {"n_a": n_a, "n_b": n_links + n_groups - n_a, "n_groups": n_groups, "n_links": n_links}
         self.rows.append(row)
         self.codes.append(codes)
@@ -248,8 +248,8 @@ def align(
     NULL and empty texts, and those that the tokens do not spell byte by byte, have zeros
     and an empty digest, and their links are not counted. NULL ids and repeated rows are
     documents of their own; an empty table gives no rows; further columns are ignored. A
-    text is cut at any byte; a stretch without a space between two characters is encoded
-    as a whole by one task.
+    text is cut at any byte; a stretch without a space between two other characters is
+    encoded as a whole by one task.
     """
     parts, seams = aligned_parts(docs, byte_level, pieces, chunk_bytes, block_bytes)
     lists = parts.where("kind = 'pairs'").select("block", F.posexplode(F.arrays_zip("a", "b", "n")).alias("number", "p"))
@@ -293,10 +293,10 @@ def _seam_links(paths: tuple[str, str]):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                links, _ = two.aligned(r["pre_a"], r["pre_b"])
+                text, links, n_a = two.closed(np.array(r["pre_a"], np.int64), np.array(r["pre_b"], np.int64))
                 rows.append({
-                    "uid": r["uid"], "chunk": r["chunk"], "groups": group_text(r["pre_a"], r["pre_b"]), "n_a": len(r["pre_a"]),
-                    "n_b": len(r["pre_b"]), "a": [x for x, _ in links], "b": [y for _, y in links],
+                    "uid": r["uid"], "chunk": r["chunk"], "groups": text, "n_a": n_a, "n_b": len(r["pre_b"]),
+                    "a": (links >> np.uint64(32)).astype(np.int32), "b": (links & np.uint64(0xFFFFFFFF)).astype(np.int32),
                 })
             if rows:
                 yield _batch(rows, "uid string, chunk int, groups binary, n_a long, n_b long, a array<int>, b array<int>")

@@ -19,18 +19,41 @@ import numpy as np
 
 from riskframe.llm.tokens import BYTE_LETTERS
 
-#: Distinct stretches of text in each of the two generations that a worker remembers, and the longest of them.
-MEMORY, LONGEST = 250_000, 64
-
-# White space in the sense of the byte-level vocabularies' pattern, ends and starts of UTF-8 sequences; controls count too.
+# White space in the sense of the byte-level vocabularies' pattern, as ends and starts of UTF-8 sequences; controls count too.
 _SPACES = [rb"[\x00-\x20\x7f]", rb"\xc2[\x85\xa0]", rb"\xe1\x9a\x80", rb"\xe1\xa0\x8e", rb"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]", rb"\xe2\x81\x9f", rb"\xe3\x80\x80"]
-_AFTER = b"|".join(b"(?<=%s)" % s for s in _SPACES)
-_BEFORE = b"|".join(_SPACES)
-#: A stretch from one space between two marks or letters up to the next such space.
-STRETCH = re.compile(rb" ?[^ ]*(?:(?:%s) [^ ]*| (?=%s|\Z)[^ ]*)*" % (_AFTER, _BEFORE))
-_CUT = re.compile(rb"(?<=[^\x00-\x20\x7f])(?<!\xc2[\x85\xa0])(?<!\xe1\x9a\x80)(?<!\xe1\xa0\x8e)(?<!\xe2\x80[\x80-\x8a\xa8\xa9\xaf])(?<!\xe2\x81\x9f)(?<!\xe3\x80\x80) (?!%s|\Z)" % _BEFORE)
-_LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
-_LETTERS_MARKS = re.compile(rb"( %s)([!-&(-/:-@\[-`{-~]*)" % _LETTERS)
+#: A space between two other characters.
+_CUT = re.compile(b"(?<=.)" + b"".join(b"(?<!%s)" % s for s in _SPACES) + b" (?!%s|\\Z)" % b"|".join(_SPACES), re.DOTALL)
+
+# Texts of ASCII and Latin-1 letters, and the pieces into which the byte-level side's pattern splits them (fixed values).
+_PLAIN = re.compile(rb"(?:[\x00-\x1b\x20-\x7f]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*")
+_PIECES = re.compile(
+    rb"'s|'t|'re|'ve|'m|'ll|'d| ?(?:[A-Za-z]|\xc3[\x80-\xbf])+| ?[0-9]+| ?[^\sA-Za-z0-9\xc3]+|\s+(?!\S)|\s+"
+)
+#: Distinct pieces in each of the two generations that a worker remembers, and the longest of them.
+MEMORY, LONGEST = 150_000, 64
+
+
+class ByteLevelIds(dict):
+    """Ids of the byte-level side's pieces, remembered, as little-endian 64-bit integers."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize, self.older = model.tokenize, {}
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            found = [t.id for t in self.tokenize(piece.decode("latin-1").translate(BYTE_LETTERS))]
+            ids = struct.pack(f"<{len(found)}q", *found)
+        if len(piece) <= LONGEST:
+            self[piece] = ids
+        return ids
+
+    def encode(self, text: bytes) -> np.ndarray:
+        if len(self) > MEMORY:
+            self.older = dict(self)
+            self.clear()
+        return np.frombuffer(b"".join(map(self.__getitem__, _PIECES.findall(text))), "<i8")
 
 
 @dataclass
@@ -57,21 +80,16 @@ class Fragment:
         return Fragment(True, self.pre_a, self.pre_b, other.suf_a, other.suf_b), meet if meet[0] else None
 
 
-def group_text(a: list[int], b: list[int]) -> bytes:
-    return f"{','.join(map(str, a))}|{','.join(map(str, b))}".encode()
-
+class TwoTokenizers:
+    """Both tokenizations of texts, each with a space before it.
 
-class TwoTokenizers(dict):
-    """Both tokenizations of texts, with a space before each, remembered by stretch.
-
-    Stretches end where neither side can join: the byte-level side starts a piece at a
-    space between two other characters, and the pieces of the other side hold spaces at
-    their start only. Where a model does not promise that (``safe`` is False), a text is
-    one stretch.
+    Neither side joins across a space between two other characters: the byte-level side
+    starts a piece there, and the pieces of the other side hold spaces at their start only.
+    So a text may be encoded in parts that start at such spaces. Where a model does not
+    promise that (``safe`` is False), texts are encoded whole.
     """
 
     def __init__(self, path_a: str, path_b: str):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives the cores out
         import sentencepiece
         from tokenizers import Tokenizer
@@ -80,97 +98,75 @@ class TwoTokenizers(dict):
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of = {c: bytes([b]) for b, c in BYTE_LETTERS.items()}
-        size = self.a.get_vocab_size(with_added_tokens=True)
-        entries = [self.a.id_to_token(i) or "" for i in range(size)]
+        entries = [self.a.id_to_token(i) or "" for i in range(self.a.get_vocab_size(with_added_tokens=True))]
         self.bytes_a = [b"".join(byte_of.get(c, c.encode()) for c in e) for e in entries]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.model = self.a.model
-        pre = self.a.pre_tokenizer
+        self.size_a, self.size_b = (np.array([len(x) for x in e], np.int64) for e in (self.bytes_a, self.bytes_b))
+        # Ids as text, with what follows them inside a group and at its end.
+        self.text_a = [np.array([f"{i}{mark}" for i in range(len(entries))], object) for mark in ",|"]
+        self.text_b = [np.array([f"{i}{mark}" for i in range(len(pieces))], object) for mark in ",;"]
+        pre = repr(self.a.pre_tokenizer)
         self.safe = (
-            self.a.normalizer is None and "ByteLevel" in repr(pre) and "use_regex=True" in repr(pre)
-            and "add_prefix_space=False" in repr(pre) and all(self.a.token_to_id(c) is not None for c in byte_of)
+            self.a.normalizer is None and "ByteLevel" in pre and "use_regex=True" in pre and "add_prefix_space=False" in pre
+            and all(self.a.token_to_id(c) is not None for c in byte_of)
             and any(self.b.is_byte(i) for i in range(min(300, len(pieces)))) and self.b.normalize("x  y ") == "▁x▁▁y▁"
             and not any("▁" in p.lstrip("▁") for p in pieces)
         )
-        self.older: dict[bytes, tuple] = {}
+        self.pieces = ByteLevelIds(self.a.model)
 
     def keeps(self, text: str) -> bool:
         """Whether the second side's pieces spell the text after one space."""
         return self.b.normalize(text).replace("▁", " ") == " " + text
 
-    def ids(self, stretch: bytes) -> tuple[list[int], list[int]]:
-        if self.safe and (parts := _LETTERS_MARKS.fullmatch(stretch)):
-            a = [t.id for p in parts.groups() if p for t in self.model.tokenize(p.decode("latin-1").translate(BYTE_LETTERS))]
+    def ids(self, part: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of both sides for bytes that begin with a space."""
+        if self.safe and _PLAIN.fullmatch(part):
+            a = self.pieces.encode(part)
         else:
-            a = self.a.encode(stretch.decode(), add_special_tokens=False).ids
-        return a, self.b.encode(stretch[1:].decode())
-
-    def aligned(self, a: list[int], b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-        """Overlapping pairs of ids, and the numbers of tokens of each side before the end of each group."""
-        links, ends, i, j = [], [], 0, 0
-        if not a or not b:
-            return links, ends
-        end_a, end_b = len(self.bytes_a[a[0]]), len(self.bytes_b[b[0]])
-        while True:
-            links.append((a[i], b[j]))
-            step = end_a - end_b
-            if step <= 0:
-                i += 1
-            if step >= 0:
-                j += 1
-            if not step:
-                ends.append((i, j))
-            if i == len(a) or j == len(b):
-                return links, ends
-            if step <= 0:
-                end_a += len(self.bytes_a[a[i]])
-            if step >= 0:
-                end_b += len(self.bytes_b[b[j]])
-
-    def closed(self, a: list[int], b: list[int]) -> tuple[bytes, bytes, int]:
-        """Groups as text, links as 64-bit numbers, and tokens of the first side, of whole groups."""
-        links, ends = self.aligned(a, b)
-        texts, i, j = [], 0, 0
-        for p, q in ends:
-            texts.append(group_text(a[i:p], b[j:q]))
-            i, j = p, q
-        return b";".join(texts), struct.pack(f"<{len(links)}Q", *[x << 32 | y for x, y in links]), len(a)
-
-    def __missing__(self, stretch: bytes) -> tuple | None:
-        found = self.older.get(stretch, 0) if len(stretch) <= LONGEST else 0
-        if found == 0:
-            a, b = self.ids(stretch)
-            spelt = b"".join([self.bytes_a[x] for x in a]) == stretch == b"".join([self.bytes_b[x] for x in b])
-            found = self.closed(a, b) if spelt else None
-        if len(stretch) <= LONGEST:
-            self[stretch] = found
-        return found
-
-    def stretches(self, text: bytes) -> list[bytes]:
-        if not self.safe:
-            return [text]
-        found = STRETCH.findall(text)
-        return found[:-1] if found and not found[-1] else found
-
-    def whole(self, text: bytes) -> tuple[bytes, bytes, int] | None:
-        """Groups, links and tokens of a text that starts at a common end and ends at one; None if not spelt."""
-        if len(self) > MEMORY:
-            self.older = dict(self)
-            self.clear()
-        found = list(map(self.__getitem__, self.stretches(text)))
-        if None in found:
-            return None
-        return b";".join([f[0] for f in found]), b"".join([f[1] for f in found]), sum([f[2] for f in found])
+            a = np.array(self.a.encode_batch_fast([part.decode()], add_special_tokens=False)[0].ids, np.int64)
+        return a, np.array(self.b.encode(part[1:].decode()), np.int64)
+
+    def spelt(self, part: bytes, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether the tokens' bytes are the part; the byte-level side of a safe pair always spells its text."""
+        if self.safe:
+            return self.keeps(part[1:].decode())
+        return b"".join([self.bytes_a[x] for x in a]) == part == b"".join([self.bytes_b[x] for x in b])
+
+    def closed(self, a: np.ndarray, b: np.ndarray) -> tuple[bytes, np.ndarray, int]:
+        """Groups as text, links (a << 32 | b), and tokens of the first side, of tokens that span the same bytes."""
+        if not len(a) or not len(b):
+            return b"", np.empty(0, np.uint64), 0
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        at = np.searchsorted(end_a, end_b)
+        both_b = end_a[at] == end_b
+        both_a = np.zeros(len(a), bool)
+        both_a[at[both_b]] = True
+        # Between two ends of either side one token of each side overlaps.
+        ends = np.sort(np.concatenate([end_a, end_b[~both_b]]))
+        links = a[np.searchsorted(end_a, ends)].astype(np.uint64) << np.uint64(32) | b[np.searchsorted(end_b, ends)].astype(np.uint64)
+        # Each group's first side, then its second: a token stands after its side's earlier
+        # tokens and the other side's tokens of earlier groups, or of its own group too.
+        upto_a, upto_b = np.flatnonzero(both_a) + 1, np.flatnonzero(both_b) + 1
+        group_a, group_b = np.cumsum(both_a) - both_a, np.cumsum(both_b) - both_b
+        text = np.empty(len(a) + len(b), object)
+        text[np.arange(len(a)) + np.append(0, upto_b)[group_a]] = np.where(both_a, self.text_a[1][a], self.text_a[0][a])
+        text[np.arange(len(b)) + upto_a[group_b]] = np.where(both_b, self.text_b[1][b], self.text_b[0][b])
+        return "".join(text.tolist())[:-1].encode(), links, len(a)
+
+    def whole(self, text: bytes) -> tuple[bytes, np.ndarray, int] | None:
+        """Groups, links and tokens of a whole text after its space; None if the tokens do not spell it."""
+        a, b = self.ids(text)
+        return self.closed(a, b) if self.spelt(text, a, b) else None
 
     def cuts(self, text: bytes, size: int) -> list[tuple[int, int, int, int]]:
         """(from, start, end, to) of byte ranges of about ``size``: tokens that end in (start, end] need bytes [from, to).
 
-        Ranges may start anywhere; a bound is left out where the stretch around it is
-        longer than ``size``, so that no stretch is encoded more than twice.
+        Ranges may start anywhere; a bound is left out where the stretch between spaces
+        around it is longer than ``size``, so that no stretch is encoded more than twice.
         """
-        places, safe = [(0, 0, 0)], [0, *(m.start() for m in _CUT.finditer(text)), len(text)] if self.safe else [0, len(text)]
-        safe = np.array(safe)
+        places = [(0, 0, 0)]
+        safe = np.array([0, *(m.start() for m in _CUT.finditer(text)), len(text)] if self.safe else [0, len(text)])
         for at in range(size, len(text), size):
             k = int(np.searchsorted(safe, at, side="right"))
             if k < len(safe) and safe[k] - safe[k - 1] <= size:
@@ -178,42 +174,21 @@ class TwoTokenizers(dict):
         places.append((len(text), len(text), len(text)))
         return [(lo, s, e, hi) for (s, lo, _), (e, _, hi) in zip(places, places[1:])]
 
-    def fragment(self, part: bytes, start: int, end: int, first: bool) -> tuple[Fragment, tuple[bytes, bytes, int]]:
+    def fragment(self, part: bytes, start: int, end: int, first: bool) -> tuple[Fragment, tuple[bytes, np.ndarray, int]]:
         """The fragment of bytes (start, end] of ``part``, which starts and ends between stretches, and its closed groups.
 
         ``first`` tells that the range starts the text, which is a common end.
         """
-        found, at, state = [], 0, Fragment(cut=first)
-        for stretch in self.stretches(part):
-            before, at = at, at + len(stretch)
-            if at <= start or before >= end:
-                continue
-            if before >= start and at <= end and (closed := self[stretch]):
-                # a whole stretch starts and ends at common ends
-                state, group = state.then(Fragment(cut=before > start or first or start == before))
-                found += [self.closed(*group)] if group else []
-                found.append(closed)
-                continue
-            a, b = self.ids(stretch)
-            ends_a = before + np.cumsum([len(self.bytes_a[x]) for x in a])
-            ends_b = before + np.cumsum([len(self.bytes_b[x]) for x in b])
-            both = np.intersect1d(ends_a, ends_b)
-            if before >= start:
-                both = np.append(before, both)
-            both = both[(both >= start if before >= start else both > start) & (both <= end)]
-            own_a, own_b = (ends_a > start) & (ends_a <= end), (ends_b > start) & (ends_b <= end)
-            a, b, ends_a, ends_b = np.array(a)[own_a], np.array(b)[own_b], ends_a[own_a], ends_b[own_b]
-            if not len(both):
-                piece = Fragment(False, a.tolist(), b.tolist())
-            else:
-                lo, hi = both[0], both[-1]
-                piece = Fragment(
-                    True, a[ends_a <= lo].tolist(), b[ends_b <= lo].tolist(), a[ends_a > hi].tolist(), b[ends_b > hi].tolist()
-                )
-            state, group = state.then(piece)
-            found += [self.closed(*group)] if group else []
-            if len(both):
-                inner_a, inner_b = (ends_a > lo) & (ends_a <= hi), (ends_b > lo) & (ends_b <= hi)
-                if inner_a.any():
-                    found.append(self.closed(a[inner_a].tolist(), b[inner_b].tolist()))
-        return state, (b";".join([f[0] for f in found]), b"".join([f[1] for f in found]), sum([f[2] for f in found]))
+        a, b = self.ids(part)
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        both = np.append(0, np.intersect1d(end_a, end_b, assume_unique=True))
+        both = both[(both >= start) & (both <= end)]
+        own_a, own_b = (end_a > start) & (end_a <= end), (end_b > start) & (end_b <= end)
+        a, b, end_a, end_b = a[own_a], b[own_b], end_a[own_a], end_b[own_b]
+        if not len(both):
+            return Fragment(first, a.tolist(), b.tolist()), self.closed(a[:0], b[:0])
+        lo, hi = both[0], both[-1]
+        state = Fragment(
+            True, a[end_a <= lo].tolist(), b[end_b <= lo].tolist(), a[end_a > hi].tolist(), b[end_b > hi].tolist()
+        )
+        return state, self.closed(a[(end_a > lo) & (end_a <= hi)], b[(end_b > lo) & (end_b <= hi)])

@@ -4,17 +4,22 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 from riskframe.llm import alignment
-from riskframe.llm.fragments import Fragment, TwoTokenizers, group_text
+from riskframe.llm.fragments import Fragment, TwoTokenizers
 from riskframe.llm.queries import tokenizer_path
 
 PATHS = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
 
 
+def group_text(a, b):
+    return f"{','.join(map(str, a))}|{','.join(map(str, b))}".encode()
+
+
 @pytest.fixture(scope="module")
 def two():
     return TwoTokenizers(*PATHS)
@@ -92,11 +97,19 @@ def test_any_cut_gives_the_groups_of_the_whole(two):
             for k, (lo, start, end, hi) in enumerate(two.cuts(whole, size)):
                 piece, closed = two.fragment(whole[lo:hi], start - lo, end - lo, k == 0)
                 state, group = state.then(piece) if k else (piece, None)
-                found += [two.closed(*group)] if group else []
+                found += [two.closed(*map(np.array, group))] if group else []
                 found += [closed] if closed[0] else []
             assert not (state.suf_a or state.suf_b or state.pre_a or state.pre_b)
             assert b";".join(f[0] for f in found) == expected[0], (text, size)
-            assert b"".join(f[1] for f in found) == expected[1]
+            assert np.concatenate([f[1] for f in found]).tolist() == expected[1].tolist()
+
+
+def test_pieces_of_plain_texts_equal_the_tokenizer(two):
+    rng = random.Random(5)
+    parts = [" ", "  ", "\n", "\t ", "\r\n", "a", "Word", "it's", "'LL", "'ll", "12", ",", "--", "é", "Ñu", "×", "\x0b", "\x1c", "\x7f", "'", "x"]
+    for _ in range(2000):
+        text = " " + "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+        assert two.ids(text.encode())[0].tolist() == two.a.encode(text, add_special_tokens=False).ids, text
 
 
 def test_composition_is_associative():
