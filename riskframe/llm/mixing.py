@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import stage, text_of
+from riskframe.llm.common import stage, text_of, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents in one ordered range of a source, about.
@@ -64,7 +64,6 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: f
     own, ties in the order are broken by size; an empty table gives no rows.
     """
     rows = stage(sizes_of(docs))
-    n = Window.partitionBy("source")
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     plan = source_targets(sums.select("source", "source_size"), weights, most)
     plan = plan.join(sums.select(F.col("source").alias("s"), "n_docs"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -132,22 +131,26 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), mos
     the last one taken. Documents without words are taken once, so that a mix that takes a
     source whole keeps all of it.
     """
-    taken = mix_sources(docs, weights, most).groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_n"))
-    taken = taken.agg(F.sum("taken").alias("_taken"), F.count("*").alias("_copies"))
-    size = F.regexp_count(text_of(), F.lit(WORD))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_n"))
-    joined = docs.withColumn("_size", size.cast("long")).join(taken, same)
-    # rows that repeat in the input share what they take
-    nth = F.row_number().over(Window.partitionBy("_d", "_s", "_n").orderBy("_size"))
-    joined = joined.withColumn("_nth", nth)
-    share = F.floor(F.col("_taken") / F.col("_copies")) + (F.col("_nth") <= F.col("_taken") % F.col("_copies")).cast("long")
-    whole = F.when(F.col("_size") == 0, F.lit(1)).otherwise((share / F.col("_size")).cast("int"))
-    part = F.when(F.col("_size") == 0, F.lit(0)).otherwise(share % F.col("_size"))
-    times = whole + F.when(part > 0, F.lit(1)).otherwise(F.lit(0))
-    joined = joined.withColumn("_whole", whole).withColumn("_part", part)
-    repeated = joined.where(times > 0).withColumn("_i", F.explode(F.sequence(F.lit(1), times)))
+    d, s, n, taken, copies, size, nth, whole, part, i, row = unused(
+        docs, "d", "s", "n", "taken", "copies", "size", "nth", "whole", "part", "i", "row"
+    )
+    every = mix_sources(docs, weights, most)
+    sums = every.groupBy(F.col("doc_id").alias(d), F.col("source").alias(s), F.col("size").alias(n))
+    sums = sums.agg(F.sum("taken").alias(taken), F.count("*").alias(copies))
+    c = F.col
+    same = c("doc_id").cast("long").eqNullSafe(c(d)) & c("source").cast("string").eqNullSafe(c(s)) & (c(size) == c(n))
+    joined = docs.withColumn(size, F.regexp_count(text_of(), F.lit(WORD)).cast("long")).join(sums, same)
+    # rows of one id, source and size share what they take, in the order of a hash of the whole row
+    joined = joined.withColumn(row, F.xxhash64(text_of(), F.to_json(F.struct(*[c(f"`{x}`") for x in docs.columns]))))
+    joined = joined.withColumn(nth, F.row_number().over(Window.partitionBy(d, s, n).orderBy(row)))
+    share = F.floor(c(taken) / c(copies)) + (c(nth) <= c(taken) % c(copies)).cast("long")
+    wholes = F.when(c(size) == 0, F.lit(1)).otherwise((share / c(size)).cast("int"))
+    rest = F.when(c(size) == 0, F.lit(0)).otherwise(share % c(size))
+    times = wholes + F.when(rest > 0, F.lit(1)).otherwise(F.lit(0))
+    joined = joined.withColumn(whole, wholes).withColumn(part, rest)
+    repeated = joined.where(times > 0).withColumn(i, F.explode(F.sequence(F.lit(1), times)))
     # words with the spaces after them; spaces before the first word are a piece of their own
     pieces = F.split("text", r"(?<=[ \t-\r])(?=[^ \t-\r])", -1)
-    head = F.array_join(F.slice(pieces, F.lit(1), (F.col("_part") + F.col("text").rlike(r"^[ \t-\r]").cast("int")).cast("int")), "")
-    cut = (F.col("_i") > F.col("_whole")) & (F.col("_part") > 0)
+    head = F.array_join(F.slice(pieces, F.lit(1), (c(part) + F.col("text").rlike(r"^[ \t-\r]").cast("int")).cast("int")), "")
+    cut = (c(i) > c(whole)) & (c(part) > 0)
     return repeated.withColumn("text", F.when(cut, head).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,8 +1,10 @@
 """Words of many texts at once: positions and 64-bit hashes by NumPy over Arrow buffers.
 
-A word is a run of bytes other than the six ASCII spaces (0x20, 0x09-0x0D). Its hash is a
-polynomial over random byte values modulo 2**64, taken from prefix sums, then mixed; a
-window's hash is the same over word hashes. Hashes depend on the words alone, so they
+A word is a run of bytes other than the six ASCII spaces (0x20, 0x09-0x0D). Its hash is the
+sum of random byte values times random weights of their places in the word modulo 2**64,
+taken from prefix sums, then mixed; a window's hash joins the hashes of its parts, of
+doubling length, and mixes after each. (A polynomial modulo 2**64 would give equal hashes
+to some different words, whatever its base.) Hashes depend on the words alone, so they
 agree between tasks.
 """
 
@@ -18,21 +20,19 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 2**64)
+STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text handled at once; temporary arrays take about thirty times as much.
 PIECE_BYTES = 1 << 20
 
-_powers = {BASE: np.ones(1, np.uint64), INVERSE: np.ones(1, np.uint64)}
+_weights = np.empty(0, np.uint64)
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept and doubled as needed."""
-    p = _powers[base]
-    while len(p) < n:
-        p = np.concatenate([p, p * np.uint64(pow(base, len(p), 2**64))])
-    _powers[base] = p
-    return p[:n]
+def weights(n: int) -> np.ndarray:
+    """Random odd weights of places 0 to n - 1, the same in every task; kept and extended as needed."""
+    global _weights
+    if len(_weights) < n:
+        _weights = mix(np.arange(1, max(n, 2 * len(_weights)) + 1, dtype=np.uint64) * STEP) | np.uint64(1)
+    return _weights[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -44,6 +44,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of two hashes in order."""
+    return mix(a * STEP + mix(b + STEP))
+
+
 class Words:
     """Words of the texts ``data[ends[i-1]:ends[i]]``.
 
@@ -68,17 +73,19 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)
         counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(counts)), counts)
+        place = np.zeros(n, np.int64)
+        place[self.starts] = self.starts
+        place = np.arange(n) - np.maximum.accumulate(place)
         self._sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[data] * powers(BASE, n), out=self._sums[1:])
+        np.cumsum(BYTE_VALUES[data] * weights(int(place.max(initial=0)) + 1)[place], out=self._sums[1:])
         self.hash = self.hash_between(self.starts, self.stops)
 
     def __len__(self) -> int:
         return len(self.starts)
 
     def hash_between(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-        """Hash of bytes [start, stop)."""
-        h = (self._sums[stops] - self._sums[starts]) * powers(INVERSE, len(self._sums))[starts]
-        return mix(h + (stops - starts).astype(np.uint64))
+        """Hash of bytes [start, stop), each of which starts a word and stays in it."""
+        return mix(self._sums[stops] - self._sums[starts] + (stops - starts).astype(np.uint64) * STEP)
 
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.stops[i]].tobytes()
@@ -89,10 +96,17 @@ class Words:
         n = len(h)
         if n < k:
             return np.empty(0, np.int64), np.empty(0, np.uint64)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(h * powers(BASE, n), out=sums[1:])
+        # `block` hashes runs of 1, 2, 4, ... words, `done` the first words of each window.
+        block, size, done, covered = h, 1, None, 0
+        while covered < k:
+            if k & size:
+                done = block if done is None else join(done[: n - covered - size + 1], block[covered:])
+                covered += size
+            if covered < k:
+                block = join(block[:-size], block[size:])
+                size *= 2
         at = np.flatnonzero(self.doc[: n - k + 1] == self.doc[k - 1 :])
-        return at, mix((sums[at + k] - sums[at]) * powers(INVERSE, n)[at] + np.uint64(k))
+        return at, done[at]
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

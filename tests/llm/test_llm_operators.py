@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, quality_rules, records, secrets, substrings, tokens, toxicity
+from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, quality_rules, records, secrets, substrings, tokens, toxicity, words
 from riskframe.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -152,12 +152,12 @@ def test_token_records(awkward, rows_of, tmp_path):
 def test_words_equal_plain_encoding():
     from tokenizers import Tokenizer
 
-    plain, words = Tokenizer.from_file(tokenizer_path()), tokens.WordEncoder(tokenizer_path())
+    plain, encoder = Tokenizer.from_file(tokenizer_path()), tokens.WordEncoder(tokenizer_path())
     others = ["\u201c", "\u201d", "\u2019", "\u2026", "\u2014", "\u2192", "\u20ac", "\U0001f600", "\u093e", "\u0301", "\u00e9", "\u0130", "\u00a0", "\u3000"]
     texts = ["he said \u201cyes\u201d, then", "wait\u2026) ok", "\U0001f600! a", "foo\u2014- bar", "5\u20ac. it's", "\u0915\u0930\u0928\u093e, \u0925\u093e", "e\u0301. E\u0301, x"]
     texts += [f"{a}{x}{m}{b} end" for x in others for m in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~ \t" for a in ("", "a", "Z", "7", "-") for b in ("", "b", "9", ".", x)]
     texts += ["\u00c9TAGE stra\u00dfe \u00d7\u00f7", "O\u0308L \u0130x h\u0331 H\u0331 \u03a3\u039f\u03a3", "x" * 300 + "! " + "y" * 70, "<|endoftext|>a <|ENDOFTEXT|>", "don't I'LL 'so"]
-    got = [np.frombuffer(words.encode(t.encode()), "<u4").tolist() for t in texts * 2]
+    got = [np.frombuffer(encoder.encode(t.encode()), "<u4").tolist() for t in texts * 2]
     texts *= 2
     wrong = [(t, g) for t, g in zip(texts, got, strict=True) if g != plain.encode(t, add_special_tokens=False).ids]
     assert not wrong, (len(wrong), wrong[:20])
@@ -175,6 +175,28 @@ def test_long_words_of_one_polynomial_hash_keep_their_ids(spark, tmp_path):
         assert got.ids_crc32 == zlib.crc32(np.array([*ids, 2], "<u4").tobytes())
 
 
+def test_different_words_and_windows_have_different_hashes():
+    thue_morse = [bin(i).count("1") % 2 for i in range(4096)]
+    for n in (1024, 2048, 4096):
+        pair = ["".join("ab"[b ^ k] for b in thue_morse[:n]) for k in (0, 1)]
+        data = f"{pair[0]} {pair[1]} {pair[0]}".encode()
+        found = words.Words(np.frombuffer(data, np.uint8), np.array([0, len(data)])).hash
+        assert found[0] == found[2] != found[1]
+        runs = " ".join(pair[0]) + " " + " ".join(pair[1]) + " " + " ".join(pair[0])
+        at, h = words.Words(np.frombuffer(runs.encode(), np.uint8), np.array([0, len(runs)])).windows(n)
+        assert h[0] == h[2 * n] != h[n]
+    rng = np.random.default_rng(3)
+    text = " ".join(rng.choice(["a", "b", "ab", "c"], 500))
+    w = words.Words(np.frombuffer(text.encode(), np.uint8), np.array([0, 100, 100, len(text)]))
+    names = [w.word(i) for i in range(len(w))]
+    assert len(set(zip(names, w.hash.tolist()))) == len(set(names)) == len(set(w.hash.tolist()))
+    for k in (1, 2, 3, 5, 7, 8, 35):
+        at, h = w.windows(k)
+        runs = [tuple(names[i : i + k]) for i in at]
+        assert all(w.doc[i] == w.doc[i + k - 1] for i in at) and len(at) == sum(max(0, n - k + 1) for n in np.diff(w.first))
+        assert len(set(zip(runs, h.tolist()))) == len(set(runs)) == len(set(h.tolist()))
+
+
 def test_files_of_records_are_bounded_by_bytes(spark, tmp_path):
     rows = [(i % 3 or None, "word " * (400 if i % 10 else 4000)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)

@@ -2,6 +2,8 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from oracle import connect, differences
 from riskframe.llm import queries
@@ -60,3 +62,24 @@ def test_awkward_documents_pass_every_stage(spark, awkward, sf_small, tmp_path):
     for name, stage in corpus_pipeline.STAGES:
         stage(spark, docs, sf_small).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
+
+
+def test_columns_of_any_name_pass_unchanged(spark, awkward, sf_small, tmp_path):
+    names = ["_size", "_part", "_i", "_d", "_n", "_s", "_taken", "_copies", "_nth", "_whole", "_node", "_lang", "_row", "row", "root", "key", "size", "target", "kept", "_D"]
+    docs = awkward.drop("n_chars")
+    for i, c in enumerate(names[:-1]):
+        docs = docs.withColumn(c, F.concat(F.lit(f"{i} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    before = {r.doc_id: tuple(r[c] for c in names[:-1]) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_small)
+        assert out.columns == docs.columns, name
+        out.write.parquet(str(tmp_path / name))
+        for r in spark.read.parquet(str(tmp_path / name)).collect():
+            assert tuple(r[c] for c in names[:-1]) == before[r.doc_id], name
+
+
+def test_mix_of_equal_ids_is_repeatable(spark, sf_small):
+    rows = [(1, f"{a} two three", s) for a in "abcdefgh" for s in ("x", None)] + [(None, f"n{i} m", "y") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    one = sorted(map(str, corpus_pipeline.mix(spark, docs.repartition(5), sf_small).collect()))
+    assert one == sorted(map(str, corpus_pipeline.mix(spark, docs.orderBy(F.desc("text")).repartition(3), sf_small).collect()))
