@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from riskframe.functions import kernels
 from riskframe.functions.columns import CLAIMS, PREMIUM, margin
 from riskframe.operators.ab_tests import chi2_frequency_ab, severity_ab
-from riskframe.operators.metrics import group_sizes, keyed, top_groups
-from riskframe.operators.ordering import rank_sums
+from riskframe.operators.metrics import group_sizes, keyed
+from riskframe.operators.ordering import rank_sums, small_side
 from riskframe.operators.outcome import KEEP, OUTCOME, REJECT, outcome
 
 REPORT = ["report", "component", *OUTCOME, "overall_conclusion"]
@@ -125,8 +125,15 @@ def province_risk(
     })
 
 
-def _valid_groups(df: DataFrame, key: str, min_n: int) -> DataFrame:
-    return group_sizes(df, key, min_n).agg(F.count(F.lit(1)).alias("total_valid_groups"))
+def _tested_groups(df: DataFrame, key: str, k: int | None, min_n: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the groups of at least ``min_n`` rows (the k largest of them), and one row with the number of such groups.
+
+    The sizes are counted once, for both.
+    """
+    sizes = small_side(group_sizes(df, key, min_n))
+    largest = sizes.orderBy(F.col("n").desc(), key).limit(k) if k is not None else sizes
+    valid = sizes.agg(F.count(F.lit(1)).alias("total_valid_groups"))
+    return df.join(small_side(largest.select(key)), key, "left_semi"), F.broadcast(valid)
 
 
 def postal_risk(
@@ -143,8 +150,7 @@ def postal_risk(
         return _report("postal_risk", {"column": nothing.withColumn(
             "total_valid_groups", F.lit(0).cast("bigint"))}, ["total_valid_groups"])
     narrow = df.select(key, claims)
-    rows = top_groups(narrow, key, k, min_n)
-    valid = F.broadcast(_valid_groups(narrow, key, min_n))
+    rows, valid = _tested_groups(narrow, key, k, min_n)
     parts = {
         "frequency": chi2_frequency_k(rows, key, claims, alpha),
         "severity": kruskal_k(rows.where(F.col(claims) > 0), claims, key, alpha),
@@ -171,8 +177,8 @@ def postal_margin_test(
         return _report("postal_margin", {"column": nothing.withColumn(
             "total_valid_groups", F.lit(0).cast("bigint"))}, ["total_valid_groups"])
     narrow = df.select(key, margin(premium, claims).alias("margin"))
-    tested = kruskal_k(top_groups(narrow, key, k, min_n), "margin", key, alpha)
-    valid = F.broadcast(_valid_groups(narrow, key, min_n))
+    rows, valid = _tested_groups(narrow, key, k, min_n)
+    tested = kruskal_k(rows, "margin", key, alpha)
     return _report("postal_margin", {"margin": tested.crossJoin(valid)}, ["total_valid_groups"])
 
 

@@ -19,9 +19,11 @@ from riskframe.operators.evaluation import classification_metrics, regression_me
 from riskframe.operators.ordering import clean, small_side
 from riskframe.sources.tables import shared_folder, stage
 
-#: Rows keep the number of their node, so deep trees are not walked again for each level; the
-#: lineage of these numbers is cut every few rounds in the session's checkpoint folder.
-TREE_OPTIONS = {"cacheNodeIds": True, "checkpointInterval": 5, "maxMemoryInMB": 512}
+#: Rows keep the number of their node, so deep trees are not walked again for each level. The
+#: lineage of these numbers, and that of boosting's residuals, is cut every few rounds in the
+#: session's checkpoint folder.
+FOREST_OPTIONS = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 512}
+BOOSTED_OPTIONS = {"checkpointInterval": 10, "maxMemoryInMB": 512}
 MISSING_CATEGORY = "\uffff"  # sorts after every category
 
 REGRESSION = "regression"
@@ -152,7 +154,7 @@ def fit_forest(
     max_bins: int = 32,
 ) -> Fitted:
     """Random forest. ``None`` is the deepest tree Spark allows, 30 levels."""
-    options = dict(numTrees=n, maxDepth=30 if depth is None else depth, seed=seed, maxBins=max_bins, **TREE_OPTIONS)
+    options = dict(numTrees=n, maxDepth=30 if depth is None else depth, seed=seed, maxBins=max_bins, **FOREST_OPTIONS)
     if task == REGRESSION:
         estimator = RandomForestRegressor(featureSubsetStrategy="all", **options)
     else:
@@ -172,7 +174,7 @@ def fit_boosted(
     max_bins: int = 32,
 ) -> Fitted:
     """Gradient-boosted trees; classification is binary."""
-    options = dict(maxIter=n, maxDepth=depth, stepSize=lr, seed=seed, maxBins=max_bins, **TREE_OPTIONS)
+    options = dict(maxIter=n, maxDepth=depth, stepSize=lr, seed=seed, maxBins=max_bins, **BOOSTED_OPTIONS)
     estimator = GBTRegressor(**options) if task == REGRESSION else GBTClassifier(**options)
     kind = "Regressor" if task == REGRESSION else "Classifier"
     return _evaluate(f"Boosted Trees {kind}", task, estimator.fit(train), train, test)
