@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions import kernels
@@ -13,6 +13,7 @@ from riskframe.operators.ab_tests import chi2_frequency_ab, severity_ab
 from riskframe.operators.metrics import group_sizes, keyed
 from riskframe.operators.ordering import rank_sums, small_side
 from riskframe.operators.outcome import KEEP, OUTCOME, REJECT, outcome
+from riskframe.sources.tables import stage
 
 REPORT = ["report", "component", *OUTCOME, "overall_conclusion"]
 
@@ -25,12 +26,20 @@ def chi2_frequency_k(
     A group without any counted row, or a table with an empty column, has an expected
     count of 0: the result is then ``insufficient``.
     """
+    return _chi2_of(keyed(df, key).groupBy(key).agg(*_frequencies(claims)), alpha)
+
+
+def _frequencies(claims: str) -> list[Column]:
     claim = F.col(claims)
-    groups = keyed(df, key).groupBy(key).agg(
+    return [
         F.count_if(claim > 0).cast("double").alias("_hit"),
         F.count_if(claim == 0).cast("double").alias("_none"),
         F.count(F.lit(1)).alias("_rows"),
-    )
+    ]
+
+
+def _chi2_of(groups: DataFrame, alpha: float) -> DataFrame:
+    """The chi-squared test from the counts of each group."""
     totals = groups.agg(
         F.sum("_hit").alias("_hits"), F.sum("_none").alias("_nones"), F.count(F.lit(1)).alias("_k")
     )
@@ -65,7 +74,11 @@ def kruskal_k(df: DataFrame, value: str, key: str, alpha: float = 0.05) -> DataF
     keeps digits when the number of rows is large.
     """
     rows = keyed(df, key).select(key, F.col(value).alias("v"))
-    sums = rank_sums(rows, "v", key)
+    return _kruskal_of(rank_sums(rows, "v", key), rows.agg(F.count(F.lit(1)).alias("all_rows")), alpha)
+
+
+def _kruskal_of(sums: DataFrame, sizes: DataFrame, alpha: float) -> DataFrame:
+    """The Kruskal-Wallis test from the rank sums of each group; ``sizes`` is one row, with ``all_rows``."""
     n = F.col("n").cast("double")
     gap = F.col("rank_sum") / F.col("rows") - (n + 1) / 2
     summed = sums.agg(
@@ -74,7 +87,6 @@ def kruskal_k(df: DataFrame, value: str, key: str, alpha: float = 0.05) -> DataF
         F.count(F.lit(1)).alias("n_groups"),
         F.coalesce(F.max("n"), F.lit(0)).alias("n"),
     )
-    sizes = rows.agg(F.count(F.lit(1)).alias("all_rows"))
     untied = F.lit(1.0) - F.try_divide(F.col("ties"), n * (n * n - 1))
     h = F.try_divide(F.col("between") * 12, n * (n + 1))
     valid = F.col("n_groups") >= 2
@@ -182,6 +194,59 @@ def postal_margin_test(
     return _report("postal_margin", {"margin": tested.crossJoin(valid)}, ["total_valid_groups"])
 
 
+def group_reports(
+    df: DataFrame,
+    alpha: float = 0.05,
+    min_n: int = 30,
+    k: int | None = None,
+    premium: str = PREMIUM,
+    claims: str = CLAIMS,
+    province: str = "Province",
+    postal: str = "PostalCode",
+) -> list[DataFrame]:
+    """``province_risk``, ``postal_risk`` and ``postal_margin_test``, as far as their columns exist, from two scans.
+
+    Each row counts for its province and for its postal code. One aggregate gives the
+    frequencies of all groups of both, one order of claims and margin the rank sums; the
+    reports are made of those rows.
+    """
+    keys = [c for c in (province, postal) if c in df.columns]
+    if not keys:
+        return []
+    pair = F.explode(F.array(*[F.struct(F.lit(c).alias("_by"), F.col(c).cast("string").alias("_key")) for c in keys])).alias("_p")
+    rows = df.select(F.col(claims).alias("_claims"), margin(premium, claims).alias("_margin"), pair)
+    rows = rows.select("_p.*", "_claims", "_margin").where(F.col("_key").isNotNull())
+    groups = rows.groupBy("_by", "_key").agg(*_frequencies("_claims"))
+    groups = stage(groups.where((F.col("_by") != postal) | (F.col("_rows") >= min_n)))
+    tested = groups
+    if k is not None and postal in keys:
+        largest = groups.where(F.col("_by") == postal).orderBy(F.col("_rows").desc(), "_key").limit(k)
+        tested = stage(groups.where(F.col("_by") != postal).unionByName(largest))
+    values = rows.join(small_side(tested.select("_by", "_key")), ["_by", "_key"], "left_semi").select(
+        "_by", "_key", F.when(F.col("_claims") > 0, F.col("_claims")).alias("severity"),
+        F.when(F.col("_by") == postal, F.col("_margin")).alias("margin"),
+    )
+    sums = stage(rank_sums(values, ["severity", "margin"], "_key", within=["_by"]))
+
+    def frequency(by: str) -> DataFrame:
+        return _chi2_of(tested.where(F.col("_by") == by), alpha)
+
+    def ranked(by: str, measure: str, counted: str) -> DataFrame:
+        sizes = tested.where(F.col("_by") == by).agg(F.coalesce(F.sum(counted), F.lit(0)).cast("bigint").alias("all_rows"))
+        return _kruskal_of(sums.where((F.col("_by") == by) & (F.col("measure") == measure)), sizes, alpha)
+
+    reports = []
+    if province in keys:
+        reports.append(_report("province_risk", {"frequency": frequency(province), "severity": ranked(province, "severity", "_hit")}))
+    if postal in keys:
+        valid = F.broadcast(groups.where(F.col("_by") == postal).agg(F.count(F.lit(1)).alias("total_valid_groups")))
+        parts = {"frequency": frequency(postal), "severity": ranked(postal, "severity", "_hit")}
+        extra = ["total_valid_groups"]
+        reports.append(_report("postal_risk", {name: part.crossJoin(valid) for name, part in parts.items()}, extra))
+        reports.append(_report("postal_margin", {"margin": ranked(postal, "margin", "_rows").crossJoin(valid)}, extra))
+    return reports
+
+
 def compared_values(df: DataFrame, col: str, a: str, b: str) -> tuple | None:
     """(a, b) if both occur, else the two most frequent values (smallest first on ties)."""
     counts = (

@@ -214,25 +214,31 @@ def exact_quantiles(
 
 
 def value_ranks(
-    df: DataFrame, value: str, by: Sequence[str] = (), buckets: int | None = None, bucket_rows: int = BUCKET_ROWS
+    df: DataFrame, value: str | Sequence[str], by: Sequence[str] = (), buckets: int | None = None, bucket_rows: int = BUCKET_ROWS,
+    within: Sequence[str] = (),
 ) -> DataFrame:
-    """Mid-rank of each distinct value among all rows: (by..., value, copies, ties, rank, n).
+    """Mid-rank of each distinct value among all rows: (by..., measure, value, copies, ties, rank, n).
 
-    With ``by``, one row per value and key; ``ties`` counts the value over all keys.
+    With ``by``, one row per value and key; ``ties`` counts the value over all keys. With
+    ``within``, a part of ``by``, the ranks are among the rows of each of its keys, and of
+    several values each is ranked by itself: one scan and one order serve them all.
     """
-    cells = bucketed(df, [value], by, buckets, bucket_rows)
-    starts = small_side(bucket_positions(cells.select("measure", "bucket")).select("bucket", "start", "n"))
-    counted = cells.groupBy("bucket", "value", *by).agg(F.count(F.lit(1)).alias("copies"))
-    upto = Window.partitionBy("bucket").orderBy("value").rangeBetween(
+    values = [value] if isinstance(value, str) else list(value)
+    cells = bucketed(df, values, by, buckets, bucket_rows)
+    group = [*within, "measure"]
+    starts = bucket_positions(cells.select(*group, "bucket"), within).select(*group, "bucket", "start", "n")
+    counted = cells.groupBy("measure", "bucket", "value", *by).agg(F.count(F.lit(1)).alias("copies"))
+    upto = Window.partitionBy(*group, "bucket").orderBy("value").rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    same = Window.partitionBy("bucket", "value")
+    same = Window.partitionBy(*group, "bucket", "value")
     return (
         counted.withColumn("ties", F.sum("copies").over(same))
         .withColumn("_upto", F.sum("copies").over(upto))
-        .join(starts, "bucket")
+        .join(small_side(starts), [*group, "bucket"])
         .select(
             *by,
+            "measure",
             "value",
             "copies",
             "ties",
@@ -247,12 +253,17 @@ def average_rank(df: DataFrame, value: str, buckets: int | None = None) -> DataF
     return value_ranks(df, value, buckets=buckets).select("value", "copies", "rank")
 
 
-def rank_sums(df: DataFrame, value: str, key: str, buckets: int | None = None) -> DataFrame:
-    """Per key: rows, rank sum, share of the tie term sum(t^3 - t), and the total n."""
+def rank_sums(
+    df: DataFrame, value: str | Sequence[str], key: str, buckets: int | None = None, within: Sequence[str] = ()
+) -> DataFrame:
+    """Per key: rows, rank sum, share of the tie term sum(t^3 - t), and the total n.
+
+    With ``within`` or several values: per such key and ``measure`` too.
+    """
     ties = F.col("ties").cast("double")
     return (
-        value_ranks(df, value, [key], buckets)
-        .groupBy(key)
+        value_ranks(df, value, [*within, key], buckets, within=within)
+        .groupBy(*within, "measure", key)
         .agg(
             F.sum("copies").alias("rows"),
             F.sum(F.col("copies") * F.col("rank")).alias("rank_sum"),

@@ -7,12 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.group_tests import (
-    gender_risk,
-    postal_margin_test,
-    postal_risk,
-    province_risk,
-)
+from riskframe.operators.group_tests import gender_risk, group_reports
 from riskframe.operators.outcome import REJECT
 
 # Hypothesis and kind of test per report.
@@ -63,11 +58,7 @@ RECOMMENDATIONS = [
 
 def risk_reports(df: DataFrame, alpha: float = 0.05, min_n: int = 30, k: int | None = None) -> DataFrame:
     """One row per sub-test of every report whose column exists."""
-    reports = []
-    if "Province" in df.columns:
-        reports.append(province_risk(df, alpha))
-    if "PostalCode" in df.columns:
-        reports += [postal_risk(df, alpha, min_n, k), postal_margin_test(df, alpha, min_n, k)]
+    reports = group_reports(df, alpha, min_n, k)
     if "Gender" in df.columns:
         reports.append(gender_risk(df, alpha))
     if not reports:
