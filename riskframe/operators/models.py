@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -9,8 +10,8 @@ from functools import reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ from riskframe.sources.tables import shared_folder, stage
 #: session's checkpoint folder.
 FOREST_OPTIONS = {"cacheNodeIds": True, "checkpointInterval": 10, "maxMemoryInMB": 512}
 BOOSTED_OPTIONS = {"checkpointInterval": 10, "maxMemoryInMB": 512}
+#: Boosting reads each cell of its binned columns as one row if there can be at most this many cells.
+MAX_CELLS = 1 << 20
 MISSING_CATEGORY = "\uffff"  # sorts after every category
 
 REGRESSION = "regression"
@@ -163,6 +166,79 @@ def fit_forest(
     return _evaluate(f"Random Forest {kind}", task, estimator.fit(train), train, test)
 
 
+def _kinds(df: DataFrame) -> list[str]:
+    """Kind of each slot of ``features`` (numeric, binary, nominal), from its metadata; empty if that is unknown."""
+    groups = df.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    return [kind for _, kind in sorted((a["idx"], kind) for kind, attrs in groups.items() for a in attrs)]
+
+
+def _cuts(slots: DataFrame, numeric: Sequence[str], max_bins: int) -> dict[str, list[float]]:
+    """Cut points of each column; bin k holds the values up to the k-th cut.
+
+    Quantiles, or the middles between all values of a column that has at most ``max_bins``.
+    """
+    if not numeric:
+        return {}
+    distinct = slots.agg(*[F.approx_count_distinct(c).alias(c) for c in numeric]).first()
+    few = [c for c in numeric if distinct[c] <= 2 * max_bins]
+    sets = slots.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in few]).first() if few else {}
+    cuts = {c: [(a + b) / 2 for a, b in zip(sets[c], sets[c][1:])] for c in few if len(sets[c]) <= max_bins}
+    many = [c for c in numeric if c not in cuts]
+    quantiles = slots.approxQuantile(many, [i / max_bins for i in range(1, max_bins)], 0.001) if many else []
+    return cuts | {c: sorted(set(q)) for c, q in zip(many, quantiles)}
+
+
+def cells_of(train: DataFrame, task: str, max_bins: int) -> tuple[DataFrame, list[list[float]]] | None:
+    """Staged cells of equal binned features with their number of rows (``weight``), and the cuts of each slot.
+
+    None if the slots are too many, or not known to be numbers or indicators. The trees of boosting
+    see nothing of a row but its bins and its gradient. A squared error's sums of gradients follow
+    from the mean label of a cell, so rows with equal bins are one cell; in classification rows with
+    equal bins and label are, as they have one gradient. Every split and leaf is that of all rows.
+    """
+    kinds = _kinds(train)
+    if not kinds or not set(kinds) <= {"numeric", "binary"}:
+        return None
+    if math.prod(2 if kind == "binary" else max_bins for kind in kinds) > MAX_CELLS:
+        return None
+    names = [f"_x{i}" for i in range(len(kinds))]
+    array = vector_to_array("features")
+    slots = train.select("label", *[array[i].alias(name) for i, name in enumerate(names)])
+    numeric = [name for name, kind in zip(names, kinds) if kind == "numeric"]
+    cuts = _cuts(slots, numeric, max_bins)
+    binned = {name: f"_b{name}" for name in numeric if cuts[name]}
+    if binned:
+        # A Bucketizer's bins start at their split, a tree's end with it.
+        ends = [[-math.inf, *[math.nextafter(c, math.inf) for c in cuts[name]], math.inf] for name in binned]
+        slots = Bucketizer(splitsArray=ends, inputCols=list(binned), outputCols=list(binned.values()), handleInvalid="keep").transform(slots)
+    keys = [(F.col(binned[n]) + 1 if n in binned else F.col(n) if n not in cuts else F.lit(1e0)).alias(n) for n in names]
+    if task == REGRESSION:
+        cells = slots.select("label", *keys).groupBy(*names).agg(F.avg("label").alias("label"), F.count("label").alias("weight"))
+    else:
+        cells = slots.select("label", *keys).groupBy(*names, "label").agg(F.count("label").alias("weight"))
+    features = array_to_vector(F.array(*names)).alias("features", metadata=train.schema["features"].metadata)
+    return stage(cells.select(features, "label", F.col("weight").cast("double").alias("weight"))), [cuts.get(n, []) for n in names]
+
+
+def _on_columns(model: Model, cuts: Sequence[Sequence[float]]) -> Model:
+    """The model fitted on cells, for the columns themselves: thresholds are cuts, and nodes count rows."""
+    spark = SparkSession.active()
+    old, new = [f"{shared_folder(spark)}/riskframe/model-{uuid.uuid4().hex}" for _ in range(2)]
+    model.write().save(old)
+    spark.read.text(f"{old}/metadata").write.text(f"{new}/metadata")
+    spark.read.parquet(f"{old}/treesMetadata").write.parquet(f"{new}/treesMetadata")
+    n = F.col("nodeData")
+    split, values = n["split"], n["split"]["leftCategoriesOrThreshold"]
+    known = F.array(*[F.array(*map(F.lit, c)).cast("array<double>") for c in cuts])
+    cut = F.get(F.get(known, split["featureIndex"]), (F.floor(F.get(values, F.lit(0))) - 1).cast("int"))
+    moved = n.withField("rawCount", F.round(F.get(n["impurityStats"], F.lit(0))).cast("long")).withField(
+        "split.leftCategoriesOrThreshold", F.when((split["featureIndex"] >= 0) & (split["numCategories"] == -1), F.array(cut)).otherwise(values)
+    )
+    nodes = spark.read.parquet(f"{old}/data")
+    nodes.withColumn("nodeData", moved).write.parquet(f"{new}/data")
+    return type(model).load(new)
+
+
 def fit_boosted(
     train: DataFrame,
     test: DataFrame,
@@ -173,11 +249,13 @@ def fit_boosted(
     seed: int = 42,
     max_bins: int = 32,
 ) -> Fitted:
-    """Gradient-boosted trees; classification is binary."""
+    """Gradient-boosted trees; classification is binary. Few columns are fitted by their cells (``cells_of``)."""
     options = dict(maxIter=n, maxDepth=depth, stepSize=lr, seed=seed, maxBins=max_bins, **BOOSTED_OPTIONS)
     estimator = GBTRegressor(**options) if task == REGRESSION else GBTClassifier(**options)
     kind = "Regressor" if task == REGRESSION else "Classifier"
-    return _evaluate(f"Boosted Trees {kind}", task, estimator.fit(train), train, test)
+    cells = cells_of(train, task, max_bins)
+    model = estimator.fit(train) if cells is None else _on_columns(estimator.setWeightCol("weight").fit(cells[0]), cells[1])
+    return _evaluate(f"Boosted Trees {kind}", task, model, train, test)
 
 
 NODES = [

@@ -209,3 +209,36 @@ def test_batch_entry_point(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "eda" / "portfolio")).first().Rows == 400
     main(["hypotheses", source, str(tmp_path / "tests")])
     assert spark.read.parquet(str(tmp_path / "tests" / "summary")).count() == 4
+
+
+def test_boosting_by_cells_gives_the_trees_of_all_rows(spark):
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 100
+    df = spark.range(3000).select(
+        (F.col("id") % 11).cast("double").alias("a"), (F.col("id") % 7 - 3).cast("double").alias("b"),
+        F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("t"),
+        ((F.col("id") % 11) * (F.col("id") % 7) + noise).alias("y"), (noise + F.col("id") % 7 > 8).cast("int").alias("flag"),
+    )
+    for target, task, estimator in (("y", models.REGRESSION, models.GBTRegressor), ("flag", models.CLASSIFICATION, models.GBTClassifier)):
+        table, _ = models.assemble(df, ["t"], ["a", "b"], target)
+        cells, cuts = models.cells_of(table, task, 32)
+        assert cells.count() <= 2 * 11 * 7 * (1 if task == models.REGRESSION else 2) and cuts[2] == [-2.5, -1.5, -0.5, 0.5, 1.5, 2.5]
+        assert cells.groupBy().sum("weight").first()[0] == 3000
+        want = estimator(maxIter=4, maxDepth=3, stepSize=0.1, seed=42, maxBins=32).fit(table)
+        found = models.fit_boosted(table, table, task, n=4, depth=3).model
+        columns = ["tree", "node", "left", "right", "feature", "threshold", "categories", "rows"]
+        one, two = [models.node_table(m).orderBy("tree", "node").collect() for m in (want, found)]
+        assert [[r[c] for c in columns] for r in one] == [[r[c] for c in columns] for r in two]
+        assert [r.prediction for r in one] == pytest.approx([r.prediction for r in two])
+
+
+def test_cells_of_awkward_columns(spark):
+    rows = [(1.0, float(i), -0.0 if i % 2 else 0.0, float(i % 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "same double, many double, zero double, y double")
+    table, _ = models.assemble(df, [], ["same", "many", "zero"], "y")
+    cells, cuts = models.cells_of(table, models.REGRESSION, 8)
+    assert cuts[0] == [] and len(cuts[1]) == 7 and cells.count() <= 16 and cells.groupBy().sum("weight").first()[0] == 200
+    assert models.cells_of(table.select(F.col("features").alias("features", metadata={}), "label"), models.REGRESSION, 8) is None
+    assert models.cells_of(table, models.REGRESSION, 200) is None
+    fitted = models.fit_boosted(table, table, n=2, depth=3, max_bins=8)
+    found = models.predict_by_nodes(fitted.model, fitted.model.transform(table), ["prediction"]).collect()
+    assert len(found) == 200 and [r.recomputed for r in found] == pytest.approx([r.prediction for r in found])
