@@ -202,3 +202,17 @@ def test_default_date_forms(spark):
     }
     df = spark.createDataFrame([(c, c) for c in cells], "raw string, d string")
     assert {r.raw: str(r.d) if r.d else None for r in coerce_date(df, "d").collect()} == cells
+
+
+def test_table_diff_in_blocks(spark, monkeypatch):
+    from riskframe.sources import tables
+
+    old = spark.range(300).select((F.col("id") % 100).alias("k"), F.when(F.col("id") % 7 > 0, F.lit(-0.0)).alias("v"))
+    new = spark.range(400).select((F.col("id") % 110).alias("k"), F.when(F.col("id") % 5 > 0, F.lit(0.0)).alias("v"))
+    for keys in (None, ["k"]):
+        whole = sorted(map(str, table_diff(old, new, keys).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(tables, "DIFF_ROWS", 100)
+            found = table_diff(old, new, keys)
+            assert "xxhash64" in found._jdf.queryExecution().toString() or keys
+            assert sorted(map(str, found.collect())) == whole and len(whole) > 100
