@@ -216,3 +216,12 @@ def test_table_diff_in_blocks(spark, monkeypatch):
             found = table_diff(old, new, keys)
             assert "xxhash64" in found._jdf.queryExecution().toString() or keys
             assert sorted(map(str, found.collect())) == whole and len(whole) > 100
+
+
+def test_written_policies_are_not_gathered_in_a_fixed_number_of_parts(spark, sf_small, monkeypatch):
+    from riskframe.checks import quality
+
+    rows = quality.policies(spark, sf_small).repartition(7, "PolicyID")
+    monkeypatch.setattr(quality, "policies", lambda s, sf: rows)
+    files = spark.read.text(quality._csv(spark, sf_small)).inputFiles()
+    assert len(files) == 7
