@@ -242,3 +242,64 @@ def test_cells_of_awkward_columns(spark):
     fitted = models.fit_boosted(table, table, n=2, depth=3, max_bins=8)
     found = models.predict_by_nodes(fitted.model, fitted.model.transform(table), ["prediction"]).collect()
     assert len(found) == 200 and [r.recomputed for r in found] == pytest.approx([r.prediction for r in found])
+
+
+def test_forest_by_cells_draws_all_rows_for_each_tree(spark):
+    noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 100
+    df = spark.range(4000).select(
+        (F.col("id") % 11).cast("double").alias("a"), (F.col("id") % 7 - 3).cast("double").alias("b"),
+        F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("t"),
+        ((F.col("id") % 11) * (F.col("id") % 7) + noise).alias("y"), (noise + F.col("id") % 7 > 8).cast("int").alias("flag"),
+    )
+    for target, task in (("y", models.REGRESSION), ("flag", models.CLASSIFICATION)):
+        table, _ = models.assemble(df, ["t"], ["a", "b"], target)
+        cells, _ = models.bootstrap_cells(table, task, 40, 42, 32)
+        counts = np.array(cells.select(*[f"w{t}" for t in range(40)]).collect())
+        assert len(counts) <= 2 * 11 * 7 * (1 if task == models.REGRESSION else 2)
+        # Poisson: mean and variance are the number of rows.
+        assert counts.sum(axis=0).mean() == pytest.approx(4000, rel=0.02)
+        assert counts.var(axis=1, ddof=1).sum() == pytest.approx(4000, rel=0.15)
+        model = models.fit_forest(table, table, task, n=5).model
+        roots = [r.rows for r in models.node_table(model).where("node = 0").orderBy("tree").collect()]
+        drawn = models.bootstrap_cells(table, task, 5, 42, 32)[0].collect()
+        assert model.getNumTrees == 5 and roots == [sum(r[f"w{t}"] for r in drawn) for t in range(5)] and len(set(roots)) > 1
+        if task == models.REGRESSION:
+            # Deep trees end in cells: each predicts the mean label of the rows that it drew.
+            first = model.trees[0]
+            assert sorted(first.predict(r.features) for r in cells_as_rows(table, drawn)) == pytest.approx(
+                sorted(r["s0"] / r["w0"] for r in drawn if r["w0"]), abs=1e-9)
+
+
+def cells_as_rows(table, drawn):
+    """One row of the table for each cell that the first tree drew; the columns have few values, so bin k is the k-th."""
+    rows = {tuple(r.features.toArray()): r for r in table.collect()}
+    known = [sorted({x[i] for x in rows}) for i in range(3)]
+    wanted = {(r.features[0], known[1][int(r.features[1]) - 1], known[2][int(r.features[2]) - 1]) for r in drawn if r["w0"]}
+    return [r for x, r in rows.items() if x in wanted]
+
+
+def test_forest_of_equal_rows_and_cells_of_many_tasks(spark):
+    df = spark.range(50).select(F.lit(1.0).alias("a"), F.lit("x").alias("t"), F.lit(3.0).alias("y"))
+    table, _ = models.assemble(df, [], ["a"], "y")
+    assert models.bootstrap_cells(table, models.REGRESSION, 3, 42, 32) is None
+    fitted = models.fit_forest(table, table, n=3)
+    assert {r.prediction for r in fitted.model.transform(table).collect()} == {3.0}
+    found = models.predict_by_nodes(fitted.model, fitted.model.transform(table), ["prediction"]).collect()
+    assert len(found) == 50 and {r.recomputed for r in found} == {3.0}
+
+
+def test_rows_that_no_node_tells_apart_walk_as_one(spark, monkeypatch):
+    df = spark.range(2000).select(
+        (F.col("id") % 50 / 7).alias("a"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("t"), F.col("id").alias("id"),
+        (F.col("id") % 50 * 2 + F.col("id") % 3 + F.col("id") % 13).alias("y"))
+    table, _ = models.assemble(df, ["t"], ["a"], "y", ["id"])
+    model = models.fit_forest(table, table, n=3).model
+    walked, inner = [], models._walked
+    monkeypatch.setattr(models, "_walked", lambda m, n, rows, keys: walked.append(rows.count()) or inner(m, n, rows, keys))
+    twice = model.transform(table.unionByName(table))
+    found = models.predict_by_nodes(model, twice, ["id", "prediction"]).collect()
+    assert len(found) == 4000 and [r.recomputed for r in found] == pytest.approx([r.prediction for r in found])
+    assert len(walked) == 1 and walked[0] <= 100
+    monkeypatch.setattr(models, "MAX_CELLS", 1)
+    rows = models.predict_by_nodes(model, twice, ["id", "prediction"]).collect()
+    assert walked[1] == 4000 and sorted(r.recomputed for r in rows) == pytest.approx(sorted(r.recomputed for r in found))
