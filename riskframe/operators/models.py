@@ -33,6 +33,8 @@ BOOSTED_OPTIONS = {"checkpointInterval": 10, "maxMemoryInMB": 512}
 MAX_CELLS = 1 << 20
 #: A forest keeps a weight and a label per cell and tree, so it takes fewer cells.
 FOREST_CELLS = 1 << 16
+#: Smaller tables are fitted row by row, as the jobs of many single trees take longer than such a fit.
+FOREST_ROWS = 100_000
 #: Bootstrap counts that a task draws at once.
 DRAWS = 1 << 20
 MISSING_CATEGORY = "\uffff"  # sorts after every category
@@ -166,7 +168,7 @@ def fit_forest(
 ) -> Fitted:
     """Random forest. ``None`` is the deepest tree Spark allows, 30 levels.
 
-    With few columns each tree is fitted to the cells of its bootstrap (``bootstrap_cells``).
+    With few columns and many rows each tree is fitted to the cells of its bootstrap (``bootstrap_cells``).
     """
     options = dict(numTrees=n, maxDepth=30 if depth is None else depth, seed=seed, maxBins=max_bins, **FOREST_OPTIONS)
     if task == REGRESSION:
@@ -174,7 +176,7 @@ def fit_forest(
     else:
         estimator = RandomForestClassifier(featureSubsetStrategy="sqrt", **options)
     kind = "Regressor" if task == REGRESSION else "Classifier"
-    cells = bootstrap_cells(train, task, n, seed, max_bins)
+    cells = bootstrap_cells(train, task, n, seed, max_bins) if train.count() >= FOREST_ROWS else None
     if cells is None:
         model = estimator.fit(train)
     else:

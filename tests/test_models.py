@@ -244,7 +244,8 @@ def test_cells_of_awkward_columns(spark):
     assert len(found) == 200 and [r.recomputed for r in found] == pytest.approx([r.prediction for r in found])
 
 
-def test_forest_by_cells_draws_all_rows_for_each_tree(spark):
+def test_forest_by_cells_draws_all_rows_for_each_tree(spark, monkeypatch):
+    monkeypatch.setattr(models, "FOREST_ROWS", 0)
     noise = F.pmod(F.xxhash64("id"), F.lit(1000)) / 100
     df = spark.range(4000).select(
         (F.col("id") % 11).cast("double").alias("a"), (F.col("id") % 7 - 3).cast("double").alias("b"),
@@ -278,7 +279,8 @@ def cells_as_rows(table, drawn):
     return [r for x, r in rows.items() if x in wanted]
 
 
-def test_forest_of_equal_rows_and_cells_of_many_tasks(spark):
+def test_forest_of_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "FOREST_ROWS", 0)
     df = spark.range(50).select(F.lit(1.0).alias("a"), F.lit("x").alias("t"), F.lit(3.0).alias("y"))
     table, _ = models.assemble(df, [], ["a"], "y")
     assert models.bootstrap_cells(table, models.REGRESSION, 3, 42, 32) is None
