@@ -30,7 +30,7 @@ _PIECES = re.compile(
     rb"'s|'t|'re|'ve|'m|'ll|'d| ?(?:[A-Za-z]|\xc3[\x80-\xbf])+| ?[0-9]+| ?[^\sA-Za-z0-9\xc3]+|\s+(?!\S)|\s+"
 )
 #: Distinct pieces in each of the two generations that a worker remembers, and the longest of them.
-MEMORY, LONGEST = 150_000, 64
+MEMORY, LONGEST = 400_000, 64
 
 
 class ByteLevelIds(dict):

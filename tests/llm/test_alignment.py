@@ -10,7 +10,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from riskframe.llm import alignment
-from riskframe.llm.fragments import Fragment, TwoTokenizers
+from riskframe.llm.fragments import ByteLevelIds, Fragment, TwoTokenizers
 from riskframe.llm.queries import tokenizer_path
 
 PATHS = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
@@ -129,3 +129,18 @@ def test_composition_is_associative():
 
 def test_no_rows(empty):
     assert alignment.align(empty, *PATHS).isEmpty()
+
+
+def test_pieces_of_a_large_vocabulary_are_encoded_once():
+    class Model:
+        calls = 0
+
+        def tokenize(self, piece):
+            Model.calls += 1
+            return []
+
+    pieces = ByteLevelIds(Model())
+    for _ in range(3):
+        for at in range(0, 380_000, 20_000):
+            pieces.encode(b" ".join(b"%x" % i for i in range(at, at + 20_000)).translate(bytes.maketrans(b"0123456789", b"ghijklmnop")))
+    assert Model.calls <= 380_000
