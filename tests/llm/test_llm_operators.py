@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -128,6 +129,52 @@ def test_line_dedup(awkward, rows_of):
     assert tenth.n_lines == 4 and tenth.removed == [1, 3]
 
 
+def _similar_lines(texts, least):
+    """Which lines have an earlier one of similarity ``least`` or more, by comparing all."""
+    sets = [frozenset(t.split()) for t in texts]
+    return [any(len(x & s) >= least * len(x | s) - 1e-9 for s in sets[:i]) for i, x in enumerate(sets)]
+
+
+@pytest.mark.parametrize(("least", "frequent"), [(0.8, 32), (0.8, 2), (0.6, 2)])
+def test_line_dedup_of_frequent_parts(spark, monkeypatch, least, frequent):
+    """Lines of few different words, copies with changes, and a large group of near copies."""
+    rng = random.Random(5)
+    few = [f"w{i}" for i in range(24)]
+    texts = [" ".join(rng.sample(few, rng.randint(1, 22))) for _ in range(120)]
+    base = [f"v{i}" for i in range(60)]
+    for i in range(60):
+        words = rng.sample(base, rng.randint(46, 60)) + [f"x{i}_{j}" for j in range(rng.randint(0, 4))]
+        texts.append(" ".join(words))
+    for i in range(40):
+        words = rng.choice(texts).split()
+        words[rng.randrange(len(words))] = f"y{i}"
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    monkeypatch.setattr(lines, "FREQUENT", frequent)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in lines.line_counts(docs, least).collect()}
+    assert [got[i] == 1 for i in range(len(texts))] == _similar_lines(texts, least)
+
+
+def test_line_dedup_compares_few_pairs(spark, monkeypatch):
+    """Long lines of the same words, none like another: most of all pairs are not compared."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(1500)]
+    n = 300
+    docs = spark.createDataFrame([(i, " ".join(rng.sample(words, 170))) for i in range(n)], "doc_id long, text string")
+    sizes, stage = [], lines.stage
+
+    def counted(df):
+        staged = stage(df)
+        if {"a", "b"} <= set(staged.columns):
+            sizes.append(staged.count())
+        return staged
+
+    monkeypatch.setattr(lines, "stage", counted)
+    assert {r.n_removed for r in lines.line_counts(docs).collect()} == {0}
+    assert sizes and sum(sizes) <= n * (n - 1) / 2 / 4
+
+
 def test_token_records(awkward, rows_of, tmp_path):
     from tokenizers import Tokenizer
 
