@@ -16,20 +16,31 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.common import small_batches, stage, text_of
-from riskframe.llm.words import Words, mix, text_buffer
+from riskframe.llm.words import Words, mix, pieces, text_buffer
 
 BLOCK_BYTES = 2 << 20
+#: Text of a block whose words are found at once; that takes about fifty times as much.
+PIECE_BYTES = 1 << 17
+#: Blocks are large rows: pages and row groups of their files are measured after each row, not after a hundred.
+BLOCK_FILES = {
+    "parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1,
+    "parquet.enable.dictionary": "false",
+}
 #: Windows that one range task handles, about; ranges grow in number with the words.
 RANGE_WINDOWS = 2_000_000
 LEAST_RANGES = 64
 #: Bytes of a hash sent beyond its range. A wrong hit needs equal bytes in one range at every level.
 SHORT, FULL = 6, 8
 
+#: A range's hashes are compared in so many shares, by their last byte.
+SHARES = 8
+
 BLOCKS = "block long, n_words long, doc_id array<long>, size array<int>, data binary"
 
 
@@ -42,8 +53,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def block():
         joined = b"".join(data)
-        words = Words(np.frombuffer(joined, np.uint8), np.append(0, np.cumsum(sizes)))
-        columns = [[(part << 32) + made], [len(words)], [ids], [sizes], [joined]]
+        columns = [[(part << 32) + made], [len(_BlockWords(joined, sizes))], [ids], [sizes], [joined]]
         types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
         names = ["block", "n_words", "doc_id", "size", "data"]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
@@ -67,11 +77,30 @@ def pack_blocks(docs: DataFrame) -> DataFrame:
     """Texts packed into staged blocks of about ``BLOCK_BYTES``, one row each; no shuffle."""
     small_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return stage(source.mapInArrow(_pack, BLOCKS))
+    return stage(source.mapInArrow(_pack, BLOCKS), options=BLOCK_FILES)
+
+
+class _BlockWords(Words):
+    """Of the words of a block only hash, doc and first, found in pieces."""
+
+    def __init__(self, data: bytes, sizes: list[int]):
+        raw, offsets = np.frombuffer(data, np.uint8), np.append(0, np.cumsum(sizes, dtype=np.int64))
+        found, counts = [], [np.zeros(1, np.int64)]
+        for a, b in pieces(offsets, PIECE_BYTES):
+            part = Words(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            found.append(part.hash)
+            counts.append(np.diff(part.first))
+        self.hash = np.concatenate(found) if found else np.empty(0, np.uint64)
+        counts = np.concatenate(counts)
+        self.first = np.cumsum(counts)
+        self.doc = np.repeat(np.arange(len(counts) - 1), counts[1:])
 
+    def __len__(self) -> int:
+        return len(self.hash)
 
-def _words(row: dict) -> Words:
-    return Words(np.frombuffer(row["data"], np.uint8), np.append(0, np.cumsum(row["size"], dtype=np.int64)))
+
+def _words(row: dict) -> _BlockWords:
+    return _BlockWords(row["data"], row["size"])
 
 
 def _range_of(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -134,20 +163,19 @@ SENT_TYPE = pa.schema([("range", pa.int64()), ("block", pa.int64()), ("hashes",
 def _decide(level: int, width: int) -> Callable:
     def run(rows: pa.Table) -> pa.Table:
         blocks, which = rows.column("block").to_pylist(), rows.column("range")[0].as_py()
-        parts = [np.frombuffer(x.as_py(), np.uint8).reshape(-1, width) for x in rows.column("hashes")]
-        sizes = [len(p) for p in parts]
-        wide = np.zeros((sum(sizes), 8), np.uint8)
-        wide[:, :width] = np.concatenate(parts)
-        again = np.concatenate([
-            np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=n) for x, n in zip(rows.column("again"), sizes)
-        ]).astype(bool)
-        key = wide.view("<u8").ravel()
-        order = np.argsort(key, kind="stable")
-        same = np.concatenate([key[order][1:] == key[order][:-1], [False]])
-        hit = again.copy()
-        hit[order[same]] = True
-        hit[order[1:][same[:-1]]] = True
+        sizes = [n // width for n in pc.binary_length(rows.column("hashes")).to_pylist()]
         ends = np.cumsum(sizes)
+        wide, hit = np.zeros((ends[-1], 8), np.uint8), np.empty(ends[-1], bool)
+        for hashes, again, n, e in zip(rows.column("hashes"), rows.column("again"), sizes, ends):
+            wide[e - n : e, :width] = np.frombuffer(hashes.as_buffer(), np.uint8).reshape(-1, width)
+            hit[e - n : e] = np.unpackbits(np.frombuffer(again.as_buffer(), np.uint8), count=n)
+        key = wide.view("<u8").ravel()
+        for share in range(SHARES):
+            at = np.flatnonzero(wide[:, 0] % SHARES == share)
+            at = at[np.argsort(key[at])]
+            same = key[at[1:]] == key[at[:-1]]
+            hit[at[:-1][same]] = True
+            hit[at[1:][same]] = True
         out = [(b, which, np.packbits(hit[e - n : e]).tobytes()) for b, n, e in zip(blocks, sizes, ends) if hit[e - n : e].any()]
         return pa.table({
             "block": pa.array([x[0] for x in out], pa.int64()), "level": pa.array([level] * len(out), pa.int64()),
@@ -162,10 +190,9 @@ ANSWER = "block long, level long, range long, bits binary"
 
 def _first(length: int, width: int, n_ranges: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                level = _Level(_words(row), length, None, 0, n_ranges)
-                yield pa.RecordBatch.from_pylist(list(_send(level, row["block"], width)), SENT_TYPE)
+        for row in (x for batch in batches for i in range(batch.num_rows) for x in batch.slice(i, 1).to_pylist()):
+            level = _Level(_words(row), length, None, 0, n_ranges)
+            yield pa.RecordBatch.from_pylist(list(_send(level, row["block"], width)), SENT_TYPE)
 
     return run
 

@@ -4,9 +4,12 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from riskframe.llm import decontamination, licenses, lines, mixing, near_duplicates, quality_rules, records, secrets, substrings, tokens, toxicity, words
@@ -427,6 +430,34 @@ def test_doubling_ends_without_survivors(awkward):
     assert levels[:3] == [4, 8, 16] and levels[-1] == 2048 and answers is not None
 
 
+def test_substring_dedup_holds_little_of_a_block_at_once(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"{x:x}" for x in rng.integers(0, 1 << 20, 20_000)) for _ in range(16)]
+    row = {"data": "".join(texts).encode(), "size": [len(t) for t in texts], "block": 0}
+    whole = words.Words(np.frombuffer(row["data"], np.uint8), np.append(0, np.cumsum(row["size"])))
+    n, per = 1_000_000, 1000
+    sent = [{"range": 0, "block": i, "hashes": rng.bytes(per * 6), "again": bytes(per // 8)} for i in range(n // per)]
+    sent[-1]["hashes"] = sent[0]["hashes"]
+    sent = pa.Table.from_pylist(sent, substrings.SENT_TYPE)
+
+    def peak(run):
+        tracemalloc.start()
+        try:
+            return run(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    found, held = peak(lambda: substrings._words(row))
+    assert held < 12 * len(row["data"])
+    assert all(np.array_equal(getattr(found, c), getattr(whole, c)) for c in ("hash", "doc", "first"))
+    answer, held = peak(lambda: substrings._decide(0, 6)(sent))
+    assert held < 2.5 * 8 * n
+    assert answer.column("block").to_pylist() == [0, n // per - 1]
+    blocks = substrings.pack_blocks(spark.createDataFrame([(i, t * 20) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1))
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in blocks.inputFiles()]
+    assert max(m.row_group(i).total_byte_size for m in groups for i in range(m.num_row_groups)) < 24 << 20
+
+
 def test_empty_tables(spark, empty, labels, tmp_path):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert near_duplicates.near_duplicates(empty).isEmpty()
